@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality_rules, secrets, url_filter
+from . import exact_dedup, minhash, packing, quality_rules, secrets, substring_dedup, url_filter
 
 HOST_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -38,12 +38,20 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[counted(F.col("spans"), k) for k in ("assign", "access", "hex")], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     rules = url_filter.mine(pages, table(spark, sf_dir, "labels"))
     return url_filter.judge(pages, rules, HOST_RULES)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"), keep="max")
 
@@ -61,7 +69,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
+    "op3_minhash": op3_minhash,
     "op4_url_filter": op4_url_filter,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,

@@ -72,3 +72,71 @@ def test_quality(spark, sf, rows):
     assert sorted(tuple(r)[:7] for r in out.drop("kept", "rule").collect()) == want
     for r in out.collect():
         assert r.kept == (not r.base_failed and r.rule is None)
+
+
+def test_near(spark, sf, rows):
+    assert got(spark, sf, "op3_minhash", "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
+def test_near_with_null_and_repeated_ids(spark):
+    from millrace.llm import minhash
+
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59)) + " x"
+    docs = spark.createDataFrame([(None, a), (5, a), (5, a), (3, b), (9, None), (None, None), (2, "z")], "doc_id long, text string")
+    out = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in minhash.near_groups(docs, percent=80).collect())
+    assert out == [(0, 0, True), (0, 3, True), (2, 2, True), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
+
+
+def test_bands_miss_less_than_promised():
+    from millrace.llm import minhash
+
+    for t in (0.8, 0.85, 0.9):
+        r = minhash.band_rows(t)
+        assert (1 - t**r) ** (2 * minhash.PERMUTATIONS // r) <= minhash.MISS
+
+
+def test_min_max_values_are_unbiased():
+    import numpy as np
+    from millrace.llm import minhash
+
+    draw, minmax, same = np.random.default_rng(3), minhash.MinMax(), []
+    for _ in range(60):
+        both, one, two = (draw.integers(0, 1 << 63, n, np.uint64) for n in (800, 100, 100))
+        x, y = (minmax.signature(np.concatenate([both, z])) for z in (one, two))
+        same.append((x == y).mean())
+    assert abs(np.mean(same) - 0.8) < 0.02
+
+
+def test_repeats(spark, sf, rows):
+    assert got(spark, sf, "op6_substring_dedup", "doc_id", "n_words", "n_removed", "kept_sha256") == brute.repeats(rows)
+
+
+def test_repeats_with_null_and_repeated_ids(spark):
+    from millrace.llm import substring_dedup
+
+    p = " ".join(f"p{i}" for i in range(40))
+    docs = [(None, p + " a"), (None, "b " + p), (4, "c"), (4, None), (7, "q " * 70), (8, " ".join(f"n{i}" for i in range(80)))]
+    out = substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in out) == [(0, 41, 40), (0, 41, 40), (4, 0, 0), (4, 1, 0), (7, 70, 70), (8, 80, 0)]
+
+
+def test_fm_index_counts_as_brute_force():
+    import numpy as np
+    from millrace.llm.fm_index import FMIndex
+
+    draw = np.random.default_rng(5)
+    text = draw.integers(1, 4, 400)
+    text[[99, 250, 399]] = 0
+    index, ends = FMIndex(text, 12), np.arange(1, 400)
+    joined = text.tolist()
+
+    def longest(end):
+        best = 0
+        for n in range(1, 13):
+            p = joined[max(0, end - n) : end]
+            if len(p) < n or 0 in p or sum(joined[i : i + n] == p for i in range(len(joined) - n + 1)) < 2:
+                break
+            best = n
+        return best
+
+    assert index.matching_statistics(text, ends, 12).tolist() == [longest(e) for e in ends.tolist()]
