@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, packing, quality_rules, secrets, substring_dedup, url_filter
+from . import exact_dedup, minhash, packing, pii, quality_rules, secrets, substring_dedup, url_filter
 
 HOST_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -48,6 +48,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules, HOST_RULES)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select("doc_id", *[counted(F.col("spans"), k) for k in pii.KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_minhash": op3_minhash,
     "op4_url_filter": op4_url_filter,
+    "op5_personal_data": op5_personal_data,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,

@@ -140,3 +140,22 @@ def test_fm_index_counts_as_brute_force():
         return best
 
     assert index.matching_statistics(text, ends, 12).tolist() == [longest(e) for e in ends.tolist()]
+
+
+def test_personal_data(spark, sf, rows):
+    want = sorted((i, *n, s) for i, t in rows for n, s in [brute.personal(t)])
+    assert got(spark, sf, "op5_personal_data", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == want
+
+
+def test_terms_that_disclose(spark):
+    from millrace.llm import pii
+    from pyspark.sql import functions as F
+
+    docs = [(i, f"w{i} v{i % 50}\nfoo x{i} Reach us: a{i}@b{i}.org, or not y{i}\nthe end of it {'or not ' * 3}") for i in range(200)]
+    docs += [(200 + i, f"or not the n{i} " * 30) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = pii.find_personal(frame)
+    both = found.join(frame, "doc_id").select("doc_id", "text", "spans", pii.sanitised(F.col("text"), F.col("spans")).alias("clean")).orderBy("doc_id").collect()
+    for r in both:
+        assert [r.text[s.start : s.end] for s in r.spans] == ([f"a{r.doc_id}@b{r.doc_id}.org", "foo", "Reach", "us"] if r.doc_id < 200 else [])
+    assert both[3].clean == "w3 v3\n x3  : <email>, or not y3\nthe end of it or not or not or not "
