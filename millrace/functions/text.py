@@ -1,0 +1,218 @@
+"""String, regex, JSON and hash functions, each from columns to a column. All run inside the JVM."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Macros and base-unit marks that corpus statistics look for.
+MACROS = ("\\text", "\\cdot", "\\frac", "\\Theta", "\\Omega", "\\mu", "\\circ", "\\Delta", "\\pi")
+BASE_MARKS = {
+    "L": ("\\text{m}", "\\text{L}"),
+    "M": ("\\text{kg}", "\\text{M}"),
+    "T": ("\\text{s}", "\\text{T}"),
+    "I": ("\\text{A}", "\\text{I}"),
+    "Theta": ("\\text{K}", "\\Theta", "°C"),
+    "N": ("\\text{mol}", "\\text{N}"),
+    "J": ("\\text{cd}", "\\text{J}"),
+}
+DIMENSIONLESS_MARKS = ("\\text{1}", "\\text{dimensionless}")
+#: Nested fractions are rewritten from the inside out, this many levels deep.
+FRACTION_DEPTH = 8
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def approx_tokens(text: Column) -> Column:
+    """Words and punctuation marks, times 1.1, rounded down; at least 1 unless the text is null or empty."""
+    found = F.regexp_count(text, F.lit(r"(?U)\w+|[^\w\s]"))
+    return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.floor(found.cast("double") * F.lit(1.1)).cast("int"))).cast("long")
+
+
+def char_tokens(text: Column, per_token: float = 3.8) -> Column:
+    """Tokens by length alone."""
+    return F.greatest(F.lit(1), F.floor(F.length(text) / F.lit(per_token)).cast("int")).cast("long")
+
+
+def words(text: Column) -> Column:
+    """Lower-case runs of letters, digits and underscores, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0))
+
+
+def bigrams(tokens: Column) -> Column:
+    """Adjacent pairs, as strings parted by one space."""
+    return F.zip_with(F.slice(tokens, 1, F.greatest(F.size(tokens) - F.lit(1), F.lit(0))), F.slice(tokens, 2, F.greatest(F.size(tokens) - F.lit(1), F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def unescaped(text: Column, mark: str) -> Column:
+    """How often ``mark`` (a regex) stands without a backslash before it."""
+    return F.regexp_count(text, F.lit(rf"(?<!\\){mark}"))
+
+
+def math_problems(text: Column) -> Column:
+    """Messages about unbalanced dollar signs and curly braces; an empty array if the text is well-formed."""
+    dollars, left, right = unescaped(text, r"\$"), unescaped(text, r"\{"), unescaped(text, r"\}")
+    return F.array_compact(
+        F.array(
+            F.when(dollars % 2 != 0, F.concat(F.lit("Unbalanced inline/block math '$' delimiters (found "), dollars.cast("string"), F.lit(")."))),
+            F.when(left != right, F.concat(F.lit("Unbalanced curly braces '{}' (open: "), left.cast("string"), F.lit(", close: "), right.cast("string"), F.lit(")."))),
+        )
+    )
+
+
+def well_formed(text: Column) -> Column:
+    return F.size(math_problems(text)) == 0
+
+
+def plain_units(text: Column) -> Column:
+    """LaTeX or plain unit notation as arithmetic: products with *, powers with **, fractions as quotients."""
+    s = strip(F.coalesce(text, F.lit("")))
+    s = strip(F.regexp_replace(s, r"^\$\$|\$\$$|^\\\[|\\\]$|^\$|\$$", ""))
+    for old, new in (("\u2212", "-"), ("×", " * "), ("·", " * "), ("•", " * "), ("\\,", " "), ("\\:", " "), ("\\;", " "), ("\\times", " * "), ("\\cdot", " * "), ("\\left", ""), ("\\right", "")):
+        s = F.replace(s, F.lit(old), F.lit(new))
+    for _ in range(FRACTION_DEPTH):
+        s = F.regexp_replace(s, r"\\frac\{([^{}]+)\}\{([^{}]+)\}", "($1) / ($2)")
+    s = F.regexp_replace(s, r"\\(?:text|mathrm|mathbf|mathit)\{([^{}]+)\}", "$1")
+    s = F.regexp_replace(s, r"\^\{([^{}]+)\}", "**$1")
+    s = F.regexp_replace(s, r"\^([0-9\-+]+)", "**$1")
+    # letters and a signed number are a power, but not the e of a number's exponent
+    s = F.regexp_replace(s, r"(?<![0-9](?=[eE][+-]?[0-9]))([a-zA-Z]+)([-+][0-9]+)", "$1**$2")
+    return strip(F.regexp_replace(s, r"(?U)\s+", " "))
+
+
+def uri_tail(uri: Column) -> Column:
+    return F.element_at(F.split(uri, "/"), -1)
+
+
+def preview(text: Column, most: int) -> Column:
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit("..."))).otherwise(text)
+
+
+def title(key: Column) -> Column:
+    """``some_key`` as ``Some Key``."""
+    return F.initcap(F.replace(key, F.lit("_"), F.lit(" ")))
+
+
+def text_key(text: Column) -> Column:
+    """SHA-256 of the text without white space around it, in lower case."""
+    return F.sha2(F.lower(strip(text)), 256)
+
+
+def cache_key(*parts: Column) -> Column:
+    return F.sha2(F.concat_ws("_", *parts), 256)
+
+
+def persona_of(explicit: Column, metadata: Column, record_id: Column, personas: list[str], default: str = "general_user") -> Column:
+    """Explicit value, else metadata's, else the first persona of the list that is a part of the id between underscores, else the default."""
+    found = F.lit(None).cast("string")
+    for p in reversed(personas):
+        part = record_id.contains(f"_{p}_") | record_id.endswith(f"_{p}") | record_id.startswith(f"{p}_")
+        found = F.when(part, F.lit(p)).otherwise(found)
+    return F.coalesce(F.nullif(explicit, F.lit("")), F.nullif(metadata, F.lit("")), found, F.lit(default))
+
+
+def persona_third(record_id: Column, default: str = "general_user") -> Column:
+    """The id's third part between underscores: the cruder rule that corpus statistics use."""
+    return F.coalesce(F.get(F.split(record_id, "_"), F.lit(2)), F.lit(default))
+
+
+def category_of(explicit: Column, uri: Column) -> Column:
+    by_uri = (
+        F.when(uri.contains("/constant/") | uri.contains("constants"), "constants")
+        .when(uri.contains("/quantitykind/") | uri.contains("quantity_kind"), "quantity_kinds")
+        .otherwise("units")
+    )
+    return F.coalesce(F.nullif(explicit, F.lit("")), by_uri)
+
+
+def size_bucket(count: Column) -> Column:
+    """Size class of a dataset, as dataset cards name it."""
+    return F.when(count < 1000, "n<1K").when(count < 10_000, "1K<n<10K").when(count < 100_000, "10K<n<100K").when(count < 1_000_000, "100K<n<1M").otherwise("1M<n<10M")
+
+
+def context_length(p99: Column) -> Column:
+    return F.when(p99 <= 512, 512).when(p99 <= 1024, 1024).otherwise(2048)
+
+
+def human_bytes(count: Column) -> Column:
+    """Bytes with a unit: as they are below 1024, else with one digit behind the point."""
+    scaled = lambda power, unit: F.format_string(f"%.1f {unit}", count / float(1024**power))
+    return F.when(count < 1024, F.concat(count.cast("string"), F.lit(" B"))).when(count < 1024**2, scaled(1, "KB")).when(count < 1024**3, scaled(2, "MB")).otherwise(scaled(3, "GB"))
+
+
+def file_label(path: Column) -> Column:
+    """What a file of a published site is; the first branch that fits counts. Labels are fixed values."""
+    p = F.replace(path, F.lit("\\"), F.lit("/"))
+    bench = p.startswith("benchmark/")
+    return (
+        F.when(p == "index.html", "Web Portal Landing")
+        .when(p == "dataset_viewer.html", "Dataset Explorer App")
+        .when(p == "benchmark/leaderboard.html", "Model Leaderboard App")
+        .when(p == "benchmark/benchmark_viewer.html", "Benchmark Reviewer App")
+        .when(bench & p.endswith("_scorecard.json"), "Model Evaluation Scorecard")
+        .when(bench & p.endswith(".jsonl"), "Benchmark Gold Testbed")
+        .when(bench, "Benchmark Report & Metadata")
+        .when(p.isin("manifest.json", "dataset_stats.json"), "Dataset Manifest & Telemetry")
+        .when(F.lower(p).contains("report") | (p == "dataset_card.md"), "Scientific Report & Card")
+        .when(p.endswith(".jsonl"), "Dataset Split / Samples")
+        .when(p.startswith("by_persona/"), "Persona Partition")
+        .when(p.startswith("by_archetype/"), "Archetype Partition")
+        .when(p.startswith("by_category/"), "Category Partition")
+        .when(p.startswith("formats/"), "Export Format Partition")
+        .otherwise("Website Asset")
+    )
+
+
+def endpoint_class(url: Column) -> Column:
+    """struct<exec_type, provider, url, is_local> of a model's endpoint; credentials and queries leave the URL."""
+    host = F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
+    local = host.rlike(r"^(localhost|127\.|0\.0\.0\.0|10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)") | host.endswith(".local")
+    port = F.regexp_extract(url, r"^[a-z]+://[^/]*:([0-9]+)", 1)
+    provider = F.when(local & (port == "11434"), "local-11434").when(local & (port == "8000"), "local-8000").when(local, "local").when(host == "", "offline").otherwise(F.regexp_extract(host, r"([^.]+)\.[^.]+$", 1))
+    clean = F.regexp_replace(F.regexp_replace(url, r"//[^/@]*@", "//"), r"[?#].*$", "")
+    return F.struct(F.when(local, "local").when(host == "", "offline").otherwise("cloud").alias("exec_type"), provider.alias("provider"), clean.alias("url"), local.alias("is_local"))
+
+
+def error_class(message: Column) -> Column:
+    """Why a call failed, or null for what may be tried again."""
+    m = F.lower(message)
+    return (
+        F.when(m.contains("401") | m.contains("unauthorized") | m.contains("invalid api key"), "authentication")
+        .when(m.contains("403") | m.contains("forbidden"), "permission")
+        .when(m.contains("404") | m.contains("not found"), "unknown model")
+        .when(m.contains("connection refused") | m.contains("name or service not known"), "unreachable")
+        .when(m.contains("402") | m.contains("quota") | m.contains("insufficient"), "quota")
+    )
+
+
+def glob_regex(pattern: str) -> str:
+    """An anchored Java regex for a shell pattern."""
+    import re
+
+    return "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in pattern) + "$"
+
+
+def included(path: Column, include: list[str], exclude: list[str]) -> Column:
+    """Whether a path or its file name fits a pattern of ``include`` and none of ``exclude``."""
+
+    def fits(patterns: list[str]) -> Column:
+        out = F.lit(False)
+        for p in patterns:
+            out = out | path.rlike(glob_regex(p)) | uri_tail(path).rlike(glob_regex(p))
+        return out
+
+    return fits(include) & ~fits(exclude)
+
+
+def escaped_html(text: Column) -> Column:
+    for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def slug(sample_id: Column) -> Column:
+    """An id in lower case, with runs of other symbols as one dash and none at the ends."""
+    return F.regexp_replace(F.regexp_replace(F.lower(sample_id), "[^a-z0-9]+", "-"), "^-|-$", "")

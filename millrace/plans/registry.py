@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import corpus, entity, evaluation, ingestion, synthesis  # noqa: F401  they register their queries
+from ._base import ORACLE_SQL, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    return corpus.corpus_report(spark, sf_dir)
+
+
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
