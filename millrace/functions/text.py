@@ -28,7 +28,7 @@ def strip(text: Column) -> Column:
 
 def approx_tokens(text: Column) -> Column:
     """Words and punctuation marks, times 1.1, rounded down; at least 1 unless the text is null or empty."""
-    found = F.regexp_count(text, F.lit(r"(?U)\w+|[^\w\s]"))
+    found = F.regexp_count(text, F.lit(r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"))
     return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.floor(found.cast("double") * F.lit(1.1)).cast("int"))).cast("long")
 
 
@@ -39,7 +39,7 @@ def char_tokens(text: Column, per_token: float = 3.8) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters, digits and underscores, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
 
 
 def bigrams(tokens: Column) -> Column:
