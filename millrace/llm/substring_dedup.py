@@ -159,6 +159,7 @@ def repeated(docs: DataFrame, length: int, k: int) -> DataFrame:
     """(doc_id, d, bounds): for rows (doc_id, text, d) with repeated windows, the words to go as [start, end, start, end, ...]."""
     found = stash(segments(docs, length, k), "segments")
     shared = found.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
+    shared = stash(shared, "minimizers")  # a table, not an aggregate, so that the join may split a hot minimizer's rows
     found = stash(found.join(shared, "m", "left_semi"), "shared")
     kinds = found.groupBy("m", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "d", "start", "len")).alias("at"))
     kinds = stash(kinds, "kinds")
