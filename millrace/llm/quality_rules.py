@@ -152,7 +152,7 @@ def _grow(cells: list[Cell], most_tests: int) -> Rule:
     return rule
 
 
-def learn_cells(grow: list[Cell], prune: list[Cell], most_rules: int = 12, most_tests: int = 4, precision: float = 0.98, support: int = 5) -> list[Rule]:
+def learn_cells(grow: list[Cell], prune: list[Cell], most_rules: int = 12, most_tests: int = 4, precision: float = 0.98, support: int = 8) -> list[Rule]:
     """Sequential covering over counted cells; a rule stays if it is precise and supported on both parts."""
     rules: list[Rule] = []
     while len(rules) < most_rules:
@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     stats = statistics(texts.select("id", "text", "y"), "id").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
     held_out = (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).alias("held_out")
+    stats = stats.where(~base_failed())  # the base checks come first in the list, so rules are learned on what they leave
     cells = stats.select(*[c.alias(f) for f, c in features().items()], held_out, "y").groupBy(*FEATURES, "held_out").agg(F.sum(1 - F.col("y")).alias("p"), F.sum("y").alias("n"))
     parts: dict[bool, list[Cell]] = {False: [], True: []}
     for r in cells.orderBy(*FEATURES).collect():  # as many rows as the sample has, at most
