@@ -148,8 +148,8 @@ class OpenBins:
 def pack(pieces: DataFrame, size: int = 4096, open_bins: int = 512, rows_per_task: int = 400_000) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length``.
 
-    A task orders what it reads in runs of 4096 rows, longest first, and packs run after run: short pieces of a
-    run then fill what the long ones leave, and no more than a run and the open bins are in memory.
+    A task orders what it reads batch by batch (1,000 rows), longest first: short pieces of a batch then fill what the long
+    ones leave, and no more than a batch and the open bins are in memory.
     """
     pieces = stash(pieces, "pieces")
     count = pieces.count()
