@@ -166,26 +166,60 @@ def file_label(path: Column) -> Column:
     )
 
 
-def endpoint_class(url: Column) -> Column:
-    """struct<exec_type, provider, url, is_local> of a model's endpoint; credentials and queries leave the URL."""
-    host = F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
-    local = host.rlike(r"^(localhost|127\.|0\.0\.0\.0|10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)") | host.endswith(".local")
-    port = F.regexp_extract(url, r"^[a-z]+://[^/]*:([0-9]+)", 1)
-    provider = F.when(local & (port == "11434"), "local-11434").when(local & (port == "8000"), "local-8000").when(local, "local").when(host == "", "offline").otherwise(F.regexp_extract(host, r"([^.]+)\.[^.]+$", 1))
-    clean = F.regexp_replace(F.regexp_replace(url, r"//[^/@]*@", "//"), r"[?#].*$", "")
-    return F.struct(F.when(local, "local").when(host == "", "offline").otherwise("cloud").alias("exec_type"), provider.alias("provider"), clean.alias("url"), local.alias("is_local"))
+#: Names of model servers by what an endpoint holds, local ones by port or word, remote ones by domain.
+LOCAL_SERVERS = (("11434", "Ollama (Local Host)"), ("1234", "LM Studio (Local Host)"), ("8000|vllm", "vLLM (Local Host)"), ("8080|llama", "llama.cpp (Local Host)"))
+LOCAL_PROXIES = (("11434", "Ollama Cloud (Proxy via Local Host)"), ("1234", "LM Studio Cloud Proxy"))
+REMOTE = (
+    ("openai\\.com", "OpenAI API (Cloud)"), ("anthropic\\.com", "Anthropic API (Cloud)"), ("groq\\.com", "Groq API (Cloud)"), ("together\\.(xyz|ai)", "Together AI (Cloud)"), ("deepseek\\.com", "DeepSeek API (Cloud)"),
+    ("openrouter\\.ai", "OpenRouter (Cloud)"), ("mistral\\.ai", "Mistral AI (Cloud)"), ("cohere\\.(com|ai)", "Cohere (Cloud)"), ("azure\\.com", "Azure OpenAI (Cloud)"), ("bedrock|amazonaws\\.com", "AWS Bedrock (Cloud)"),
+)
+
+
+def _first_of(subject: Column, table: tuple, otherwise: Column) -> Column:
+    out = otherwise
+    for pattern, name in reversed(table):
+        out = F.when(subject.rlike("(?i)" + pattern), name).otherwise(out)
+    return out
+
+
+def endpoint_class(url: Column, model: Column | None = None, override: Column | None = None) -> Column:
+    """struct<exec_type, provider, url, is_local> of a model's endpoint.
+
+    Baselines come first, then a missing endpoint, an explicit type, a local host (a model with a cloud tag is a proxy there), and the rest by
+    domain. The URL is left with scheme, host and path.
+    """
+    model = F.lower(F.coalesce(model, F.lit(""))) if model is not None else F.lit("")
+    asked = F.lower(F.coalesce(override, F.lit(""))) if override is not None else F.lit("")
+    ep = F.trim(F.coalesce(url, F.lit("")))
+    host = F.lower(F.regexp_extract(ep, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1))
+    clean = F.regexp_replace(ep, r"[?#].*$", "")
+    local = host.isin("localhost", "127.0.0.1", "0.0.0.0", "[::1]", "[0:0:0:0:0:0:0:1]") | ep.contains("127.0.0.1") | ep.contains("localhost")
+    tagged = model.rlike("[-:/_]cloud|cloud/|cloud$")
+    remote_name = F.concat(F.lit("Cloud API ("), F.when(host != "", host).otherwise(model), F.lit(")"))
+    unknown = F.concat(F.lit("Remote Cloud Endpoint ("), F.when(host != "", host).otherwise("unknown"), F.lit(")"))
+    row = lambda kind, name, where, here: F.struct(F.lit(kind).alias("exec_type"), name.alias("provider"), where.alias("url"), F.lit(here).alias("is_local"))
+    none = F.lit(None).cast("string")
+    return (
+        F.when(model.isin("ground_truth_baseline", "baseline", "gold"), row("baseline", F.lit("In-Memory Deterministic Baseline"), none, True))
+        .when(ep == "", row("local", F.lit("Local Inference"), none, True))
+        .when(asked.isin("cloud", "remote"), row("cloud", F.when(local & ep.contains("11434"), LOCAL_PROXIES[0][1]).otherwise(remote_name), clean, False))
+        .when(asked == "local", row("local", F.when(ep.contains("11434"), LOCAL_SERVERS[0][1]).otherwise("Local Server"), clean, True))
+        .when(local & tagged, row("cloud", _first_of(ep, LOCAL_PROXIES, F.lit("Local Proxy (Cloud-Hosted Model)")), clean, False))
+        .when(local, row("local", _first_of(ep, LOCAL_SERVERS, F.lit("Local OpenAI-Compatible Server")), clean, True))
+        .otherwise(row("cloud", _first_of(host, REMOTE, unknown), clean, False))
+    )
 
 
 def error_class(message: Column) -> Column:
-    """Why a call failed, or null for what may be tried again."""
+    """Why a failed call is fatal, or null for what may be tried again and for what is no failed call."""
     m = F.lower(message)
-    return (
-        F.when(m.contains("401") | m.contains("unauthorized") | m.contains("invalid api key"), "authentication")
-        .when(m.contains("403") | m.contains("forbidden"), "permission")
-        .when(m.contains("404") | m.contains("not found"), "unknown model")
-        .when(m.contains("connection refused") | m.contains("name or service not known"), "unreachable")
-        .when(m.contains("402") | m.contains("quota") | m.contains("insufficient"), "quota")
+    kind = (
+        F.when(m.rlike("401|unauthorized|invalid_api_key|authentication"), "authentication")
+        .when(m.rlike("403|forbidden|permission_denied"), "forbidden")
+        .when(m.rlike("404|not found"), "not_found")
+        .when(m.rlike("connection refused|failed to connect"), "unreachable")
     )
+    return F.when(message.startswith("ERROR_CALLING_MODEL:"), kind)
 
 
 def glob_regex(pattern: str) -> str:

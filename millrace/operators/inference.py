@@ -1,0 +1,63 @@
+"""Model calls as an opaque row function behind an interface; no network code is here."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import answers
+
+#: A provider answers a batch of prompts with (text, prompt tokens, completion tokens) each; a failure is an exception.
+Provider = Callable[[list[str]], list[tuple[str, int, int]]]
+TRY_AGAIN = ("429", "503", "timed out", "rate limit")
+
+
+def echo(prompts: list[str]) -> list[tuple[str, int, int]]:
+    """A mock: the last line of each prompt."""
+    return [(p.strip().rsplit("\n", 1)[-1], len(p) // 4, 1) for p in prompts]
+
+
+def ask(rows: DataFrame, prompt_col: str, provider: Provider, batch: int = 32, attempts: int = 3, wait: float = 1.0) -> DataFrame:
+    """Adds the response and its telemetry. A batch that fails is tried again if that may help; its rows then say what went wrong."""
+    schema = rows.schema.simpleString()[len("struct<") : -1]
+
+    def call(prompts: list[str]) -> list[tuple[str, int, int]]:
+        for k in range(attempts):
+            try:
+                return provider(prompts)
+            except Exception as e:  # noqa: BLE001  a provider may raise anything; the row carries it
+                if k + 1 == attempts or not any(t in str(e).lower() for t in TRY_AGAIN):
+                    return [(f"ERROR_CALLING_MODEL: {e}", 0, 0)] * len(prompts)
+                time.sleep(wait * 2**k)
+        return []
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            parts = []
+            for at in range(0, len(frame), batch):
+                prompts = frame[prompt_col].iloc[at : at + batch].fillna("").tolist()
+                began = time.perf_counter()
+                said = call(prompts)
+                each = (time.perf_counter() - began) / max(1, len(prompts))
+                parts += [(t, each, p, c) for t, p, c in said]
+            yield frame.assign(**{n: [x[i] for x in parts] for i, n in enumerate(("response", "latency", "prompt_tokens", "completion_tokens"))})
+
+    return rows.mapInPandas(run, schema + ", response:string, latency:double, prompt_tokens:bigint, completion_tokens:bigint")
+
+
+def paraphrased(records: DataFrame, provider: Provider) -> DataFrame:
+    """Rows (scaffold_id, persona, title, canonical_query, prompt) with ``user_query`` from a provider: the first clean paraphrase, else the query behind the persona's title."""
+    said = ask(records, "prompt", provider)
+    plain = F.when(F.col("persona") == "general_user", F.col("canonical_query")).otherwise(F.concat(F.lit("["), "title", F.lit("] "), "canonical_query"))
+    clean = F.get(answers.paraphrases(F.col("response")), F.lit(0))
+    failed = F.col("response").startswith("ERROR_CALLING_MODEL:")
+    return said.withColumn("user_query", F.when(failed, plain).otherwise(F.coalesce(clean, plain))).withColumn("llm_generator", F.when(failed | clean.isNull(), "fallback").otherwise("live"))
+
+
+def run_statistics(records: DataFrame) -> DataFrame:
+    """How records came about: cache, live or fallback, and their tokens, by persona and in all."""
+    return records.groupingSets([["persona", "llm_generator"], ["llm_generator"], []], "persona", "llm_generator").agg(F.count(F.lit(1)).alias("records"), F.sum("completion_tokens").alias("tokens"))

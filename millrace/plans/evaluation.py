@@ -9,6 +9,7 @@ from ..functions import answers as A
 from ..functions import numeric as N
 from ..functions import text as T
 from ..operators import grading, relational
+from . import views
 from ._base import query, table
 
 
@@ -92,16 +93,33 @@ def radar_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("event_type", "axis", N.radar_point(F.col("score"), F.col("axis"), 5).alias("p")).select("event_type", "axis", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"))
 
 
-@query("SELECT event_id, CASE WHEN contains(lower(m), '401') THEN 'authentication' WHEN contains(lower(m), 'connection refused') THEN 'unreachable' WHEN contains(lower(m), 'quota') THEN 'quota' END AS reason FROM (SELECT event_id, ['HTTP 401 Unauthorized', 'Connection refused', 'Quota exceeded', 'timeout'][event_id % 4 + 1] AS m FROM events)")
+ERRORS = ["ERROR_CALLING_MODEL: HTTP 401 Unauthorized", "ERROR_CALLING_MODEL: Connection refused", "ERROR_CALLING_MODEL: HTTP 429", "HTTP 404 in a text"]
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'authentication' WHEN 1 THEN 'unreachable' END AS reason FROM events")
 def error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = F.get(F.array(*map(F.lit, ["HTTP 401 Unauthorized", "Connection refused", "Quota exceeded", "timeout"])), (F.col("event_id") % 4).cast("int"))
+    m = F.get(F.array(*map(F.lit, ERRORS)), (F.col("event_id") % 4).cast("int"))
     return events(spark, sf_dir).select("event_id", T.error_class(m).alias("reason"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'local' ELSE 'cloud' END AS exec_type, CASE WHEN page_id % 3 = 0 THEN 'local-11434' ELSE 'example' END AS provider, CASE WHEN page_id % 3 = 0 THEN 'http://localhost:11434/v1' ELSE 'https://api.example.com/v1' END AS url, page_id % 3 = 0 AS is_local FROM pages")
+#: Endpoint, model, asked type; then type, provider, URL, local.
+ENDPOINTS = [
+    ("http://localhost:11434/v1", "m:4b", None, "local", "Ollama (Local Host)", "http://localhost:11434/v1", True), ("http://localhost:11434/v1", "m:cloud", None, "cloud", "Ollama Cloud (Proxy via Local Host)", "http://localhost:11434/v1", False),
+    ("http://127.0.0.1:8000/v1?k=1", "m", None, "local", "vLLM (Local Host)", "http://127.0.0.1:8000/v1", True), ("https://api.openai.com/v1", "m", None, "cloud", "OpenAI API (Cloud)", "https://api.openai.com/v1", False),
+    ("https://x.example.org/v1", "m", None, "cloud", "Remote Cloud Endpoint (x.example.org)", "https://x.example.org/v1", False), ("http://gpu.lan:9000", "m", "local", "local", "Local Server", "http://gpu.lan:9000", True),
+    (None, "m", None, "local", "Local Inference", None, True), ("https://api.openai.com/v1", "gold", None, "baseline", "In-Memory Deterministic Baseline", None, True),
+]
+
+
+def _sql(v: object) -> str:
+    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
+
+
+@query("SELECT page_id, exec_type, provider, url, is_local FROM (SELECT page_id, page_id % 8 AS k FROM pages) JOIN (VALUES " + ", ".join(f"({k}, {', '.join(map(_sql, e[3:]))})" for k, e in enumerate(ENDPOINTS)) + ") v(k, exec_type, provider, url, is_local) USING (k)")
 def endpoint_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = F.when(F.col("page_id") % 3 == 0, "http://localhost:11434/v1").otherwise("https://user:pw@api.example.com/v1?key=1")
-    return table(spark, sf_dir, "pages").select("page_id", T.endpoint_class(url).alias("e")).select("page_id", "e.*")
+    given = F.array(*[F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("url", "model", "asked"), e)]) for e in ENDPOINTS])
+    rows = table(spark, sf_dir, "pages").select("page_id", F.get(given, (F.col("page_id") % 8).cast("int")).alias("g"))
+    return rows.select("page_id", T.endpoint_class(F.col("g.url"), F.col("g.model"), F.col("g.asked")).alias("e")).select("page_id", "e.*")
 
 
 RESPONSES = [("B", "B"), ("(c)", "C"), ("Option D", "D"), ('{"answer": "A", "explanation": "why"}', "A"), ('```json\n{"choice": "b"}\n```', "B"), ("<think>A or B</think>The correct answer is **C**", "C"), ("no idea", None), ("d) because", "D")]
@@ -124,3 +142,27 @@ def grade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.when(k == 0, F.concat(n, F.lit(" N"))).when(k == 1, F.concat(F.lit('{"answer": "'), n, F.lit(' kg m s-2"}'))).when(k == 2, "ERROR_CALLING_MODEL: HTTP 500").when(k == 3, "").otherwise(F.concat(n, F.lit(" J")))
     rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(n, F.lit(" N")).alias("ground_truth_answer"), said.alias("response"), F.lit("free_form").alias("format"), F.lit(None).cast("string").alias("correct_option_key"))
     return grading.graded(rows).select("item_id", "grade.passed", "grade.eval_status", "grade.error_type")
+
+
+@query("""WITH a AS (SELECT user_id, event_type, count(*) AS total, count(*) FILTER (value > 20) AS passed FROM events WHERE user_id % 7 = 0 AND event_type <> 'click' GROUP BY ALL), m AS (SELECT DISTINCT user_id FROM events WHERE user_id % 7 = 0), t AS (SELECT DISTINCT event_type FROM events)
+SELECT m.user_id AS model, t.event_type AS task, coalesce(total, 0) AS total, coalesce(passed, 0) AS passed, CASE WHEN total IS NULL THEN 0 ELSE round(100.0 * passed / total, 2) END AS accuracy_pct FROM m CROSS JOIN t LEFT JOIN a USING (user_id, event_type)""")
+def model_task_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models' scores under a slice, with zeros for tasks without results."""
+    e = events(spark, sf_dir).where(F.col("user_id") % 7 == 0).select(F.col("user_id").alias("model"), F.col("event_type").alias("task"), (F.col("value") > 20).alias("passed"))
+    tasks = [r[0] for r in events(spark, sf_dir).select("event_type").distinct().orderBy("event_type").limit(100).collect()]
+    return views.zero_filled(e, tasks, F.col("task") != "click")
+
+
+@query("SELECT task, records, share, avg_tokens, entities FROM (SELECT lang AS task, count(*) AS records, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS share, round(avg(n_chars), 1) AS avg_tokens, count(DISTINCT source) AS entities FROM documents GROUP BY lang)")
+def viewer_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select(F.col("lang").alias("task"), F.col("source").alias("entity"), F.col("n_chars").alias("tokens"))
+    return views.analytics(d, "task")
+
+
+@query("""WITH s AS (SELECT d.doc_id AS id, d.lang AS task, d.n_chars < 1000 AS short, l.quality AS grade FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT id, task, CASE grade WHEN 1 THEN 'passed' WHEN 0 THEN 'failed' ELSE 'unevaluated' END AS status FROM s WHERE short AND (grade = 0 OR grade IS NULL) AND contains('src', 'src') ORDER BY CASE task WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END, id LIMIT 40""")
+def benchmark_browser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").where("n_chars < 1000").select(F.col("doc_id").alias("id"), F.col("lang").alias("task"))
+    grades = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("passed"))
+    rows = views.browsed(d, grades).where(F.col("status").isin("failed", "unevaluated"))
+    return relational.page(rows.select("id", "task", "status"), [views.ordinal(F.col("task"), ["en", "de"]), F.col("id")], 0, 40)
