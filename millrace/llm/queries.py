@@ -95,7 +95,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
+WORDS_SQL = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_minhash": f"""
+        WITH RECURSIVE t AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh FROM t),
+        e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM e a JOIN e b USING (x)
+              WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
+        l AS (SELECT a, b FROM p WHERE 100 * c >= 85 * (na + nb - c)),
+        g AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, g.b FROM r JOIN g ON r.b = g.a),
+        m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN m USING (doc_id)
+    """,
+    "op6_substring_dedup": f"""
+        WITH t AS (SELECT doc_id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+        i AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, unnest(list_transform(range(1, len(w) - 33), lambda i: sha256(array_to_string(w[i:i + 34], ' ')))) AS h FROM t WHERE len(w) >= 35),
+        v AS (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM i),
+        gone AS (SELECT DISTINCT doc_id, i + j AS k FROM v, (SELECT unnest(range(35)) AS j) WHERE n > 1),
+        e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM t),
+        s AS (SELECT e.doc_id, count(*) FILTER (gone.k IS NOT NULL) AS n_removed, string_agg(e.word, ' ' ORDER BY e.k) FILTER (gone.k IS NULL) AS kept FROM e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.k = e.k GROUP BY e.doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM t LEFT JOIN s USING (doc_id)
+    """,
     "op7_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
