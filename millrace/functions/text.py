@@ -67,19 +67,21 @@ def well_formed(text: Column) -> Column:
     return F.size(math_problems(text)) == 0
 
 
+#: How unit notation is rewritten, as literal texts and then as patterns, in order. Fractions lie between the two.
+UNIT_TEXTS = (("\u2212", "-"), ("×", " * "), ("·", " * "), ("•", " * "), ("\\,", " "), ("\\:", " "), ("\\;", " "), ("\\times", " * "), ("\\cdot", " * "), ("\\left", ""), ("\\right", ""))
+UNIT_MARKS = r"^\$\$|\$\$$|^\\\[|\\\]$|^\$|\$$"
+FRACTION = (r"\\frac\{([^{}]+)\}\{([^{}]+)\}", "($1) / ($2)")
+#: In the last, letters and a signed number are a power, but not the e of a number's exponent.
+UNIT_PATTERNS = ((r"\\(?:text|mathrm|mathbf|mathit)\{([^{}]+)\}", "$1"), (r"\^\{([^{}]+)\}", "**$1"), (r"\^([0-9\-+]+)", "**$1"), (r"(?<![0-9](?=[eE][+-]?[0-9]))([a-zA-Z]+)([-+][0-9]+)", "$1**$2"))
+
+
 def plain_units(text: Column) -> Column:
     """LaTeX or plain unit notation as arithmetic: products with *, powers with **, fractions as quotients."""
-    s = strip(F.coalesce(text, F.lit("")))
-    s = strip(F.regexp_replace(s, r"^\$\$|\$\$$|^\\\[|\\\]$|^\$|\$$", ""))
-    for old, new in (("\u2212", "-"), ("×", " * "), ("·", " * "), ("•", " * "), ("\\,", " "), ("\\:", " "), ("\\;", " "), ("\\times", " * "), ("\\cdot", " * "), ("\\left", ""), ("\\right", "")):
+    s = strip(F.regexp_replace(strip(F.coalesce(text, F.lit(""))), UNIT_MARKS, ""))
+    for old, new in UNIT_TEXTS:
         s = F.replace(s, F.lit(old), F.lit(new))
-    for _ in range(FRACTION_DEPTH):
-        s = F.regexp_replace(s, r"\\frac\{([^{}]+)\}\{([^{}]+)\}", "($1) / ($2)")
-    s = F.regexp_replace(s, r"\\(?:text|mathrm|mathbf|mathit)\{([^{}]+)\}", "$1")
-    s = F.regexp_replace(s, r"\^\{([^{}]+)\}", "**$1")
-    s = F.regexp_replace(s, r"\^([0-9\-+]+)", "**$1")
-    # letters and a signed number are a power, but not the e of a number's exponent
-    s = F.regexp_replace(s, r"(?<![0-9](?=[eE][+-]?[0-9]))([a-zA-Z]+)([-+][0-9]+)", "$1**$2")
+    for pattern, new in (*[FRACTION] * FRACTION_DEPTH, *UNIT_PATTERNS):
+        s = F.regexp_replace(s, pattern, new)
     return strip(F.regexp_replace(s, r"(?U)\s+", " "))
 
 
@@ -143,27 +145,25 @@ def human_bytes(count: Column) -> Column:
     return F.when(count < 1024, F.concat(count.cast("string"), F.lit(" B"))).when(count < 1024**2, scaled(1, "KB")).when(count < 1024**3, scaled(2, "MB")).otherwise(scaled(3, "GB"))
 
 
+#: What a file of a published site is, by patterns of its path; the first that fits counts.
+FILE_LABELS = (
+    (r"^index\.html$", "Web Portal Landing"), (r"^dataset_viewer\.html$", "Dataset Explorer App"), (r"^benchmark/leaderboard\.html$", "Model Leaderboard App"), (r"^benchmark/benchmark_viewer\.html$", "Benchmark Reviewer App"),
+    (r"^benchmark/.*_scorecard\.json$", "Model Evaluation Scorecard"), (r"^benchmark/.*\.jsonl$", "Benchmark Gold Testbed"), (r"^benchmark/", "Benchmark Report & Metadata"),
+    (r"^(manifest|dataset_stats)\.json$", "Dataset Manifest & Telemetry"), (r"(?i)report", "Scientific Report & Card"), (r"^dataset_card\.md$", "Scientific Report & Card"), (r"\.jsonl$", "Dataset Split / Samples"),
+    (r"^by_persona/", "Persona Partition"), (r"^by_archetype/", "Archetype Partition"), (r"^by_category/", "Category Partition"), (r"^formats/", "Export Format Partition"),
+)
+
+
+def _first_of(subject: Column, table: tuple, otherwise: Column, flags: str = "(?i)") -> Column:
+    """The name behind the first pattern of a table that the subject has."""
+    out = otherwise
+    for pattern, name in reversed(table):
+        out = F.when(subject.rlike(flags + pattern), name).otherwise(out)
+    return out
+
+
 def file_label(path: Column) -> Column:
-    """What a file of a published site is; the first branch that fits counts. Labels are fixed values."""
-    p = F.replace(path, F.lit("\\"), F.lit("/"))
-    bench = p.startswith("benchmark/")
-    return (
-        F.when(p == "index.html", "Web Portal Landing")
-        .when(p == "dataset_viewer.html", "Dataset Explorer App")
-        .when(p == "benchmark/leaderboard.html", "Model Leaderboard App")
-        .when(p == "benchmark/benchmark_viewer.html", "Benchmark Reviewer App")
-        .when(bench & p.endswith("_scorecard.json"), "Model Evaluation Scorecard")
-        .when(bench & p.endswith(".jsonl"), "Benchmark Gold Testbed")
-        .when(bench, "Benchmark Report & Metadata")
-        .when(p.isin("manifest.json", "dataset_stats.json"), "Dataset Manifest & Telemetry")
-        .when(F.lower(p).contains("report") | (p == "dataset_card.md"), "Scientific Report & Card")
-        .when(p.endswith(".jsonl"), "Dataset Split / Samples")
-        .when(p.startswith("by_persona/"), "Persona Partition")
-        .when(p.startswith("by_archetype/"), "Archetype Partition")
-        .when(p.startswith("by_category/"), "Category Partition")
-        .when(p.startswith("formats/"), "Export Format Partition")
-        .otherwise("Website Asset")
-    )
+    return _first_of(F.replace(path, F.lit("\\"), F.lit("/")), FILE_LABELS, F.lit("Website Asset"), "")
 
 
 #: Names of model servers by what an endpoint holds, local ones by port or word, remote ones by domain.
@@ -175,13 +175,6 @@ REMOTE = (
 )
 
 
-def _first_of(subject: Column, table: tuple, otherwise: Column) -> Column:
-    out = otherwise
-    for pattern, name in reversed(table):
-        out = F.when(subject.rlike("(?i)" + pattern), name).otherwise(out)
-    return out
-
-
 def endpoint_class(url: Column, model: Column | None = None, override: Column | None = None) -> Column:
     """struct<exec_type, provider, url, is_local> of a model's endpoint.
 

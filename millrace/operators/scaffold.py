@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric, text
 from .relational import first_n
 
 #: The six archetypes in order.
-ARCHETYPES = ("direct_identification", "dimensional_analysis", "unit_conversion", "quantity_distinction", "notation_convention", "uncertainty_evaluation")
+ARCHETYPES = ("direct_identification", "dimensional_decomposition", "conversion_scaling", "error_detection", "semantic_tool_use", "metrological_uncertainty")
+#: The personas, in the order in which ids are searched for them.
+PERSONAS = (
+    "general_user", "physics_student", "firmware_iot_engineer", "data_scientist_analyst", "iso_compliance_auditor", "academic_metrologist", "nist_metrologist", "nrc_metrologist", "isc_science_policy",
+    "iupap_physicist", "iupac_chemist", "iau_astronomer", "iucr_crystallographer", "imu_mathematician", "ursi_radio_scientist", "iutam_mechanics_engineer", "aerospace_propulsion_engineer", "particle_physicist",
+    "iugg_geodesist_geophysicist", "igu_geographer", "isprs_photogrammetrist", "isde_digital_earth", "iuss_soil_scientist", "energy_environmental_scientist",
+    "iubs_biologist", "iuis_immunologist", "iuphar_pharmacologist", "iups_physiologist", "iutox_toxicologist", "iuns_nutritionist", "iufost_food_scientist", "iomp_medical_physicist", "ifmbe_biomedical_engineer",
+    "iupsys_psychologist", "isa_sociologist", "iussp_demographer", "wau_anthropologist", "four_s_science_studies", "iuhpst_historian_philosopher",
+)
 
 
 def _row(archetype: int, query: Column, answer: Column, difficulty: str, when: Column | None = None) -> Column:
@@ -33,11 +41,11 @@ def unit_scaffolds(units: DataFrame, kinds: DataFrame) -> DataFrame:
     base, dims = numeric.si_latex(F.col("dimension_vector")), numeric.dimension_latex(F.col("dimension_vector"))
     factor, zero = F.col("conversion.multiplier"), F.col("conversion.offset")
     rows = [
-        _row(1, c("Which quantity is measured in the unit ", "@label", " (", "@symbol", ")?"), c("The unit ", "@label", " (", "@symbol", ") measures ", "@kinds", "."), "basic"),
+        _row(1, c("Which quantity is measured in the unit ", "@label", " (", "@symbol", ")?"), c("The unit ", "@label", " (", "@symbol", ") measures ", "@kinds", "."), "introductory"),
         _row(2, c("Give the dimension of the unit ", "@label", " in base quantities and in SI base units."), c("Its dimension is $", dims, "$; in SI base units it is $", base, "$."), "intermediate"),
         _row(3, c("How is a value in ", "@label", " converted to the coherent SI unit?"), c("Multiply the value by ", factor.cast("string"), " and add ", zero.cast("string"), "; the result is in $", base, "$."), "intermediate", (factor != 1) | (zero != 0)),
         _row(4, c("Does the unit ", "@symbol", " alone tell which quantity is meant?"), c("No. Units with the dimension $", dims, "$ can belong to several kinds of quantity; ", "@symbol", " is used for ", "@kinds", "."), "advanced"),
-        _row(5, c("How is the symbol of the unit ", "@label", " typeset?"), c("It is printed upright, with a space before it: $1\\,\\text{", "@symbol", "}$."), "basic"),
+        _row(5, c("How is the symbol of the unit ", "@label", " typeset?"), c("It is printed upright, with a space before it: $1\\,\\text{", "@symbol", "}$."), "introductory"),
         _row(6, c("A reading in ", "@label", " has a relative standard uncertainty of 1 %. What is it in SI base units?"), c("A relative uncertainty does not depend on the unit: it stays 1 % in $", base, "$."), "advanced"),
     ]
     return _fan_out(u, F.col("symbol"), rows)
@@ -49,14 +57,19 @@ def constant_scaffolds(constants: DataFrame) -> DataFrame:
     value = F.concat(F.col("numeric_value"), F.lit(" "), F.col("unit_symbol"))
     u = F.coalesce("standard_uncertainty", F.lit("0"))
     rows = [
-        _row(1, F.concat(F.lit("What is the value of the "), "name", F.lit("?")), F.concat(F.lit("The "), "name", F.lit(" is "), value, F.when(exact, ", exactly.").otherwise(F.concat(F.lit(", with standard uncertainty "), u, F.lit(".")))), "basic"),
+        _row(1, F.concat(F.lit("What is the value of the "), "name", F.lit("?")), F.concat(F.lit("The "), "name", F.lit(" is "), value, F.when(exact, ", exactly.").otherwise(F.concat(F.lit(", with standard uncertainty "), u, F.lit(".")))), "introductory"),
         _row(2, F.concat(F.lit("In which unit is the "), "name", F.lit(" expressed?")), F.concat(F.lit("It is expressed in "), "unit_symbol", F.lit(".")), "intermediate"),
-        _row(5, F.concat(F.lit("How is the "), "name", F.lit(" written with its uncertainty?")), F.when(exact, F.concat(F.lit("It is exact and is written without one: "), value, F.lit("."))).otherwise(F.concat(F.lit("Value and uncertainty share a unit: "), value, F.lit(" with u = "), u, F.lit("."))), "basic"),
+        _row(5, F.concat(F.lit("How is the "), "name", F.lit(" written with its uncertainty?")), F.when(exact, F.concat(F.lit("It is exact and is written without one: "), value, F.lit("."))).otherwise(F.concat(F.lit("Value and uncertainty share a unit: "), value, F.lit(" with u = "), u, F.lit("."))), "introductory"),
         _row(6, F.concat(F.lit("Which uncertainty does the "), "name", F.lit(" contribute to a result?")), F.when(exact, "None, as its value is fixed by definition.").otherwise(F.concat(F.lit("Its standard uncertainty "), u, F.lit(", weighted by the sensitivity coefficient."))), "advanced"),
     ]
     return _fan_out(constants, F.coalesce("symbol", "name"), rows)
 
 
+def personas(spark: SparkSession) -> DataFrame:
+    """(persona, title) of all personas."""
+    return spark.createDataFrame([(p, p.replace("_", " ").title()) for p in PERSONAS], "persona string, title string")
+
+
 def generate(units: DataFrame, kinds: DataFrame, constants: DataFrame, limit: int | None = None, category: str | None = None) -> DataFrame:
     """Scaffolds of all entities or of one category (units, constants); with a limit, of the first so many entities of each, taken before they fan out."""
     parts = []

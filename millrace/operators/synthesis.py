@@ -57,7 +57,7 @@ def constants_task(constants: DataFrame, count: int, seed: int = 42) -> DataFram
     c = constants.withColumn("v", F.col("numeric_value").try_cast("double")).where("v is not null and v <> 0")
     shown = lambda x: F.concat(F.format_string("%.6e", x), F.lit(" "), "unit_symbol")
     ask = F.concat(F.lit("What is the value of the "), "name", F.lit("?"))
-    mcq = item("constants", "mcq", F.col("uri"), "basic", ask, shown(F.col("v")), [shown(F.col("v") * 1000), shown(F.col("v") / 1000), shown(-F.col("v")), shown(F.col("v") * 1.0001)], seed)
+    mcq = item("constants", "mcq", F.col("uri"), "introductory", ask, shown(F.col("v")), [shown(F.col("v") * 1000), shown(F.col("v") / 1000), shown(-F.col("v")), shown(F.col("v") * 1.0001)], seed)
     free = F.when(F.col("category") == "exact", item("constants", "free_form", F.col("uri"), "intermediate", F.concat(F.lit("State the exact value of the "), "name", F.lit(" with its unit.")), F.concat("numeric_value", F.lit(" "), "unit_symbol")))
     ranked = c.select((F.col("category") != "exact").alias("later"), F.explode(F.array_compact(F.array(mcq, free))).alias("i"))
     return ranked.orderBy("later", lot(F.col("i.id"), seed), "i.id").limit(count).select("i.*")
@@ -75,7 +75,7 @@ def dimensions_task(units: DataFrame, count: int, seed: int = 42) -> DataFrame:
 
 def conversions_task(spark: SparkSession, units: DataFrame, count: int, seed: int = 42) -> DataFrame:
     t = rows_of(spark, TEMPERATURES, "given string, wanted string")
-    fixed = exploded(t, item("conversions", "free_form", F.col("given"), "basic", F.concat(F.lit("Convert "), "given", F.lit(" to kelvin.")), F.col("wanted")))
+    fixed = exploded(t, item("conversions", "free_form", F.col("given"), "introductory", F.concat(F.lit("Convert "), "given", F.lit(" to kelvin.")), F.col("wanted")))
     u = units.where((F.col("conversion.multiplier") != 1) & (F.length("symbol") < 15)).orderBy(lot(F.col("uri"), seed), "uri").limit(max(0, count - len(TEMPERATURES)))
     m = F.col("conversion.multiplier")
     shown = lambda x: F.format_string("%.6e", x)
@@ -91,7 +91,7 @@ def homogeneity_task(spark: SparkSession, units: DataFrame, count: int, seed: in
     b = exploded(k, item("homogeneity", "mcq", F.concat_ws("-", "one", "two"), "advanced", F.concat(F.lit("May "), "one", F.lit(" and "), "two", F.lit(" be added because their dimensions agree?")), F.lit("No, they are different kinds of quantity."), [F.lit("Yes, always."), F.lit("Yes, in SI units."), F.lit("No, their dimensions differ.")], seed))
     w = Window.partitionBy(F.pmod(F.xxhash64("uri"), F.lit(64))).orderBy(lot(F.col("uri"), seed), "uri")
     pairs = units.select("uri", "label", "dimension_vector", F.lead("label").over(w).alias("next_label"), F.lead("dimension_vector").over(w).alias("next_vector")).where("next_vector is not null and next_vector <> dimension_vector")
-    c = exploded(pairs, item("homogeneity", "mcq", F.col("uri"), "basic", F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?")), F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
+    c = exploded(pairs, item("homogeneity", "mcq", F.col("uri"), "introductory", F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?")), F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
     return cut(a.unionByName(b).unionByName(c), count)
 
 
@@ -101,9 +101,9 @@ def conventions_task(spark: SparkSession, count: int, seed: int = 42) -> DataFra
     a = exploded(n, item("conventions", "mcq", F.col("name"), "intermediate", F.concat(F.lit("Which is the "), "name", F.lit(" in SI base units?")), F.col("base"), [F.get(others, F.lit(i)) for i in range(3)], seed))
     p = rows_of(spark, list(PREFIX_POWERS.items()), "prefix string, power int")
     ten = lambda e: F.concat(F.lit("10^"), e.cast("string"))
-    b = exploded(p, item("conventions", "mcq", F.col("prefix"), "basic", F.concat(F.lit("Which factor has the prefix "), "prefix", F.lit("?")), ten(F.col("power")), [ten(-F.col("power")), ten(F.col("power") + 3), ten(F.col("power") - 3)], seed))
+    b = exploded(p, item("conventions", "mcq", F.col("prefix"), "introductory", F.concat(F.lit("Which factor has the prefix "), "prefix", F.lit("?")), ten(F.col("power")), [ten(-F.col("power")), ten(F.col("power") + 3), ten(F.col("power") - 3)], seed))
     r = rows_of(spark, RULES, "subject string, rule string")
-    c = exploded(r, item("conventions", "free_form", F.col("subject"), "basic", F.concat(F.lit("What is the rule for "), "subject", F.lit("?")), F.col("rule")))
+    c = exploded(r, item("conventions", "free_form", F.col("subject"), "introductory", F.concat(F.lit("What is the rule for "), "subject", F.lit("?")), F.col("rule")))
     return cut(a.unionByName(b).unionByName(c), count)
 
 
@@ -116,10 +116,10 @@ def uncertainty_task(spark: SparkSession, count: int, seed: int = 42) -> DataFra
     q = numeric.quadrature(a, b)
     kinds = [
         item("uncertainty", "mcq", key, "intermediate", F.format_string("Two independent contributions are %.2f m and %.2f m. What is the combined standard uncertainty?", a, b), s(q), [s(a + b), s(F.abs(a - b)), s(q / 2), s(q * q)], seed),
-        item("uncertainty", "free_form", key, "basic", F.format_string("A standard uncertainty is %.2f m. What is the expanded uncertainty for k = 2?", a), s(numeric.expanded(a))),
+        item("uncertainty", "free_form", key, "introductory", F.format_string("A standard uncertainty is %.2f m. What is the expanded uncertainty for k = 2?", a), s(numeric.expanded(a))),
         item("uncertainty", "free_form", key, "advanced", F.format_string("In y = x^2 z, x has %.2f %% and z has %.2f %% relative uncertainty. What has y, in percent?", a, b), F.format_string("%.4f", numeric.relative_quadrature((a, 2), (b, 1)))),
         item("uncertainty", "free_form", key, "intermediate", F.format_string("%.0f readings have a standard deviation of %.2f m. What is the uncertainty of their mean?", n, a), s(a / F.sqrt(n))),
-        item("uncertainty", "free_form", key, "basic", F.format_string("A value lies evenly within %.2f m on either side. What is its standard uncertainty?", a), s(numeric.rectangular(a))),
+        item("uncertainty", "free_form", key, "introductory", F.format_string("A value lies evenly within %.2f m on either side. What is its standard uncertainty?", a), s(numeric.rectangular(a))),
     ]
     chosen = F.get(F.array(*kinds), F.pmod(F.col("id"), F.lit(len(kinds))).cast("int"))
     return cut(r.select(chosen.alias("i")).select("i.*"), count)

@@ -29,17 +29,16 @@ def constants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT archetype, count(*) AS scaffolds, count(DISTINCT entity) AS entities FROM (
-SELECT 'p' || p_partkey AS entity, unnest(list_filter(['direct_identification', 'dimensional_analysis', CASE WHEN p_size <> 1 THEN 'unit_conversion' END, 'quantity_distinction', 'notation_convention', 'uncertainty_evaluation'], lambda x: x IS NOT NULL)) AS archetype FROM part
-UNION ALL SELECT 's' || s_suppkey, unnest(['direct_identification', 'dimensional_analysis', 'notation_convention', 'uncertainty_evaluation']) FROM supplier) GROUP BY archetype""")
+SELECT 'p' || p_partkey AS entity, unnest(list_filter(['direct_identification', 'dimensional_decomposition', CASE WHEN p_size <> 1 THEN 'conversion_scaling' END, 'error_detection', 'semantic_tool_use', 'metrological_uncertainty'], lambda x: x IS NOT NULL)) AS archetype FROM part
+UNION ALL SELECT 's' || s_suppkey, unnest(['direct_identification', 'dimensional_decomposition', 'semantic_tool_use', 'metrological_uncertainty']) FROM supplier) GROUP BY archetype""")
 def scaffolds_by_archetype(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scaffold.generate(units(spark, sf_dir), kinds(spark, sf_dir), constants(spark, sf_dir))
     return s.groupBy("archetype").agg(F.count(F.lit(1)).alias("scaffolds"), F.count_distinct("entity_uri").alias("entities"))
 
 
-@query("""WITH p AS (SELECT DISTINCT c_mktsegment AS persona FROM customer) SELECT persona, 'offline' AS source, CAST(4 * (SELECT count(*) FROM supplier) AS BIGINT) AS records FROM p""")
+@query("SELECT c.persona, 'offline' AS source, CAST(4 * (SELECT count(*) FROM supplier) AS BIGINT) AS records FROM (SELECT unnest([" + ", ".join(f"'{p}'" for p in scaffold.PERSONAS) + "]) AS persona) c")
 def augmented_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    personas = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("persona")).distinct().withColumn("title", F.initcap("persona"))
-    records = scaffold.augmented(scaffold.constant_scaffolds(constants(spark, sf_dir)), personas)
+    records = scaffold.augmented(scaffold.constant_scaffolds(constants(spark, sf_dir)), scaffold.personas(spark))
     return records.groupBy("persona", F.col("llm_generator").alias("source")).agg(F.count(F.lit(1)).alias("records"))
 
 

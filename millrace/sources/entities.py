@@ -75,13 +75,18 @@ def constants(triples: DataFrame, year: int = 2022) -> DataFrame:
     return constants_of(out, year)
 
 
+#: Constants that are exact whatever their record says, in lower case; and uncertainties that mean none.
+EXACT_NAMES = ("planck constant", "speed of light in vacuum", "elementary charge", "boltzmann constant", "avogadro constant", "hyperfine transition frequency of cs-133", "luminous efficacy")
+NO_UNCERTAINTY = ("(exact)", "0", "none", "")
+
+
 def constants_of(rows: DataFrame, year: int) -> DataFrame:
     """Values, uncertainties and exactness of rows (uri, name, symbol, raw, u, ur, unit_symbol, year, and exact if it is known)."""
     parsed = numeric.concise_value(F.coalesce("raw", F.lit("")))
     flagged = F.coalesce(F.col("exact"), F.lit(False)) if "exact" in rows.columns else F.lit(False)
     stated = F.lower(F.coalesce("u", F.lit("")))
-    exact = flagged | stated.contains("exact") | (F.trim(stated) == "")
-    uncertainty = F.when(~stated.contains("exact"), F.coalesce(F.nullif("u", F.lit("")), parsed["uncertainty"]))
+    exact = flagged | F.trim(stated).isin(*NO_UNCERTAINTY) | F.coalesce(F.lower("name").isin(*EXACT_NAMES), F.lit(False))
+    uncertainty = F.when(stated != "(exact)", F.coalesce(F.nullif("u", F.lit("")), parsed["uncertainty"]))
     return rows.select("uri", F.coalesce("name", local(F.col("uri"))).alias("name"), "symbol", F.when(exact, "exact").otherwise("recommended").alias("category"), parsed["value"].alias("numeric_value"), uncertainty.alias("standard_uncertainty"), F.col("ur").alias("relative_uncertainty"), F.coalesce("unit_symbol", F.lit("1")).alias("unit_symbol"), F.coalesce(F.col("year").try_cast("int"), F.lit(year)).alias("defining_year"))
 
 
