@@ -70,8 +70,8 @@ class Transducer:
         self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.worst = -min((self.scores[i] for i in self.ids.values()), default=0.0) + 10.0
         self.beside: dict[int, bool] = {}
-        self.parts: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.parts, self.old_parts = {}, {}
+        self.chunks, self.old_chunks = {}, {}  # two generations: a full one becomes the old one, from which what is used again moves up
         # a cut before a space mark that follows another symbol; the text begins a chunk
         self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -160,15 +160,17 @@ class Transducer:
         """A chunk's ids, from those of its parts between places that nothing crosses."""
         ids = self.chunks.get(chunk)
         if ids is None:
-            joined, parts, begin = self.joined, [], 0
-            for i in range(1, len(chunk)):
-                if chunk[i - 1 : i + 1] not in joined:
-                    parts.append(chunk[begin:i])
-                    begin = i
-            parts.append(chunk[begin:])
-            ids = b"".join(map(self.part, parts))
+            ids = self.old_chunks.get(chunk)
+            if ids is None:
+                joined, parts, begin = self.joined, [], 0
+                for i in range(1, len(chunk)):
+                    if chunk[i - 1 : i + 1] not in joined:
+                        parts.append(chunk[begin:i])
+                        begin = i
+                parts.append(chunk[begin:])
+                ids = b"".join(map(self.part, parts))
             if len(self.chunks) >= CACHE:
-                self.chunks.clear()
+                self.chunks, self.old_chunks = {}, self.chunks
             if len(chunk) <= 64:
                 self.chunks[chunk] = ids
         return ids
@@ -176,9 +178,11 @@ class Transducer:
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            ids = b"".join(i.to_bytes(4, "little") for i in self.shortest(part))
+            ids = self.old_parts.get(part)
+            if ids is None:
+                ids = b"".join(i.to_bytes(4, "little") for i in self.shortest(part))
             if len(self.parts) >= CACHE:
-                self.parts.clear()
+                self.parts, self.old_parts = {}, self.parts
             if len(part) <= 64:
                 self.parts[part] = ids
         return ids
