@@ -73,21 +73,28 @@ def concise_value(text: Column) -> Column:
     return F.struct(value.alias("value"), F.when(concise, F.concat(u, suffix)).alias("uncertainty"))
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def canonical_decimal(text: Column) -> Column:
     """struct<negative, digits, power>: equal exactly when the numbers are; null if the text is no number."""
-    s = F.replace(F.trim(text), F.lit(" "), F.lit(""))
-    mantissa = F.regexp_replace(F.regexp_replace(s, "^[+-]", ""), "[eE].*$", "")
-    power = F.coalesce(F.regexp_extract(s, "[eE]([+-]?[0-9]+)$", 1).try_cast("long"), F.lit(0))
-    fraction = F.regexp_extract(mantissa, r"\.([0-9]*)$", 1)
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "^0+", "")
-    short = F.regexp_replace(digits, "0+$", "")
-    zero = short == ""
-    exact = F.struct(
-        F.when(zero, F.lit(False)).otherwise(s.startswith("-")).alias("negative"),
-        short.alias("digits"),
-        F.when(zero, F.lit(0)).otherwise(power - F.length(fraction) + F.length(digits) - F.length(short)).cast("long").alias("power"),
-    )
-    return F.when(s.rlike(NUMBER), exact)
+
+    def parts(s: Column) -> Column:
+        mantissa = F.regexp_extract(s, r"^[+-]?([0-9.]*)", 1)
+        power = F.coalesce(F.regexp_extract(s, "[eE]([+-]?[0-9]+)$", 1).try_cast("long"), F.lit(0))
+        digits = F.ltrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
+        places = F.when(mantissa.contains("."), F.length(mantissa) - F.instr(mantissa, ".")).otherwise(F.lit(0))
+        return once(F.struct(s.startswith("-").alias("minus"), power.alias("power"), places.alias("places"), digits.alias("digits")), exact)
+
+    def exact(p: Column) -> Column:
+        short = F.rtrim(p["digits"], F.lit("0"))
+        zero = short == ""
+        power = p["power"] - p["places"] + F.length(p["digits"]) - F.length(short)
+        return F.struct((p["minus"] & ~zero).alias("negative"), short.alias("digits"), F.when(zero, F.lit(0)).otherwise(power).cast("long").alias("power"))
+
+    return once(F.replace(F.trim(text), F.lit(" "), F.lit("")), lambda s: F.when(s.rlike(NUMBER), parts(s)))
 
 
 def same_decimal(a: Column, b: Column) -> Column:

@@ -245,10 +245,12 @@ p AS (SELECT *, row_number() OVER (ORDER BY sha256('42_' || doc_id), doc_id) - 1
 s AS (SELECT *, CASE WHEN i < CAST(floor(n * CAST(0.85 AS DOUBLE)) AS BIGINT) THEN 'train' WHEN i < CAST(floor(n * CAST(0.85 AS DOUBLE)) AS BIGINT) + CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM p)
 SELECT split, lang, count(*) AS records, CAST(sum(v) AS BIGINT) AS tokens, max(v) AS most_tokens, count(*) FILTER (ok) AS well_formed, count(*) FILTER (quality = 1) AS approved FROM s GROUP BY GROUPING SETS ((split, lang), (split), ())""")
 def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with labels, tokens and the math gate, without copies, split and reported by split and language."""
-    rows = docs(spark, sf_dir).select("doc_id", "lang", "text")
-    unique = relational.exact_dedup(rows, F.col("text"), "doc_id")
-    slim = unique.select("doc_id", "lang", T.approx_tokens(F.col("text")).alias("v"), T.well_formed(F.col("text")).alias("ok"))
-    both = slim.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    """Records with labels, tokens and the math gate, without copies, split and reported by split and language.
+
+    Texts are reduced to narrow rows in the scan; the rest of the plan never sees them.
+    """
+    slim = docs(spark, sf_dir).select("doc_id", "lang", T.approx_tokens(F.col("text")).alias("v"), T.well_formed(F.col("text")).alias("ok"), T.text_key(F.col("text")).alias("key"))
+    unique = relational.earliest(slim, ["key"], F.col("doc_id")).drop("key")
+    both = unique.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     split = relational.hash_split(both, "doc_id")
     return split.groupingSets([["split", "lang"], ["split"], []], "split", "lang").agg(F.count(F.lit(1)).alias("records"), F.sum("v").alias("tokens"), F.max("v").alias("most_tokens"), F.count_if("ok").alias("well_formed"), F.count_if(F.col("quality") == 1).alias("approved"))
