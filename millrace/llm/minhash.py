@@ -10,7 +10,7 @@ Documents with equal sets are one class first, so copies cost one row. Within a
 3. in buckets that still hold several components, each class outside the bucket's main component is held against all
    classes of other components, so no pair that meets in any bucket and could bring two components together is left out. Here a class
    is charged with its lone shingles, those that no other class in such buckets has: they can be in no intersection, and a
-   class or pair that they alone keep under the threshold is not tried.
+   class or pair that they alone keep under the threshold is not compared. Sets are compared within the join, which makes rows of links alone.
 Candidates pass a length bound (exact) and a bound on the 2-bit codes of the signature, six standard deviations wide, before
 their sets are compared. A pair at the threshold fails to meet in any bucket with probability under ``MISS``.
 
@@ -138,9 +138,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return both.where(enough).select("a", "b")
 
 
-def lone_shingles(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(rep, lone): how many of a document's shingles no other of the documents ``ids`` has."""
-    sets = sets_of(checked_join(docs, ids, ["doc_id"], "left_semi"), k)
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """(rep, lone): how many shingles of each of the ``sets`` no other one has."""
     once = sets.select("id", F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), F.min("id").alias("rep")).where("many = 1")
     return once.groupBy("rep").agg(F.count(F.lit(1)).alias("lone"))
 
@@ -174,13 +173,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
     mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.col("size") * 1048576 + F.pmod(F.xxhash64("label"), F.lit(1048576))).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     apart = stash(labelled.join(mixed, "bucket").join(nodes, "rep").drop("kinds"), "apart")
-    apart = apart.join(lone_shingles(texts, apart.select(F.col("rep").alias("doc_id")).distinct(), k), "rep", "left").withColumn("common", F.col("n") - F.coalesce("lone", F.lit(0)))
+    ids = apart.select(F.col("rep").alias("doc_id")).distinct()
+    sets = stash(sets_of(checked_join(texts, ids, ["doc_id"], "left_semi"), k), "sets")
+    apart = apart.join(lone_shingles(sets), "rep", "left").withColumn("common", F.col("n") - F.coalesce("lone", F.lit(0)))
     apart = stash(apart.where(F.col("common") * 100 >= F.col("n") * percent), "apart")
+    apart = apart.join(sets.withColumnRenamed("id", "rep"), "rep")
     o, m = apart.where("label != main").alias("o"), apart.alias("m")
-    enough = F.least("o.common", "m.common") * (100 + percent) >= (F.col("o.n") + F.col("m.n")) * percent
-    close = o.join(m, (F.col("o.bucket") == F.col("m.bucket")) & (F.col("o.label") != F.col("m.label")) & enough & could_link("o", "m", percent))
-    rest = ordered(close.select(F.col("o.rep").alias("x"), F.col("m.rep").alias("y")), "x", "y").join(tried, ["a", "b"], "left_anti")
-    more = stash(confirm(stash(rest, "rest"), texts, k, percent), "confirmed")
+    enough = lambda common: common * (100 + percent) >= (F.col("o.n") + F.col("m.n")) * percent
+    linked = enough(F.least("o.common", "m.common")) & could_link("o", "m", percent) & enough(F.size(F.array_intersect("o.set", "m.set")))
+    close = o.join(m, (F.col("o.bucket") == F.col("m.bucket")) & (F.col("o.label") != F.col("m.label")) & linked)
+    more = stash(ordered(close.select(F.col("o.rep").alias("x"), F.col("m.rep").alias("y")), "x", "y"), "confirmed")
     if not more.isEmpty():
         labels = components(links.union(more))
 
