@@ -4,10 +4,10 @@ Method: two interpolated bigram models, target and background, matched in order,
 target is trained on the documents labelled good, the background on all. A document's score is the mean
 difference of the per-token losses, target minus background: low scores look like the target.
 
-Both models share one vocabulary: the ``VOCABULARY`` words that most target documents' text has (ties by word), and one
-class for all others. Bigrams are counted in ``SLOTS`` hashed slots, so a model's size is fixed while its counts cover the whole
-corpus; two bigrams in a slot count as one in either model alike. Each task counts what it reads before anything is
-shuffled.
+Both models share one vocabulary: the words of the target documents, and one class for all others. Words and (previous, word)
+pairs are counted exactly, in tables that grow with the corpus; nothing is hashed, cut or brought to the driver. Each task counts
+what it reads before anything is shuffled. A pair's losses are computed once, and documents meet them in a join on the pair;
+pairs with frequent words make skewed partitions, which adaptive execution splits.
 
 Cases: a null or empty text has the end symbol alone as its token; null ids are scored but are never target documents;
 labels with null ids or values are ignored; without labels the target model is uniform; repeated rows count each time; an
@@ -20,69 +20,32 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checked_join, small_batches
+from ._common import checked_join, small_batches, stash
 
-VOCABULARY = 1 << 16
-SLOTS = 1 << 20
 #: Weight of the bigram estimate, and what is added to every unigram count.
 BIGRAM_WEIGHT = 0.7
 ADDED = 0.5
-#: Ids of a text's end (which also stands before its first word) and of words outside the vocabulary.
-END, OTHER = 0, 1
+#: A text's end (which also stands before its first word) and words outside the vocabulary, as words that no text has.
+END, OTHER = b"", b" "
+#: Pairs that a task counts before it hands them on.
+PARTIAL = 400_000
 
 
 @dataclass
 class Model:
-    """Counts by symbol and by bigram slot; target at 0, background at 1."""
+    """Tables of counts t (target) and b (background)."""
 
-    words: dict[bytes, int]
-    unigrams: np.ndarray
-    bigrams: np.ndarray
-
-    def losses(self, ids: np.ndarray, before: np.ndarray, which: int) -> np.ndarray:
-        """-log2 of each token's probability."""
-        one, two = self.unigrams[which], self.bigrams[which]
-        # every token is the context of one bigram but for the last, whose place the start takes: contexts count as unigrams do
-        alone = (one[ids] + ADDED) / (one.sum() + ADDED * len(one))
-        context = one[before]
-        pair = np.minimum(two[slots(before, ids, len(two))], context)  # a shared slot never makes a pair likelier than its context
-        weight = np.where(context > 0, BIGRAM_WEIGHT, 0.0)
-        return -np.log2(weight * pair / np.maximum(context, 1) + (1 - weight) * alone)
-
-
-def slots(before: np.ndarray, ids: np.ndarray, count: int) -> np.ndarray:
-    """Slot of each bigram."""
-    key = before.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
-    key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    key = (key ^ (key >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return (key >> np.uint64(40)).astype(np.int64) % count
-
-
-class Ids(dict):
-    """Id of a word; words outside the vocabulary are not kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        return OTHER
-
-
-def encoded(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of texts that stand one after another, each with its end; the ids before them; and where each text begins."""
-    parts, sizes = [], []
-    for t in texts:
-        w = t.split()
-        part = np.empty(len(w) + 1, np.int32)
-        part[:-1] = np.fromiter(map(words.__getitem__, w), np.int32, len(w))
-        part[-1] = END
-        parts.append(part)
-        sizes.append(len(part))
-    ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    before = np.concatenate([[END], ids[:-1]]).astype(np.int32) if len(ids) else ids
-    return ids, before, np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64)
+    docs: DataFrame
+    words: DataFrame  # word, t, b: the vocabulary and END
+    pairs: DataFrame  # before, word, t, b: as in the texts
+    mixed: DataFrame  # before, word, t, b: pairs with OTHER
+    others: tuple[int, int]  # t, b of OTHER
+    totals: tuple[int, int]
+    symbols: int
 
 
 def target_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, good: str) -> DataFrame:
@@ -92,74 +55,115 @@ def target_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return checked_join(rows, chosen, ["doc_id"], "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
 
-def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
-    """The most frequent words of the target rows; at most ``size`` reach the driver."""
+def counted(rows: DataFrame) -> DataFrame:
+    """(before, word, t, b): how often each pair stands in target rows and in all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        all_rows: Counter[tuple[bytes, bytes]] = Counter()
+        target_rows: Counter[tuple[bytes, bytes]] = Counter()
 
-        def emit() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
+        def emit() -> Iterator[pa.RecordBatch]:
+            keys = list(all_rows)
+            for k in range(0, len(keys), 50_000):
+                part = keys[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.binary()), pa.array([x[1] for x in part], pa.binary()), pa.array([target_rows.get(x, 0) for x in part], pa.int64()), pa.array([all_rows[x] for x in part], pa.int64())], names=["before", "word", "t", "b"])
+            all_rows.clear()
+            target_rows.clear()
 
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(text.as_py().split())
-                if len(counts) > 200_000:
-                    yield emit()
-        if counts:
-            yield emit()
+            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                w = text.split()
+                pairs = list(zip([END, *w], [*w, END]))
+                all_rows.update(pairs)
+                if target:
+                    target_rows.update(pairs)
+                if len(all_rows) > PARTIAL:
+                    yield from emit()
+        yield from emit()
+
+    out = rows.select("text", "target").mapInArrow(run, "before binary, word binary, t long, b long")
+    return out.groupBy("before", "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+
+
+def mapped(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``pairs`` with what the vocabulary says: known_before and its counts ct, cb; known_word and its counts wt, wb."""
+    before = words.select(F.col("word").alias("before"), F.col("t").alias("ct"), F.col("b").alias("cb"), F.lit(True).alias("known_before"))
+    word = words.select("word", F.col("t").alias("wt"), F.col("b").alias("wb"), F.lit(True).alias("known_word"))
+    return pairs.join(before, "before", "left").join(word, "word", "left")
+
 
-    words = rows.where("target").select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "word").limit(size).collect()
-    return Ids({bytes(r.word): k for k, r in enumerate(top, 2)})
+def classed(pairs: DataFrame) -> DataFrame:
+    """The pairs of ``mapped`` that have an unknown word, with OTHER in its place."""
+    rows = pairs.where("known_before is null or known_word is null")
+    return rows.withColumns({c: F.when(F.col(f"known_{c}"), F.col(c)).otherwise(F.lit(OTHER)) for c in ("before", "word")})
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", good: str = "quality = 1 and toxic = 0", size: int = VOCABULARY, count: int = SLOTS) -> Model:
-    """Both models, from all of ``docs``."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", good: str = "quality = 1 and toxic = 0", size: int | None = None) -> Model:
+    """Both models, from all of ``docs``; a vocabulary of the ``size`` most frequent target words if asked for (ties by word), of all by default."""
     small_batches(docs.sparkSession)
-    rows = target_rows(docs, labels, id_col, text_col, good)
-    words = vocabulary(rows, size)
-    symbols = len(words) + 2
-    shared = docs.sparkSession.sparkContext.broadcast(dict(words))
+    pairs = stash(counted(target_rows(docs, labels, id_col, text_col, good)), "pairs")
+    # every token is the word of one pair
+    every = stash(pairs.groupBy("word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "words")
+    known = every.where((F.col("t") > 0) & (F.col("word") != F.lit(END)))
+    if size is not None:
+        known = known.orderBy(F.desc("t"), "word").limit(size)
+    words = stash(known.unionByName(every.where(F.col("word") == F.lit(END))), "vocabulary")
+    sums = lambda df: df.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0)), F.count_if(F.col("word") != F.lit(END))).first()
+    (t, b, _), (in_t, in_b, n) = sums(every), sums(words)
+    mixed = stash(classed(mapped(pairs, words)).groupBy("before", "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "mixed")
+    return Model(docs, words, pairs, mixed, (t - in_t, b - in_b), (t, b), n + 2)
+
+
+def losses(pairs: DataFrame, model: Model) -> DataFrame:
+    """(before, word, t_loss, b_loss): -log2 of a pair's probability in either model; ``pairs`` has each pair's own counts."""
+
+    def loss(k: int, pair: Column, context: Column, word: Column) -> Column:
+        alone = (F.coalesce(word, F.lit(model.others[k])) + ADDED) / (model.totals[k] + ADDED * model.symbols)
+        c = F.coalesce(context, F.lit(model.others[k]))
+        # every token is the context of one bigram but for the last, whose place the start takes: contexts count as unigrams do
+        return -F.log2(F.when(c > 0, BIGRAM_WEIGHT * pair / c + (1 - BIGRAM_WEIGHT) * alone).otherwise(alone))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Ids(shared.value)
-        sums = [np.zeros(symbols + count, np.int64) for _ in range(2)]
-        for batch in batches:
-            target = np.array(batch.column(1).to_pylist(), bool)
-            texts = batch.column(0).to_pylist()
-            for which, part in ((0, [t for t, x in zip(texts, target) if x]), (1, texts)):
-                ids, before, _ = encoded(part, known)
-                sums[which][:symbols] += np.bincount(ids, minlength=symbols)
-                sums[which][symbols:] += np.bincount(slots(before, ids, count), minlength=count)
-        at = np.flatnonzero(sums[1])
-        for k in range(0, len(at), 50_000):
-            a = at[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(sums[0][a]), pa.array(sums[1][a])], names=["slot", "t", "b"])
-
-    counts = rows.select("text", "target").mapInArrow(run, "slot long, t long, b long").groupBy("slot").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    found = counts.toArrow()  # symbols + slots rows at most, whatever the corpus
-    at, sums = found["slot"].to_numpy(), np.zeros((2, symbols + count))
-    sums[0, at], sums[1, at] = found["t"].to_numpy(), found["b"].to_numpy()
-    return Model(words, sums[:, :symbols], sums[:, symbols:])
+    def out(df: DataFrame) -> DataFrame:
+        return df.select("before", "word", loss(0, F.col("t"), F.col("ct"), F.col("wt")).alias("t_loss"), loss(1, F.col("b"), F.col("cb"), F.col("wb")).alias("b_loss"))
 
+    all_pairs = stash(mapped(pairs, model.words), "mapped")
+    unknown = classed(all_pairs.withColumns({"said_before": F.col("before"), "said_word": F.col("word")})).drop("t", "b")
+    unknown = unknown.join(model.mixed, ["before", "word"], "left").fillna(0, ["t", "b"])
+    return out(all_pairs.where("known_before and known_word")).unionByName(out(unknown.drop("before", "word").withColumnsRenamed({"said_before": "before", "said_word": "word"})))
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, target_loss and background_loss (bits per token), score (their difference)."""
-    shared = docs.sparkSession.sparkContext.broadcast((dict(model.words), model.unigrams.astype(np.float32), model.bigrams.astype(np.float32)))
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, doc_id, before, word, n): each row's pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, one, two = shared.value
-        local = Model(Ids(words), one.astype(np.float64), two)
         for batch in batches:
-            ids, before, start = encoded([t or b"" for t in batch.column(1).to_pylist()], local.words)
-            if not len(ids):
-                continue
-            size = np.diff(np.concatenate([start, [len(ids)]]))
-            target, background = (np.add.reduceat(local.losses(ids, before, k), start) / size for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(target), pa.array(background), pa.array(target - background)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+            out: list[tuple] = []
+            for row, doc, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                w = text.split()
+                out += [(row, doc, *pair, n) for pair, n in Counter(zip([END, *w], [*w, END])).items()]
+                if len(out) > 50_000:
+                    yield emit(out)
+                    out = []
+            if out:
+                yield emit(out)
 
+    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "before": pa.binary(), "word": pa.binary(), "n": pa.int64()}
+
+    def emit(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    return rows.mapInArrow(run, "row long, doc_id long, before binary, word binary, n long")
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_tokens, target_loss and background_loss (bits per token), score (their difference)."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary")).mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    said = occurrences(docs, id_col, text_col)
+    pairs = model.pairs
+    if docs is not model.docs:  # pairs that the models have not seen count 0
+        pairs = said.select("before", "word").distinct().join(pairs, ["before", "word"], "left").fillna(0, ["t", "b"])
+    rows = said.join(losses(pairs, model), ["before", "word"]).groupBy("row", "doc_id")
+    mean = lambda c: (F.sum(F.col("n") * F.col(c)) / F.sum("n"))
+    rows = rows.agg(F.sum("n").alias("n_tokens"), mean("t_loss").alias("target_loss"), mean("b_loss").alias("background_loss"))
+    return rows.select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -92,3 +92,21 @@ def test_scores_part_labelled_documents(spark):
     scored = lm_scoring.score(docs, lm_scoring.train(docs, labels)).join(labels, "doc_id").groupBy("quality").avg("score").collect()
     mean = {r.quality: r[1] for r in scored}
     assert mean[1] < mean[0]
+
+
+def test_pairs_are_counted_exactly_and_the_vocabulary_is_whole(spark):
+    """More words than 65,536 and more pairs than would go into 2^20 slots without sharing: no pair borrows another's count."""
+    n = 70_000
+    docs = [(k, " ".join(f"w{i}" for i in range(k, n, 100))) for k in range(100)] + [(-1, " ".join(f"w{i}" for i in range(n - 1, -1, -7)))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    model = lm_scoring.train(frame, spark.createDataFrame([(k, 1, 0) for k in range(100)], "doc_id long, quality int, toxic int"))
+    out = {r.doc_id: r for r in lm_scoring.score(frame, model).collect()}
+    total, symbols = n + 100, n + 2
+    alone = lambda c: (c + 0.5) / (total + 0.5 * symbols)
+    first, last = -math.log2(0.7 / 100 + 0.3 * alone(1)), -math.log2(0.7 + 0.3 * alone(100))
+    assert out[5].target_loss == pytest.approx((first + 699 * -math.log2(0.7 + 0.3 * alone(1)) + last) / 701, rel=1e-9)
+    assert out[-1].target_loss == pytest.approx((10_000 * -math.log2(0.3 * alone(1)) - math.log2(0.3 * alone(100))) / 10_001, rel=1e-9)
+    other = spark.createDataFrame([(7, "w0 w100 nowhere w3"), (8, None)], "doc_id long, text string")
+    seen = {r.doc_id: r for r in lm_scoring.score(other, model).collect()}
+    bits = [first, -math.log2(0.7 + 0.3 * alone(1)), -math.log2(0.3 * alone(0)), -math.log2(alone(1)), -math.log2(0.3 * alone(100))]
+    assert seen[7].target_loss == pytest.approx(sum(bits) / 5, rel=1e-9) and seen[8].n_tokens == 1
