@@ -2,14 +2,14 @@
 
 Method: information-theoretic sanitisation. Patterns find protected entities (email, ip, card, phone). The words within
 ``REACH`` words of an entity, on its line, are its context. Over the whole corpus, with N words, c(t) occurrences of a term
-and c(t, e) of them in distinct contexts of entities of kind e,
+and c(t, e) of them in contexts of entities of kind e,
 
     PMI(t; e) = log2((c(t, e) / c(t)) / p(e)),   IC(e) = -log2 p(e),   p(e) = 2 * REACH * c(e) / N,
 
 and PMI(t; e) <= IC(e), with equality if the term never stands elsewhere. A term with PMI(t; e) >= ALPHA * IC(e) in
 ``SUPPORT`` or more distinct contexts discloses the entity; where it stands in a context it is a span too, and is removed when
-a text is sanitised, while entities are generalised to their kind. Copies of a context count once but their words count each time
-in c(t), so copying can only lower a term's estimate. Native DataFrame operations throughout.
+a text is sanitised, while entities are generalised to their kind. Every count is of all occurrences, copies too; only for ``SUPPORT``
+do copies of a context count once. Native DataFrame operations throughout.
 
 One pass over the texts finds entities and contexts, one counts terms; only ids, spans and contexts are shuffled.
 
@@ -148,9 +148,18 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """(term, kind, score) of the terms that disclose a kind; score is PMI / IC."""
-    near = found.where("contexts is not null").select(F.explode("contexts").alias("c"))
-    seen = near.select("c.kind", "c.mark", F.explode("c.words").alias("w")).select("kind", "mark", F.col("w.term").alias("term")).distinct()
-    with_kind = stash(seen.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("c_te")).where(F.col("c_te") >= support), "near-terms")
+    near = found.where("contexts is not null")
+    seen = near.select(F.explode("contexts").alias("c")).select("c.kind", "c.mark", F.explode("c.words").alias("w")).select("kind", "mark", F.col("w.term").alias("term")).distinct()
+    held = seen.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("n_contexts")).where(F.col("n_contexts") >= support)
+
+    def places(k: str) -> Column:
+        """A row's words near entities of a kind, each once however many of them it is near."""
+        words = F.flatten(F.transform(F.filter("contexts", lambda c: c["kind"] == k), lambda c: c["words"]))
+        return F.struct(F.lit(k).alias("kind"), F.array_distinct(words).alias("words"))
+
+    stood = near.select(F.explode(F.array(*[places(k) for k in KINDS])).alias("c")).select("c.kind", F.explode("c.words").alias("w"))
+    stood = stood.groupBy(F.col("w.term").alias("term"), "kind").agg(F.count(F.lit(1)).alias("c_te"))
+    with_kind = stash(stood.join(held.select("term", "kind"), ["term", "kind"]), "near-terms")
     asked = with_kind.select("term").distinct()
     few = asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     words = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), f"[{WS}]+")).alias("w")).select(term(F.col("w")).alias("term"))

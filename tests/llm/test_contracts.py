@@ -159,3 +159,14 @@ def test_terms_that_disclose(spark):
     for r in both:
         assert [r.text[s.start : s.end] for s in r.spans] == ([f"a{r.doc_id}@b{r.doc_id}.org", "foo", "Reach", "us"] if r.doc_id < 200 else [])
     assert both[3].clean == "w3 v3\n x3  : <email>, or not y3\nthe end of it or not or not or not "
+
+
+def test_terms_that_disclose_survive_copies(spark):
+    """A term that stands beside e-mails alone scores 1, however often its documents are copied or two e-mails share it."""
+    from millrace.llm import pii
+
+    texts = [f"write to clerk{k} zorblat now u{k}@mail.org or v{k}@mail.org" for k in range(pii.SUPPORT)] * 50 + ["plain words of no account " * 40] * 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.entities(frame).localCheckpoint()
+    score = {(r.term, r.kind): r.score for r in pii.disclosing_terms(frame, found).collect()}
+    assert abs(score["zorblat", "email"] - 1) < 1e-9
