@@ -7,11 +7,11 @@ and c(t, e) of them in contexts of entities of kind e,
     PMI(t; e) = log2((c(t, e) / c(t)) / p(e)),   IC(e) = -log2 p(e),   p(e) = 2 * REACH * c(e) / N,
 
 and PMI(t; e) <= IC(e), with equality if the term never stands elsewhere. A term with PMI(t; e) >= ALPHA * IC(e) in
-``SUPPORT`` or more distinct contexts discloses the entity; where it stands in a context it is a span too, and is removed when
+``SUPPORT`` or more distinct contexts discloses the entity; wherever it stands in any text it is a span too, and is removed when
 a text is sanitised, while entities are generalised to their kind. Every count is of all occurrences, copies too; only for ``SUPPORT``
 do copies of a context count once. Native DataFrame operations throughout.
 
-One pass over the texts finds entities and contexts, one counts terms; only ids, spans and contexts are shuffled.
+One pass over the texts finds entities and contexts, one counts terms, one looks up the disclosing terms among all words of all texts.
 
 Cases: a null text is empty; null and repeated ids are rows of their own; an empty table gives an empty result;
 extra columns are ignored. Offsets count code points.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, WS, let, stash
+from ._common import BROADCAST_ROWS, WS, checked_join, let, stash
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 8
@@ -123,27 +123,41 @@ def context(text: Column, span: Column) -> Column:
     return let(F.struct(left.alias("left"), right.alias("right")), both)
 
 
+def taken(w: Column, found: Column) -> Column:
+    """Whether a word overlaps an entity."""
+    hit = F.lit(False)
+    for k in KINDS:
+        hit = hit | F.exists(found[k], lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
+    return hit
+
+
+def places(text: Column, terms: Column, found: Column) -> Column:
+    """Spans of the words of a whole text that are among ``terms``, in order, as array<struct<start, end>>."""
+
+    def step(acc: Column, w: Column) -> Column:
+        one = F.struct(acc["at"].alias("start"), (acc["at"] + F.length(F.rtrim(w, F.lit(".,;:!?")))).alias("end"))
+        more = F.when(F.array_contains(terms, term(w)) & ~taken(one, found), F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
+        return F.struct((acc["at"] + F.length(w) + F.lit(1)).alias("at"), more.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    return F.aggregate(F.split(text, f"[{WS}]"), start, step)["out"]
+
+
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: row, doc_id, n_words, found (struct of the kinds' spans), contexts (array of kind, mark, words)."""
+    """Per row: row, doc_id, text, n_words, found (struct of the kinds' spans), contexts (array of kind, mark, words)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = F.struct(*[spans(k, F.col("text")).alias(k) for k in KINDS])
     rows = rows.select("doc_id", "text", F.regexp_count("text", F.lit(f"[^{WS}]+")).alias("n_words"), found.alias("found"))
     any_found = sum((F.size(F.col("found")[k]) for k in KINDS), F.lit(0)) > 0
 
-    def taken(w: Column) -> Column:
-        hit = F.lit(False)
-        for k in KINDS:
-            hit = hit | F.exists(F.col("found")[k], lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
-        return hit
-
     def of(k: str) -> Column:
         def one(s: Column) -> Column:
-            return let(context(F.col("text"), s), lambda c: F.struct(F.lit(k).alias("kind"), c["mark"].alias("mark"), F.filter(c["words"], lambda w: ~taken(w)).alias("words")))
+            return let(context(F.col("text"), s), lambda c: F.struct(F.lit(k).alias("kind"), c["mark"].alias("mark"), F.filter(c["words"], lambda w: ~taken(w, F.col("found"))).alias("words")))
 
         return F.transform(F.col("found")[k], one)
 
     contexts = F.when(any_found, F.concat(*[of(k) for k in KINDS]))
-    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", "found", contexts.alias("contexts"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "n_words", "found", contexts.alias("contexts"))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
@@ -152,12 +166,12 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text",
     seen = near.select(F.explode("contexts").alias("c")).select("c.kind", "c.mark", F.explode("c.words").alias("w")).select("kind", "mark", F.col("w.term").alias("term")).distinct()
     held = seen.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("n_contexts")).where(F.col("n_contexts") >= support)
 
-    def places(k: str) -> Column:
+    def near_kind(k: str) -> Column:
         """A row's words near entities of a kind, each once however many of them it is near."""
         words = F.flatten(F.transform(F.filter("contexts", lambda c: c["kind"] == k), lambda c: c["words"]))
         return F.struct(F.lit(k).alias("kind"), F.array_distinct(words).alias("words"))
 
-    stood = near.select(F.explode(F.array(*[places(k) for k in KINDS])).alias("c")).select("c.kind", F.explode("c.words").alias("w"))
+    stood = near.select(F.explode(F.array(*[near_kind(k) for k in KINDS])).alias("c")).select("c.kind", F.explode("c.words").alias("w"))
     stood = stood.groupBy(F.col("w.term").alias("term"), "kind").agg(F.count(F.lit(1)).alias("c_te"))
     with_kind = stash(stood.join(held.select("term", "kind"), ["term", "kind"]), "near-terms")
     asked = with_kind.select("term").distinct()
@@ -176,15 +190,14 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: doc_id, and found: spans ``array<struct<kind, start, end>>``, base kinds as listed and then terms, each by start."""
     found = stash(entities(docs, id_col, text_col), "entities")
     terms = stash(disclosing_terms(docs, found, text_col, alpha, support), "terms")
-    words = found.where("contexts is not null").select("row", F.explode("contexts").alias("c")).select("row", "c.kind", F.explode("c.words").alias("w")).select("row", "kind", F.col("w.term").alias("term"), "w.start", "w.end")
-    few = terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    told = words.join(F.broadcast(terms) if few else terms, ["term", "kind"]).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+    words = found.select("row", F.explode(F.split("text", f"[{WS}]+")).alias("w")).select("row", term(F.col("w")).alias("term"))
+    told = checked_join(words, terms.select("term").distinct(), ["term"], "left_semi").groupBy("row").agg(F.collect_set("term").alias("terms"))
 
     def named(k: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     parts = [named(k, F.col("found")[k]) for k in KINDS]
-    more = named("term", F.coalesce("terms", F.array().cast(SPANS)))
+    more = named("term", F.when(F.col("terms").isNotNull(), places(F.col("text"), F.col("terms"), F.col("found"))).otherwise(F.array().cast(SPANS)))
     return found.join(told, "row", "left").select("doc_id", F.concat(*parts, more).alias("spans"))
 
 

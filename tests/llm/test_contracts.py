@@ -170,3 +170,15 @@ def test_terms_that_disclose_survive_copies(spark):
     found = pii.entities(frame).localCheckpoint()
     score = {(r.term, r.kind): r.score for r in pii.disclosing_terms(frame, found).collect()}
     assert abs(score["zorblat", "email"] - 1) < 1e-9
+
+
+def test_terms_that_disclose_are_found_in_whole_texts(spark):
+    """On other lines, far from the entity and in texts without one; a word inside an entity is no term."""
+    from millrace.llm import pii
+
+    far = " ".join(f"far{i}" for i in range(20))
+    texts = [f"n{k} zorblat u{k}@mail.org" for k in range(60)] + [f"zorblat, {far}\n \tZorblat! x@mail.org {far} zorblat", "🙂  zorblat", "nothing here", None] + ["plain words of no account " * 40] * 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in pii.find_personal(frame).collect()}
+    assert rows[60] == ["zorblat", "Zorblat", "zorblat"] and rows[61] == ["zorblat"]
+    assert rows[0] == ["zorblat"] and rows[62] == rows[63] == []
