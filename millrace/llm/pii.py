@@ -28,6 +28,8 @@ KINDS = ("email", "ip", "card", "phone")
 REACH = 8
 ALPHA = 0.85
 SUPPORT = 12
+#: What a part of a line begins with, up to REACH words.
+FEW_WORDS = rf"^[{WS}]*+(?:[^{WS}]++[{WS}]*+){{0,{REACH}}}+"
 SPANS = "array<struct<start:int,end:int>>"
 
 #: The contract's patterns, each written so that a search is linear: a run that fails at its start is not tried again inside
@@ -102,7 +104,10 @@ def term(word: Column) -> Column:
 def context(text: Column, span: Column) -> Column:
     """Words within reach of a span on its line: struct<mark, words: array<struct<term, start, end>>>; mark is the context's hash."""
     left = F.substring_index(F.substring(text, F.lit(1), span["start"]), "\n", -1)
-    right = F.substring_index(F.substring(text, span["end"] + F.lit(1), F.lit(400)), "\n", 1)
+    right = F.substring_index(F.substring(text, span["end"] + F.lit(1), F.length(text)), "\n", 1)
+    # as much of the line as REACH words take, however long they are; to the left it is read backwards
+    near_left = F.reverse(F.regexp_extract(F.reverse(left), FEW_WORDS, 0))
+    near_right = F.regexp_extract(right, FEW_WORDS, 0)
 
     def words(part: Column, before: Column, first: bool) -> Column:
         """Pieces between single white space, so lengths give places; empty pieces are no words."""
@@ -117,10 +122,10 @@ def context(text: Column, span: Column) -> Column:
         return let(out, lambda o: F.slice(o, 1, REACH) if first else F.slice(o, F.greatest(F.size(o) - F.lit(REACH - 1), F.lit(1)), F.lit(REACH)))
 
     def both(x: Column) -> Column:
-        near = F.concat(words(F.right(x["left"], F.lit(400)), span["start"] - F.least(F.length(x["left"]), F.lit(400)), False), words(x["right"], span["end"], True))
+        near = F.concat(words(x["left"], span["start"] - F.length(x["left"]), False), words(x["right"], span["end"], True))
         return let(near, lambda n: F.struct(F.xxhash64(F.transform(n, lambda w: w["term"])).alias("mark"), F.filter(n, lambda w: w["term"] != "").alias("words")))
 
-    return let(F.struct(left.alias("left"), right.alias("right")), both)
+    return let(F.struct(near_left.alias("left"), near_right.alias("right")), both)
 
 
 def taken(w: Column, found: Column) -> Column:

@@ -182,3 +182,16 @@ def test_terms_that_disclose_are_found_in_whole_texts(spark):
     rows = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in pii.find_personal(frame).collect()}
     assert rows[60] == ["zorblat", "Zorblat", "zorblat"] and rows[61] == ["zorblat"]
     assert rows[0] == ["zorblat"] and rows[62] == rows[63] == []
+
+
+def test_contexts_are_bounded_by_words(spark):
+    """Eight words on each side whole, however long they are."""
+    from millrace.llm import pii
+
+    long = ["u" * 500 + str(k) for k in range(10)]
+    text = "up\n" + " ".join(long) + " \t a@b.org  " + " ".join(long) + "\ndown"
+    frame = spark.createDataFrame([(1, text), (2, "a@b.org"), (3, "x a@b.org\ny")], "doc_id long, text string")
+    rows = {r.doc_id: r.contexts[0].words for r in pii.entities(frame).collect()}
+    assert [w.term for w in rows[1]] == long[2:] + long[:8]
+    assert all(text[w.start : w.end] == w.term for w in rows[1])
+    assert rows[2] == [] and [w.term for w in rows[3]] == ["x"]
