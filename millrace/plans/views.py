@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def zero_filled(results: DataFrame, tasks: Sequence[str], slice_: Column | None = None) -> DataFrame:
-    """Per model and task of a slice of results (model, task, passed): totals and accuracy, zero where there are none. ``tasks`` is a fixed enumeration."""
-    models = results.select("model").distinct().select("model", F.explode(F.array(*map(F.lit, tasks))).alias("task"))
+def zero_filled(results: DataFrame, tasks: DataFrame, slice_: Column | None = None) -> DataFrame:
+    """Per model and task of a slice of results (model, task, passed): totals and accuracy, zero where there are none. ``tasks`` has each task once."""
+    models = results.select("model").distinct().crossJoin(tasks.select("task"))
     sums = (results if slice_ is None else results.where(slice_)).groupBy("model", "task").agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"))
     out = models.join(sums, ["model", "task"], "left").fillna(0, ["total", "passed"])
     return out.withColumn("accuracy_pct", F.when(F.col("total") == 0, 0.0).otherwise(F.round(100.0 * F.col("passed") / F.col("total"), 2)))

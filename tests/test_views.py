@@ -37,3 +37,12 @@ def test_reviews(spark):
     rows = views.browsed(samples, grades, reviews)
     assert sorted((r.id, r.status, r.review) for r in rows.collect()) == [("1", "passed", "flagged"), ("2", "unevaluated", "approved"), ("9", "failed", "pending")]
     assert {r.id for r in views.triage(rows).collect()} == {"1", "2"}
+
+
+def test_slices_have_all_tasks(spark, tmp_path):
+    """More than 100 event types: none is lost."""
+    from millrace.plans.evaluation import model_task_slice
+
+    spark.createDataFrame([(7 * (k % 2), f"t{k:03}", 30.0) for k in range(130)], "user_id int, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    out = model_task_slice(spark, str(tmp_path)).collect()
+    assert len(out) == 260 and sum(r.total for r in out) == 130 and {r.total for r in out if r.model == 0 and r.task == "t129"} == {0}
