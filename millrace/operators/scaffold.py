@@ -85,9 +85,10 @@ def generate(units: DataFrame, kinds: DataFrame, constants: DataFrame, limit: in
 def augmented(scaffolds: DataFrame, personas: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """A record for each scaffold and persona: the cached paraphrase if there is one, else the persona's title before the query.
 
-    ``personas`` (persona, title) is a fixed enumeration of some forty rows.
+    ``personas`` (persona, title) has some forty rows as a rule, and is broadcast only up to 1,000, counted first.
     """
-    both = scaffolds.crossJoin(F.broadcast(personas.limit(1000)))
+    few = personas.limit(1001).count() <= 1000
+    both = scaffolds.crossJoin(F.broadcast(personas) if few else personas)
     both = both.withColumn("cache_key", text.cache_key(F.col("canonical_query"), F.col("persona")))
     if cache is None:
         both = both.withColumn("response", F.lit(None).cast("string"))

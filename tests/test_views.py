@@ -46,3 +46,13 @@ def test_slices_have_all_tasks(spark, tmp_path):
     spark.createDataFrame([(7 * (k % 2), f"t{k:03}", 30.0) for k in range(130)], "user_id int, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
     out = model_task_slice(spark, str(tmp_path)).collect()
     assert len(out) == 260 and sum(r.total for r in out) == 130 and {r.total for r in out if r.model == 0 and r.task == "t129"} == {0}
+
+
+def test_no_persona_or_model_is_cut(spark):
+    from millrace.operators import scaffold
+
+    one = spark.createDataFrame([("s", "a", "q?", "g", "u")], "id string, archetype string, canonical_query string, ground_truth_answer string, entity_uri string")
+    personas = spark.range(1200).select(F.concat(F.lit("p"), "id").alias("persona"), F.lit("T").alias("title"))
+    assert scaffold.augmented(one, personas).select("persona").distinct().count() == 1200
+    stats = spark.range(1200).select(F.col("id").alias("rank"), F.concat(F.lit("m"), "id").alias("model"), F.lit(1).alias("total"), F.lit(1).alias("passed"), F.lit(1.0).alias("accuracy"), F.lit(1.0).alias("latency"))
+    assert "m1199" in views.leaders_markdown(stats)
