@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,12 +17,17 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none (tests)."""
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    Only a session in one process (master ``local``, as in tests) gets a folder of its own where none is set; on a cluster that is an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = current.get() if current.isDefined() else None
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -41,8 +47,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows in an Arrow batch: texts can be long, and a batch has to fit a worker."""
+    """Smaller Arrow batches, by rows and by bytes: texts can be long, and a batch has to fit a worker.
+
+    Spark reads both settings when a plan runs, and operators return plans that run later, so they stay set for the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
 
 
 def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:

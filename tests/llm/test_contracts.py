@@ -87,6 +87,67 @@ def test_near_with_null_and_repeated_ids(spark):
     assert out == [(0, 0, True), (0, 3, True), (2, 2, True), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
 
 
+def test_ids_with_several_texts(spark):
+    """An id links its texts in groups; in what goes, each row is judged by its own text."""
+    from millrace.llm import exact_dedup, minhash
+
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    frame = spark.createDataFrame([(3, a, 1), (5, a, 2), (5, b, 3), (4, b, 4)], "doc_id long, text string, _gone long")
+    assert sorted((r.doc_id, r.component_id) for r in minhash.near_groups(frame).collect()) == [(3, 3), (4, 3), (5, 3), (5, 3)]
+    assert sorted((r.doc_id, r.text) for r in minhash.drop_near(frame).collect()) == [(3, a), (4, b)]
+    frame = spark.createDataFrame([(1, "a", 0, "x"), (2, "A", 0, "x"), (2, "b", 0, "x"), (None, "a", 0, "x"), (None, "c", 0, "x")], "doc_id long, text string, _gone int, sha string")
+    for drop in (exact_dedup.drop_copies, minhash.drop_near):
+        out = drop(frame)
+        assert out.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text) for r in exact_dedup.drop_copies(frame).collect()) == [(0, "c"), (1, "a"), (2, "b")]
+
+
+def test_near_rounds_and_the_exact_rest(spark):
+    """Groups that no single hub brings together: chains, and two groups bridged by one pair, in small parts."""
+    import random
+
+    from millrace.llm import minhash
+
+    draw, rows = random.Random(11), []
+    for g in range(3):
+        words = [f"g{g}w{i}" for i in range(150)]
+        for step in range(40):
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(2):
+                words[draw.randrange(150)] = f"g{g}s{step}{draw.random()}"
+    draw.shuffle(rows)
+    frame, minhash.PART = spark.createDataFrame(rows, "doc_id long, text string"), 7
+    try:
+        for k, percent in ((5, 80), (3, 85)):
+            assert sorted(tuple(r) for r in minhash.near_groups(frame, k=k, percent=percent).collect()) == brute.near(rows, k, percent)
+    finally:
+        minhash.PART = 2000
+
+
+def test_components(spark):
+    import random
+
+    from millrace.llm.components import components, merged
+
+    draw = random.Random(2)
+    links = [(i, i + 1) for i in range(300) if i % 97] + [(1000, 1000 + i) for i in range(1, 200)] + [(draw.randrange(2000, 2300), draw.randrange(2000, 2300)) for _ in range(160)] + [(7, 7)]
+    def brute_labels(pairs):
+        label = {x: x for p in pairs for x in p if p[0] != p[1]}
+        while True:
+            last = dict(label)
+            for a, b in pairs:
+                if a != b:
+                    label[a] = label[b] = min(label[a], label[b])
+            if label == last:
+                return label
+    frame = lambda x: spark.createDataFrame(x, "a long, b long")
+    labels = components(frame(links))
+    assert {r.node: r.label for r in labels.collect()} == brute_labels(links)
+    more = [(50, 1100), (2000, 5000), (6000, 6001), (98, 1)]
+    assert {r.node: r.label for r in merged(labels, frame(more)).collect()} == brute_labels(links + more)
+    assert components(frame([])).collect() == []
+
+
 def test_bands_miss_less_than_promised():
     from millrace.llm import minhash
 
