@@ -12,11 +12,13 @@ Documents with equal sets are one class first, so copies cost one row. Within a
 3. the rest is exact: each outsider left is paired with the classes of other components in its bucket that it could be linked to by the
    bounds below, the pairs are made distinct, and their sets are compared once, by id. Pairs that bring the same class and
    component together become one link. Large buckets are dealt out in parts of ``PART`` classes.
-No pair that meets in a bucket and could bring two components together is left out.
+No pair that meets in a bucket and could bring two components together is left out. The third step looks at numbers alone, a few longs a
+pair, but at each pair of an outsider and another class of its bucket that is not in its component: its work grows with the product.
 
 The bounds on a pair: set sizes (exact); the sizes without lone shingles, which no other class in such buckets has, so that they are in no
-intersection (exact); and the 2-bit codes of the signature, six standard deviations wide. A pair at the threshold fails to
-meet in any bucket with probability under ``MISS``.
+intersection (exact); what both sets can share of their bucket's hub, whose shingles that either lacks are marked in ``8 * 64`` bits, and beside it
+(exact); and the 2-bit codes of the signature, six standard deviations wide. A pair at the threshold fails to meet in any bucket with
+probability under ``MISS``.
 
 Cases: a null or empty text has an empty set and links with nothing; a row with a null id is never linked on
 its own account and is kept; rows that share an id are one node, whatever their texts; an empty table gives an empty result; extra columns are
@@ -166,6 +168,17 @@ def lone_shingles(sets: DataFrame) -> DataFrame:
     return once.groupBy("rep").agg(F.count(F.lit(1)).alias("lone"))
 
 
+LACKS = tuple(f"l{j}" for j in range(8))
+
+
+def against_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (rep, hub) with the size of the hub's set, how many of its shingles the class has, and which it lacks: bits by the shingle's lowest nine."""
+    one, two = sets.select("rep", F.col("set").alias("x")), sets.select(F.col("rep").alias("hub"), F.col("set").alias("y"))
+    both = pairs.join(one, "rep").join(two, "hub").select("rep", "hub", F.size("y").alias("hub_n"), F.array_except("y", "x").alias("lacks"))
+    bits = lambda j: F.aggregate(F.filter("lacks", lambda v: F.shiftright(v.bitwiseAND(511), 6) == j), F.lit(0).cast("long"), lambda a, v: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), v.bitwiseAND(63).cast("int"))))
+    return both.select("rep", "hub", "hub_n", (F.col("hub_n") - F.size("lacks")).alias("has"), *[bits(j).alias(c) for j, c in enumerate(LACKS)])
+
+
 def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
@@ -210,7 +223,7 @@ def linked(classes: DataFrame, texts: DataFrame, k: int, percent: int, given: Da
     labelled = members.join(labels, members.rep == labels.node, "left").select("bucket", "rep", "many", "rank", F.coalesce("label", "rep").alias("label"))
     sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
     mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1").drop("kinds")
-    apart = stash(labelled.join(mixed, "bucket"), "apart")
+    apart = stash(labelled.join(mixed.join(hubs, "bucket"), "bucket"), "apart")
 
     def now(rows: DataFrame) -> DataFrame:
         """The rows with the labels that hold by now."""
@@ -219,8 +232,8 @@ def linked(classes: DataFrame, texts: DataFrame, k: int, percent: int, given: Da
 
     outside = apart.where("label != main")
     while True:
-        hubs = outside.groupBy("bucket").agg(F.max_by(F.struct("rep", "label"), "rank").alias("hub"))
-        pairs = ordered(outside.join(hubs, "bucket").where("label != hub.label").select("rep", F.col("hub.rep").alias("hub")), "rep", "hub")
+        next_hubs = outside.groupBy("bucket").agg(F.max_by(F.struct("rep", "label"), "rank").alias("next"))
+        pairs = ordered(outside.join(next_hubs, "bucket").where("label != next.label").select("rep", F.col("next.rep").alias("hub")), "rep", "hub")
         links = confirm(pairs, classes, texts, k, percent)
         if links.isEmpty():
             break
@@ -233,10 +246,14 @@ def linked(classes: DataFrame, texts: DataFrame, k: int, percent: int, given: Da
     bounds = classes.join(ids, "rep", "left_semi").join(lone_shingles(sets), "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("common"), *CODES)
     bounds = stash(bounds.where(F.col("common") * 100 >= F.col("n") * percent), "bounds")  # else it can be linked to nothing
     parts = F.ceil(F.col("many") / PART).cast("int")
-    held = stash(now(apart).join(bounds, "rep").withColumn("parts", parts), "held")
+    beside = (F.col("common") - F.col("has")).alias("beside")  # shingles that another class has, but not the hub
+    shares = against_hubs(apart.select("rep", "hub").distinct(), sets).join(bounds, "rep").select("rep", "hub", "hub_n", "n", "common", beside, *LACKS, *CODES)
+    held = stash(now(apart).join(stash(shares, "shares"), ["rep", "hub"]).withColumn("parts", parts), "held")
     other = held.withColumn("part", F.pmod(F.xxhash64("rep"), "parts")).alias("m")
     out = held.where("label != main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("o")
-    enough = F.least("o.common", "m.common") * (100 + percent) >= (F.col("o.n") + F.col("m.n")) * percent
+    lacked = sum((F.bit_count(F.col(f"o.{c}").bitwiseOR(F.col(f"m.{c}"))) for c in LACKS), F.lit(0))
+    most = F.least("o.common", "m.common", F.col("o.hub_n") - lacked + F.least("o.beside", "m.beside"))
+    enough = most * (100 + percent) >= (F.col("o.n") + F.col("m.n")) * percent
     meet = (F.col("o.bucket") == F.col("m.bucket")) & (F.col("o.part") == F.col("m.part")) & (F.col("o.label") != F.col("m.label"))
     close = out.join(other, meet & enough & could_link("o", "m", percent))
     pairs = close.groupBy(F.col("o.rep").alias("a"), F.col("m.rep").alias("b")).agg(F.min("m.label").alias("label"))
