@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WS, let, words_of
+from ._common import WS, let, stash, words_of
 
 TRAIN_ROWS = 20_000
 #: Shares of statistics on which rules are built, and the steps to which a share is rounded while learning.
@@ -32,41 +32,48 @@ def repeated_words(words: Column, k: int = 3) -> Column:
     """How many words stand in a ``k``-word window that occurs twice or more in the text.
 
     Windows are hashed; a long holds the hash's upper bits and the window's place in its lower ones, so one sort of
-    longs brings equal windows together. Windows that meet are compared word by word, so a clash of hashes counts nothing.
+    longs brings equal windows together. Neighbours of one hash are compared word by word; where they differ (a clash of hashes,
+    behind which an equal window may stand), the text's windows are sorted by their words instead.
     """
-    def of(w: Column) -> Column:
-        count = F.size(w)
-        shift = F.ceil(F.log2(count + F.lit(1))).cast("int")
 
-        def marked(both: Column) -> Column:
-            b, keys = both["b"], both["keys"]
-            mask = F.call_function("shiftleft", F.lit(1).cast("long"), b) - F.lit(1).cast("long")
+    def covered(keys: Column, compare, place) -> Column:
+        """From sorted keys: 0 for neighbours that differ, 1 for equal windows, 2 for a clash; then the words of what has an equal neighbour."""
+        beside = F.transform(F.sequence(F.lit(1), F.size(keys) - F.lit(1)), lambda i: compare(F.get(keys, i - F.lit(1)), F.get(keys, i)))
 
-            def place(x: Column) -> Column:
-                return x.bitwiseAND(mask).cast("int")
+        def counted(x: Column) -> Column:
+            equal = lambda i: F.coalesce(F.get(x, i) == 1, F.lit(False))
+            held = F.filter(F.sequence(F.lit(0), F.size(keys) - F.lit(1)), lambda i: F.when(i > 0, equal(i - F.lit(1))).otherwise(F.lit(False)) | equal(i))
+            spread = F.flatten(F.transform(held, lambda i: let(place(F.get(keys, i)), lambda p: F.array(*[p + F.lit(j) for j in range(k)]))))
+            return F.when(F.array_contains(x, 2), F.lit(None).cast("int")).otherwise(F.size(F.array_distinct(spread)))
 
-            def same(x: Column, y: Column) -> Column:
-                hashes = F.call_function("shiftrightunsigned", x, b) == F.call_function("shiftrightunsigned", y, b)
-                p, q = place(x), place(y)
-                return hashes & F.slice(w, p + F.lit(1), k).eqNullSafe(F.slice(w, q + F.lit(1), k))
+        return let(beside, counted)
 
-            def starts(x: Column, i: Column) -> Column:
-                before = F.when(i > 0, same(F.get(keys, i - F.lit(1)), x)).otherwise(F.lit(False))
-                after = F.when(i < F.size(keys) - F.lit(1), same(x, F.get(keys, i + F.lit(1)))).otherwise(F.lit(False))
-                return before | after
+    def by_hash(w: Column) -> Column:
+        shift = F.ceil(F.log2(F.size(w) + F.lit(1))).cast("int")
 
-            at = F.transform(F.filter(keys, starts), place)
-            covered = F.flatten(F.transform(at, lambda p: F.array(*[p + F.lit(j) for j in range(k)])))
-            return F.size(F.array_distinct(covered))
+        def marked(both: Column) -> Column:
+            b, keys = both["b"], both["keys"]
+            mask = F.call_function("shiftleft", F.lit(1).cast("long"), b) - F.lit(1).cast("long")
+            place = lambda x: x.bitwiseAND(mask).cast("int")
+            upper = lambda x: F.call_function("shiftrightunsigned", x, b)
+            same = lambda x, y: F.slice(w, place(x) + F.lit(1), k).eqNullSafe(F.slice(w, place(y) + F.lit(1), k))
+            return covered(keys, lambda x, y: F.when(upper(x) != upper(y), 0).when(same(x, y), 1).otherwise(2), place)
 
         def keyed(i: Column) -> Column:
             h = F.xxhash64(*[F.get(w, i + F.lit(j)) for j in range(k)])
             return F.call_function("shiftleft", h, shift).bitwiseOR(i.cast("long"))
 
-        keys = F.sort_array(F.transform(F.sequence(F.lit(0), count - F.lit(k)), keyed))
+        keys = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - F.lit(k)), keyed))
         return let(F.struct(shift.alias("b"), keys.alias("keys")), marked)
 
-    return let(words, lambda w: F.when(F.size(w) < k + 1, F.lit(0)).otherwise(of(w)))
+    return let(words, lambda w: F.when(F.size(w) < k + 1, F.lit(0)).otherwise(F.coalesce(by_hash(w), by_words(w, k, covered))))
+
+
+def by_words(w: Column, k: int, covered) -> Column:
+    """The same from windows sorted by their words: no hash, no clash."""
+    keyed = lambda i: F.struct(F.slice(w, i + F.lit(1), k).alias("window"), i.alias("at"))
+    keys = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - F.lit(k)), keyed))
+    return let(keys, lambda x: covered(x, lambda p, q: F.when(p["window"] == q["window"], 1).otherwise(0), lambda p: p["at"]))
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,8 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learns rejecting rules from ``labels`` (1 accepted, 0 rejected) of at most ``train_rows`` documents."""
     sample = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
     sample = sample.orderBy(F.xxhash64("id"), "id").limit(train_rows)
+    sample = stash(sample, "labelled")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    stats = statistics(texts.select("id", "text", "y"), "id").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
+    # written first, so that statistics are made of the sample's texts alone: a filter on them would else go below the join
+    texts = stash(texts.select(F.struct("id", "y").alias("row"), "text"), "sample-texts")
+    stats = statistics(texts, "row").select("doc_id.*", "*").drop("doc_id")
     held_out = (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).alias("held_out")
     stats = stats.where(~base_failed())  # the base checks come first in the list, so rules are learned on what they leave
     cells = stats.select(*[c.alias(f) for f, c in features().items()], held_out, "y").groupBy(*FEATURES, "held_out").agg(F.sum(1 - F.col("y")).alias("p"), F.sum("y").alias("n"))

@@ -71,6 +71,54 @@ def quality(text):
     return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), n < 50 or 100 * len(covered) > 50 * n
 
 
+def features(text):
+    """The learner's integers, from plain counts."""
+    n, chars, symbols, dup, repeat, _ = quality(text)
+    upper = sum("A" <= c <= "Z" for c in text)
+    share = lambda a, b: a * 200 // max(b, 1)
+    return {"symbol_share": share(symbols, chars), "repeat_share": share(repeat, n), "dup_line_share": share(dup, text.count("\n") + 1), "upper_share": share(upper, chars), "word_length": min(chars * 10 // max(n, 1), 1000), "word_count": min(n // 10, 200)}
+
+
+def covering(grow, prune, most_rules=12, most_tests=4):
+    """Decision list by sequential covering over rows (features, accepted), all thresholds tried one by one."""
+    import math
+
+    hit = lambda rule, rows: [(x, y) for x, y in rows if all(x[f] >= t if up else x[f] <= t for f, up, t in rule)]
+    bad = lambda rows: sum(not y for _, y in rows)
+    out = []
+    while len(out) < most_rules:
+        rule = ()
+        while len(rule) < most_tests:
+            left = hit(rule, grow)
+            p0, n0 = bad(left), len(left) - bad(left)
+            best, test = 1e-9, None
+            for f in left[0][0] if p0 and n0 else ():
+                for up in (True, False):
+                    for t in sorted({x[f] for x, _ in left}, reverse=up):
+                        got = hit([(f, up, t)], left)
+                        p = bad(got)
+                        gain = p * (math.log2(p / len(got)) - math.log2(p0 / (p0 + n0))) if p else 0
+                        if gain > best + (1e-9 if test else 0):
+                            best, test = gain, (f, up, t)
+            if test is None:
+                break
+            rule += (test,)
+        if not rule:
+            return out
+        worth = lambda r: (lambda g: (2 * bad(g) - len(g)) / len(g) if g else -1.0)(hit(r, prune))
+        while len(rule) > 1:
+            shorter = max((rule[:i] + rule[i + 1 :] for i in range(len(rule))), key=worth)
+            if worth(shorter) < worth(rule):
+                break
+            rule = shorter
+        a, b = hit(rule, grow), hit(rule, prune)
+        if bad(a) + bad(b) < 8 or bad(a) < 0.98 * len(a) or bad(b) < 0.98 * len(b):
+            return out
+        out.append(rule)
+        grow, prune = ([r for r in rows if not hit(rule, [r])] for rows in (grow, prune))
+    return out
+
+
 def token_pieces(rows, tokenizer, size=4096):
     out = []
     for i, t in rows:

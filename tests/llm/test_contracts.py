@@ -2,6 +2,7 @@
 
 import pytest
 from millrace.llm import packing
+from millrace.llm._common import stash
 from millrace.llm.queries import QUERIES, vocabulary
 
 from . import brute
@@ -70,8 +71,57 @@ def test_quality(spark, sf, rows):
     want = sorted((i, *brute.quality(t)) for i, t in rows)
     out = QUERIES["op9_quality_rules"](spark, sf)
     assert sorted(tuple(r)[:7] for r in out.drop("kept", "rule").collect()) == want
-    for r in out.collect():
-        assert r.kept == (not r.base_failed and r.rule is None)
+
+
+def test_learned_list(spark):
+    """The list that is learned, and its verdicts, against a plain learner over plainly counted statistics."""
+    import random
+
+    from millrace.llm import quality_rules
+
+    draw, docs, labels = random.Random(4), [], []
+    for i in range(900):
+        n = draw.randint(60, 200)
+        words = [f"w{draw.randrange(100_000)}" for _ in range(n)]
+        kind = i % 9
+        if kind == 0:
+            words = [w + "##$" if draw.random() < 0.5 else w for w in words]
+        if kind == 1:
+            words = [w.upper() for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, 0 if kind < 2 else 1))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rules = quality_rules.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+    stats = {i: brute.features(t) for i, t in docs}
+    judged = {r.doc_id: r for r in quality_rules.judge(frame, rules).collect()}
+
+    def verdict(x):
+        return next((k for k, r in enumerate(rules) if all(x[f] >= t if up else x[f] <= t for f, up, t in r.tests)), None)
+
+    for i, _ in docs:
+        assert judged[i].rule == verdict(stats[i]) and judged[i].kept == (verdict(stats[i]) is None)
+    assert [judged[i].kept for i, _ in docs] == [bool(y) for _, y in labels]
+    # the first rule's first test has the highest gain of all single thresholds on the growing part
+    held = {r.id for r in spark.range(900).selectExpr("id", "pmod(xxhash64(id, 1), 3) = 0 as h").collect() if r.h}
+    grow = [(stats[i], y) for i, y in labels if i not in held]
+    assert [r.tests for r in rules] == brute.covering(grow, [(stats[i], y) for i, y in labels if i in held])
+
+
+def test_repeated_words_survive_a_clash_of_hashes(spark):
+    """Sorting by the words themselves, which is what a clash falls back to, counts as the hashes do."""
+    from millrace.llm import quality_rules
+    from pyspark.sql import functions as F
+
+    texts = ["a b c a b c", "a b c d", "x " * 30, "a b c x a b c y a b", " ".join(f"w{i % 7}" for i in range(50)), "a b c b c a c a b a b c"]
+    frame = spark.createDataFrame([(t, t.split()) for t in texts], "t string, w array<string>")
+    one = frame.select("t", quality_rules.repeated_words(F.col("w")).alias("n"))
+    real, F.xxhash64 = F.xxhash64, lambda *c: F.lit(7).cast("long")
+    try:
+        two = frame.select("t", quality_rules.repeated_words(F.col("w")).alias("n"))
+        clashed = {r.t: r.n for r in two.collect()}
+    finally:
+        F.xxhash64 = real
+    assert {r.t: r.n for r in one.collect()} == clashed == {t: brute.quality(t)[4] for t in texts}
 
 
 def test_near(spark, sf, rows):
@@ -228,7 +278,7 @@ def test_terms_that_disclose_survive_copies(spark):
 
     texts = [f"write to clerk{k} zorblat now u{k}@mail.org or v{k}@mail.org" for k in range(pii.SUPPORT)] * 50 + ["plain words of no account " * 40] * 20
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = pii.entities(frame).localCheckpoint()
+    found = stash(pii.entities(frame), "entities")
     score = {(r.term, r.kind): r.score for r in pii.disclosing_terms(frame, found).collect()}
     assert abs(score["zorblat", "email"] - 1) < 1e-9
 
