@@ -49,7 +49,7 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    rules = url_filter.mine(pages, table(spark, sf_dir, "labels"))
+    rules = url_filter.mine(url_filter.labelled(pages, table(spark, sf_dir, "labels"), HOST_RULES))
     return url_filter.judge(pages, rules, HOST_RULES)
 
 

@@ -5,8 +5,9 @@ confidence asked for are pruned, and so is a rule that contains a shorter one at
 match pages through an inverted index: each rule is filed under its rarest token, a page's tokens are looked up
 there, and the rules found are verified on the page's whole token set. Native DataFrame operations throughout.
 
-FP-growth is fitted on at most ``TRAIN_ROWS`` labelled URLs (smallest hashes of the id), so the rules are few at any
-size of the table; every URL is judged.
+A URL is labelled by the fixed host rules where one fits it, and else by the labels table where that has its id; URLs with neither take no part
+in the fit. FP-growth is fitted on at most ``TRAIN_ROWS`` labelled URLs (smallest hashes of the id), so the rules are few at any
+size of the table; every URL is judged. A mined rule may have any number of tokens.
 
 Cases: a null URL or one without "://" has an empty host and path, no rule, and the verdict allow; labels with null
 ids or values are ignored; without labels no rule is mined; a repeated row is judged again; extra columns are ignored.
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import let, stash
+from ._common import checked_join, let, stash
 
 TRAIN_ROWS = 50_000
 BLOCK = "label=block"
@@ -49,17 +50,20 @@ def host_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
 
 
 def tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens: each domain a host lies under, path segments without digits, query keys, and the scheme."""
+    """Distinct tokens: the scheme, each domain a host lies under, the host's labels, words of the path (runs of letters), and query keys."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
+    named = lambda kind, words: F.transform(words, lambda x: F.concat(F.lit(kind + "="), F.lower(x)))
 
     def domains(x: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(x)), lambda i: F.concat(F.lit("host="), F.array_join(F.slice(x, i, F.size(x) - i + F.lit(1)), ".")))
+        return F.transform(F.sequence(F.lit(1), F.size(x)), lambda i: F.array_join(F.slice(x, i, F.size(x) - i + F.lit(1)), "."))
 
-    hosts = F.when(host == "", F.array().cast("array<string>")).otherwise(let(labels, domains))
-    words = F.transform(F.filter(labels, lambda x: ~x.rlike("^(com|net|org|www)$")), lambda x: F.concat(F.lit("label="), x))
-    path_of = F.transform(F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike("[0-9]")), lambda x: F.concat(F.lit("path="), F.lower(x)))
-    keys = F.transform(F.regexp_extract_all(url, F.lit(r"[?&]([A-Za-z_]+)="), F.lit(1)), lambda x: F.concat(F.lit("key="), F.lower(x)))
-    return F.array_distinct(F.coalesce(F.concat(hosts, words, path_of, keys), F.array().cast("array<string>")))
+    hosts = F.when(F.size(labels) == 0, F.array().cast("array<string>")).otherwise(let(labels, domains))
+    own = F.filter(labels, lambda x: ~x.rlike("^(com|net|org|www)$"))
+    words = F.filter(F.split(path, r"\P{L}+"), lambda x: x != "")
+    keys = F.regexp_extract_all(url, F.lit(r"[?&]([A-Za-z_]+)="), F.lit(1))
+    scheme = F.regexp_extract_all(url, F.lit(r"^([A-Za-z][A-Za-z0-9+.-]*)://"), F.lit(1))
+    parts = [named(k, w) for k, w in (("scheme", scheme), ("host", hosts), ("label", own), ("path", words), ("key", keys))]
+    return F.array_distinct(F.coalesce(F.concat(*parts), F.array().cast("array<string>")))
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -69,46 +73,43 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> D
     return rows.select("page_id", F.col("p.host").alias("host"), F.col("p.path").alias("path"), tokens(F.col("p.host"), F.col("p.path"), F.col("url")).alias("tokens"))
 
 
-def mine(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id", bad: Column | None = None, support: float = 0.002, confidence: float = 0.9, train_rows: int = TRAIN_ROWS, most_tokens: int = 3, least_rows: int = 12) -> DataFrame:
-    """Rules (rule_id, anchor, tokens, confidence, support) for URLs whose label is bad, each seen in ``least_rows`` rows or more."""
+def labelled(pages: DataFrame, labels: DataFrame, host_rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id", bad: Column | None = None) -> DataFrame:
+    """(page_id, url, bad) of the labelled rows: what a fixed rule says of the URL, else what ``labels`` say of the id."""
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1) if bad is None else bad
-    sample = labels.where(F.col(label_id).isNotNull()).select(F.col(label_id).alias("page_id"), bad.alias("bad")).where("bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    sample = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).join(sample, "page_id").orderBy(F.xxhash64("page_id"), "page_id", "url").limit(train_rows)
-    rows = stash(parsed(sample.select("page_id", "url")).join(sample.select("page_id", "bad").distinct(), "page_id").select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")), "urls")
-    if rows.isEmpty():
-        return pages.sparkSession.createDataFrame([], RULE_SCHEMA)
-    least = max(support, least_rows / max(rows.count(), 1))
-    found = FPGrowth(itemsCol="items", minSupport=min(least, 1.0), minConfidence=confidence).fit(rows).associationRules
-    found = found.where(F.get("consequent", F.lit(0)) == BLOCK).where(F.size("antecedent") <= most_tokens)
-    found = found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    short = found.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"))
-    # as few rows as frequent itemsets of a bounded sample at a fixed support
-    implied = (F.size("part") < F.size("tokens")) & (F.size(F.array_intersect("part", "tokens")) == F.size("part")) & (F.col("c") >= F.col("confidence"))
-    pruned = found.join(short.withColumn("anchor", F.explode("part")), F.array_contains("tokens", F.col("anchor")) & implied, "left_anti")
+    told = labels.where(F.col(label_id).isNotNull()).select(F.col(label_id).alias("page_id"), bad.alias("told")).where("told is not null").groupBy("page_id").agg(F.max("told").alias("told"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).withColumn("p", host_and_path(F.col("url")))
+    fixed = host_rule(F.col("p.host"), F.col("p.path"), host_rules)["verdict"] == "block"
+    return rows.withColumn("fixed", fixed).join(told, "page_id", "left").select("page_id", "url", F.coalesce("fixed", "told").alias("bad")).where("bad is not null")
+
+
+def mine(sample: DataFrame, support: float = 0.002, confidence: float = 0.95, train_rows: int = TRAIN_ROWS, least_rows: int = 12) -> DataFrame:
+    """Rules (rule_id, anchor, tokens, confidence, support) for bad URLs, from ``labelled`` rows; each is seen in ``least_rows`` rows or more."""
+    sample = sample.orderBy(F.xxhash64("page_id"), "page_id", "url").limit(train_rows)
+    rows = stash(parsed(sample.select(F.struct("page_id", "bad").alias("page_id"), "url")).select(F.when(F.col("page_id.bad"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")), "urls")
+    count = rows.count()
+    if not count:
+        return sample.sparkSession.createDataFrame([], RULE_SCHEMA)
+    found = stash(FPGrowth(itemsCol="items", minSupport=min(max(support, least_rows / count), 1.0)).fit(rows).freqItemsets.withColumn("items", F.array_sort("items")), "itemsets")
+    bad = found.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("hits"))
+    rules = bad.join(found.select(F.col("items").alias("tokens"), "freq"), "tokens").select("tokens", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / count).alias("support"))
+    rules = stash(rules.where(F.col("confidence") >= confidence), "rules")
+    # a part of a rule has its own first token among the rule's tokens
+    short = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"), F.get("tokens", F.lit(0)).alias("token"))
+    covers = (F.size("part") < F.size("tokens")) & (F.size(F.array_intersect("part", "tokens")) == F.size("part")) & (F.col("c") >= F.col("confidence"))
+    implied = rules.withColumn("token", F.explode("tokens")).join(short, "token").where(covers).select("tokens").distinct()
+    pruned = rules.join(implied, "tokens", "left_anti")
     use = rows.select(F.explode("items").alias("anchor")).groupBy("anchor").count()
     anchored = pruned.withColumn("anchor", F.explode("tokens")).join(use, "anchor").groupBy("tokens", "confidence", "support").agg(F.min_by("anchor", F.struct("count", "anchor")).alias("anchor"))
     return stash(anchored.select(F.xxhash64("tokens").alias("rule_id"), "anchor", "tokens", "confidence", "support"), "url-rules")
 
 
-def judge(pages: DataFrame, rules: DataFrame, host_rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", most_rules: int = 100_000) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, host_rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, mined (tokens of the most confident mined rule that fits, or null)."""
     rows = parsed(pages, id_col, url_col).withColumn("fixed", host_rule(F.col("host"), F.col("path"), host_rules))
-    index = rules.groupBy("anchor").agg(F.collect_list(F.struct("confidence", "support", "tokens")).alias("posting"))
-    few = index.limit(most_rules + 1).count() <= most_rules
-    if few:  # postings of a bounded sample's rules: a page looks up its tokens in place, with no shuffle
-        table = {r["anchor"]: r["posting"] for r in index.collect()}
-        best = F.lit(None).cast("struct<confidence:double,support:double,tokens:array<string>>")
-        if table:
-            literal = F.create_map(*[x for a, p in sorted(table.items()) for x in (F.lit(a), F.array(*[F.struct(F.lit(q["confidence"]).alias("confidence"), F.lit(q["support"]).alias("support"), F.array(*map(F.lit, q["tokens"])).alias("tokens")) for q in sorted(p)]))])
-            hits = F.flatten(F.transform(F.filter("tokens", lambda t: F.array_contains(F.map_keys(literal), t)), lambda t: F.element_at(literal, t)))
-            fit = F.filter(hits, lambda r: F.size(F.array_except(r["tokens"], F.col("tokens"))) == 0)
-            best = F.array_max(fit)
-        out = rows.withColumn("best", best)
-    else:
-        ids = stash(rows.withColumn("row_id", F.expr("uuid()")), "url-rows")
-        hits = ids.select("row_id", "tokens", F.explode("tokens").alias("anchor")).join(rules.select("anchor", F.col("tokens").alias("needs"), "confidence", "support"), "anchor").where(F.size(F.array_except("needs", "tokens")) == 0)
-        best = hits.groupBy("row_id").agg(F.max(F.struct("confidence", "support", F.col("needs").alias("tokens"))).alias("best"))
-        out = ids.join(best, "row_id", "left")
-    mined = F.col("best").isNotNull()
-    verdict = F.coalesce(F.col("fixed.verdict"), F.when(mined, F.lit("block")).otherwise(F.lit("allow")))
-    return out.select("page_id", "host", "path", F.col("fixed.rule").alias("rule"), verdict.alias("verdict"), F.array_join("best.tokens", " ").alias("mined"))
+    rows = stash(rows.withColumn("row", F.monotonically_increasing_id()), "url-rows")  # written once, so a row's number holds
+    index = rules.select("anchor", F.col("tokens").alias("needs"), "confidence", "support")
+    hits = checked_join(rows.select("row", "tokens", F.explode("tokens").alias("anchor")), index, ["anchor"])
+    best = hits.where(F.size(F.array_except("needs", "tokens")) == 0).groupBy("row").agg(F.max(F.struct("confidence", "support", "needs")).alias("best"))
+    out = checked_join(rows, stash(best, "url-hits"), ["row"], "left")
+    verdict = F.coalesce(F.col("fixed.verdict"), F.when(F.col("best").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
+    return out.select("page_id", "host", "path", F.col("fixed.rule").alias("rule"), verdict.alias("verdict"), F.array_join("best.needs", " ").alias("mined"))

@@ -32,7 +32,56 @@ def test_urls(spark, sf):
         host, path, rule, verdict = brute.url(r.url)
         o = out[r.page_id]
         assert (o.host, o.path, o.rule) == (host, path, rule), r.url
-        assert o.verdict == (verdict or ("block" if o.mined else "allow"))
+        assert o.verdict == (verdict or ("allow" if o.mined is None else "block"))
+
+
+def test_mined_rules(spark):
+    """Rules and verdicts against all token combinations, tried one by one."""
+    import random
+    from collections import Counter
+    from itertools import combinations
+
+    from millrace.llm import url_filter
+
+    draw, rows = random.Random(8), []
+    for i in range(600):
+        host, lang, word = draw.choice(["a.farm.org", "b.farm.org", "good.org", "m.good.org"]), draw.choice(["en", "de"]), draw.choice(["casino24", "news-7", "about"])
+        key = draw.choice(["", "?win=1", "?page=2"])
+        bad = (host.endswith("farm.org") and word == "casino24") or (key == "?win=1" and lang == "de" and host == "good.org" and word == "news-7") or draw.random() < 0.01
+        rows.append((i, f"http://{host}/{lang}/{word}/{i}{key}", bad))
+    sample = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    rules = url_filter.mine(sample, support=0.01, confidence=0.9, least_rows=6)
+
+    def tokens(u):
+        host, path = brute.url(u)[:2]
+        labels = host.split(".")
+        out = {"scheme=http"} | {"host=" + ".".join(labels[k:]) for k in range(len(labels))} | {f"label={x}" for x in labels if x not in ("com", "net", "org", "www")}
+        return frozenset(out | {f"path={x}" for x in brute.re.findall(r"[^\W\d_]+", path)} | {f"key={x}" for x in brute.re.findall(r"[?&]([a-z]+)=", u)})
+
+    seen, hits = Counter(), Counter()
+    for _, u, bad in rows:
+        t = sorted(tokens(u))
+        for n in range(1, len(t) + 1):
+            for c in combinations(t, n):
+                seen[c] += 1
+                hits[c] += bad
+    found = {frozenset(c): hits[c] / seen[c] for c in seen if hits[c] >= 6 and hits[c] >= 0.9 * seen[c]}
+    want = {c for c, conf in found.items() if not any(d < c and found[d] >= conf for d in found)}
+    assert {frozenset(r.tokens) for r in rules.collect()} == want and any(len(c) > 3 for c in found)
+    out = {r.page_id: (r.verdict, r.mined) for r in url_filter.judge(sample, rules, []).collect()}
+    for i, u, _ in rows:
+        fits = any(c <= tokens(u) for c in want)
+        assert out[i][0] == ("block" if fits else "allow") and (out[i][1] is not None) == fits
+
+
+def test_labelled_urls(spark):
+    """A fixed rule's word goes before the labels'; URLs with neither are left out."""
+    from millrace.llm import url_filter
+
+    pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://a.net/es/"), (3, "http://a.org/"), (4, "http://a.org/"), (None, "x"), (5, None)], "page_id long, url string")
+    labels = spark.createDataFrame([(1, 0, 0), (3, 0, 0), (5, 1, 1), (None, 0, 0), (4, None, None)], "doc_id long, quality int, toxic int")
+    out = url_filter.labelled(pages, labels, [("allow", "com", "/"), ("block", "net", "/es/")]).collect()
+    assert sorted((r.page_id, r.bad) for r in out) == [(1, False), (2, True), (3, True), (5, True)]
 
 
 def test_exact(spark, sf, rows):
