@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
 
-CACHE = 600_000
+#: About 200 bytes each, in each of an executor's workers.
+CACHE = 250_000
 
 
 class WordHashes(dict):
@@ -22,9 +24,14 @@ class WordHashes(dict):
         return h
 
 
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
+@contextmanager
+def word_hashes() -> Iterator[WordHashes]:
+    """A cache for one task; a worker that goes on to another operator holds nothing of it."""
+    cache = WordHashes()
+    try:
+        yield cache
+    finally:
+        cache.clear()
 
 
 def hashed_words(text: bytes, cache: WordHashes) -> np.ndarray:

@@ -95,27 +95,28 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: f
     rows = band_rows(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, minmax = word_hashes(), MinMax()
-        for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for text in batch.column(1):
-                h = shingle_hashes(hashed_words((text.as_py() or b"").lower(), cache), k)
-                out[0].append(len(h))
-                if len(h):
-                    s = minmax.signature(h)
-                    total = [int(x) for x in set_hash(h)]
-                    out[3].append(bands(s, rows))
-                    four = codes(s)
-                else:
-                    total, four = [0, 0], np.zeros(4, np.int64)
-                    out[3].append(None)
-                out[1].append(total[0])
-                out[2].append(total[1])
-                for j in range(4):
-                    out[4 + j].append(four[j])
-            as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            cols = [batch.column(0), batch.column(2), pa.array(out[0], pa.int64()), as_long(out[1]), as_long(out[2]), pa.array(out[3], pa.list_(pa.int64())), *[pa.array(np.array(x, np.int64)) for x in out[4:]]]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "t", "n", "h1", "h2", "bands", *CODES])
+        minmax = MinMax()
+        with word_hashes() as cache:
+            for batch in batches:
+                out: list[list] = [[] for _ in range(8)]
+                for text in batch.column(1):
+                    h = shingle_hashes(hashed_words((text.as_py() or b"").lower(), cache), k)
+                    out[0].append(len(h))
+                    if len(h):
+                        s = minmax.signature(h)
+                        total = [int(x) for x in set_hash(h)]
+                        out[3].append(bands(s, rows))
+                        four = codes(s)
+                    else:
+                        total, four = [0, 0], np.zeros(4, np.int64)
+                        out[3].append(None)
+                    out[1].append(total[0])
+                    out[2].append(total[1])
+                    for j in range(4):
+                        out[4 + j].append(four[j])
+                as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+                cols = [batch.column(0), batch.column(2), pa.array(out[0], pa.int64()), as_long(out[1]), as_long(out[2]), pa.array(out[3], pa.list_(pa.int64())), *[pa.array(np.array(x, np.int64)) for x in out[4:]]]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "t", "n", "h1", "h2", "bands", *CODES])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"), F.xxhash64(text_col)).mapInArrow(run, FEATURES)
@@ -125,12 +126,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(rep, set) of the classes ``wanted`` (rep, doc_id, h1, h2); ``docs`` is (doc_id, text). An id with several texts names the one whose hash is the class's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
-        for batch in batches:
-            sets = [shingle_hashes(hashed_words((t.as_py() or b"").lower(), cache), k) for t in batch.column(1)]
-            own = [tuple(x.view(np.int64).item() for x in set_hash(s)) == (a, b) for s, a, b in zip(sets, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            found = pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "set"])
-            yield found.filter(pa.array(own, pa.bool_()))
+        with word_hashes() as cache:
+            for batch in batches:
+                sets = [shingle_hashes(hashed_words((t.as_py() or b"").lower(), cache), k) for t in batch.column(1)]
+                own = [tuple(x.view(np.int64).item() for x in set_hash(s)) == (a, b) for s, a, b in zip(sets, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+                found = pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "set"])
+                yield found.filter(pa.array(own, pa.bool_()))
 
     texts = checked_join(docs, wanted, ["doc_id"]).select("rep", F.col("text").cast("binary"), "h1", "h2")
     return texts.mapInArrow(run, "rep long, set array<long>")

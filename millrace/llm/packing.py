@@ -28,7 +28,7 @@ END_ID = 1
 #: Symbols that a chunk may end in and that no split pattern of the vocabulary joins with letters.
 TAIL = ".,!?;:#*$%&|<>-)("
 #: Entries that a worker's chunk cache holds before it starts anew; about 200 bytes each.
-CACHE = 500_000
+CACHE = 200_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

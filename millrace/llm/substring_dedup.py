@@ -82,30 +82,30 @@ def segments(docs: DataFrame, length: int, k: int) -> DataFrame:
     """Segments of rows (doc_id, text bytes, d)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
-        for batch in batches:
-            ids, ds = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
-            nulls = np.array(batch.column(0).is_null())
-            held: list[tuple[int, np.ndarray]] = []
-            total = 0
-
-            def flush() -> pa.RecordBatch:
-                rows = np.array([i for i, _ in held], np.int64)
-                doc, start, size, m, c = segments_of(np.concatenate([w for _, w in held]), np.array([len(w) for _, w in held]), length, k)
-                row = rows[doc]
-                names = pa.array(ids[row].astype(np.int64) if not nulls.any() else [None if nulls[r] else int(ids[r]) for r in row], pa.int64())
-                return pa.RecordBatch.from_arrays([names, pa.array(ds[row].astype(np.int64)), pa.array(start), pa.array(size.astype(np.int32)), pa.array(m.view(np.int64)), pa.array(c.view(np.int64))], names=["doc_id", "d", "start", "len", "m", "c"])
-
-            for i, text in enumerate(batch.column(1)):
-                w = hashed_words(text.as_py() or b"", cache)
-                if len(w) >= length:
-                    held.append((i, w))
-                    total += len(w)
-                if total > 500_000:
+        with word_hashes() as cache:
+            for batch in batches:
+                ids, ds = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+                nulls = np.array(batch.column(0).is_null())
+                held: list[tuple[int, np.ndarray]] = []
+                total = 0
+
+                def flush() -> pa.RecordBatch:
+                    rows = np.array([i for i, _ in held], np.int64)
+                    doc, start, size, m, c = segments_of(np.concatenate([w for _, w in held]), np.array([len(w) for _, w in held]), length, k)
+                    row = rows[doc]
+                    names = pa.array(ids[row].astype(np.int64) if not nulls.any() else [None if nulls[r] else int(ids[r]) for r in row], pa.int64())
+                    return pa.RecordBatch.from_arrays([names, pa.array(ds[row].astype(np.int64)), pa.array(start), pa.array(size.astype(np.int32)), pa.array(m.view(np.int64)), pa.array(c.view(np.int64))], names=["doc_id", "d", "start", "len", "m", "c"])
+
+                for i, text in enumerate(batch.column(1)):
+                    w = hashed_words(text.as_py() or b"", cache)
+                    if len(w) >= length:
+                        held.append((i, w))
+                        total += len(w)
+                    if total > 500_000:
+                        yield flush()
+                        held, total = [], 0
+                if held:
                     yield flush()
-                    held, total = [], 0
-            if held:
-                yield flush()
 
     return docs.mapInArrow(run, SEGMENT)
 
@@ -114,16 +114,16 @@ def contents(docs: DataFrame, where: DataFrame) -> DataFrame:
     """(m, c, words): word hashes, little-endian, of the segments that ``where`` (doc_id, d, parts) asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
-        for batch in batches:
-            m, c, out = [], [], []
-            for text, parts in zip(batch.column(0), batch.column(1)):
-                w = hashed_words(text.as_py() or b"", cache)
-                for p in parts.as_py():
-                    m.append(p["m"])
-                    c.append(p["c"])
-                    out.append(w[p["start"] : p["start"] + p["len"]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), pa.array(out, pa.binary())], names=["m", "c", "words"])
+        with word_hashes() as cache:
+            for batch in batches:
+                m, c, out = [], [], []
+                for text, parts in zip(batch.column(0), batch.column(1)):
+                    w = hashed_words(text.as_py() or b"", cache)
+                    for p in parts.as_py():
+                        m.append(p["m"])
+                        c.append(p["c"])
+                        out.append(w[p["start"] : p["start"] + p["len"]].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), pa.array(out, pa.binary())], names=["m", "c", "words"])
 
     return docs.join(where, (docs.doc_id.eqNullSafe(where.doc_id)) & (docs.d == where.d)).select(docs.text, where.parts).mapInArrow(run, "m long, c long, words binary")
 
