@@ -54,23 +54,35 @@ def si_latex(a: Column) -> Column:
     return _latex(a, SI_ORDER, {d: f"\\text{{{SI_UNITS[d]}}}" for d in DIMENSIONS})
 
 
-CONCISE = r"^([+-]?[0-9]+)(\.?[0-9]*)\(([0-9]+)\)(?:[eE]([+-]?[0-9]+))?$"
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
+def _only(s: Column, symbols: str) -> Column:
+    """Whether a string has no other symbols than these."""
+    return F.translate(s, symbols, "") == ""
+
+
 def concise_value(text: Column) -> Column:
-    """struct<value, uncertainty> of ``6.67430(15)e-11``: strings, exact. Without a bracket the value alone; other symbols go."""
+    """struct<value, uncertainty> of ``6.67430(15)e-11``: strings, exact. Without a bracket the value alone; other symbols go.
+
+    The text is parted at its brackets: the mean before them, the uncertainty's last digits between them, and an exponent behind.
+    """
     s = F.replace(F.trim(text), F.lit(" "), F.lit(""))
-    whole, fraction, digits, power = (F.regexp_extract(s, CONCISE, k) for k in (1, 2, 3, 4))
-    suffix = F.when(power != "", F.concat(F.lit("e"), power)).otherwise(F.lit(""))
-    places = F.when(fraction.startswith("."), F.length(fraction) - F.lit(1)).otherwise(F.lit(0))
+    mean, rest = F.substring_index(s, "(", 1), F.substring_index(s, "(", -1)
+    digits, power = F.substring_index(rest, ")", 1), F.substring_index(rest, ")", -1)
+    whole = F.ltrim(F.substring_index(mean, ".", 1), F.lit("+-"))
+    places = F.when(mean.contains("."), F.length(mean) - F.instr(mean, ".")).otherwise(F.lit(0))
+    sound = (F.length(s) == F.length(mean) + F.length(digits) + F.length(power) + F.lit(2)) & s.contains("(") & s.contains(")")
+    sound = sound & (whole != "") & _only(whole, "0123456789") & (F.length(mean) - F.length(F.ltrim(mean, F.lit("+-"))) <= 1) & (digits != "") & _only(digits, "0123456789")
+    sound = sound & ((places == 0) | _only(F.substring_index(mean, ".", -1), "0123456789")) & (F.size(F.split(mean, "[.]")) <= 2) & ((power == "") | F.concat(F.lit("0"), power).rlike(NUMBER) & F.lower(F.substring(power, 1, 1)).isin("e"))
+    suffix = F.when(power != "", F.concat(F.lit("e"), F.substring(power, F.lit(2), F.length(power)))).otherwise(F.lit(""))
     padded = F.lpad(F.regexp_replace(digits, "^0+(?=[0-9])", ""), F.greatest(places + F.lit(1), F.length(digits)), "0")
     at = F.length(padded) - places
     scaled = F.concat(F.regexp_replace(F.substring(padded, F.lit(1), at), "^0+(?=[0-9])", ""), F.lit("."), F.substring(padded, at + F.lit(1), places))
     u = F.when(places > 0, scaled).otherwise(digits)
-    concise = s.rlike(CONCISE)
-    value = F.when(concise, F.concat(whole, fraction, suffix)).when(s.rlike(NUMBER), s).otherwise(F.regexp_replace(s, r"[^0-9.eE+\-]", ""))
-    return F.struct(value.alias("value"), F.when(concise, F.concat(u, suffix)).alias("uncertainty"))
+    kept = F.array_join(F.filter(F.split(s, ""), lambda c: F.lit("0123456789.eE+-").contains(c)), "")
+    value = F.when(sound, F.concat(mean, suffix)).when(s.rlike(NUMBER), s).otherwise(kept)
+    return F.struct(value.alias("value"), F.when(sound, F.concat(u, suffix)).alias("uncertainty"))
 
 
 def once(value: Column, body) -> Column:

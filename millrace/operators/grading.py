@@ -24,7 +24,7 @@ def graded(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_mcq", F.when(~failed & choice, answers.mcq(response))).withColumn("_free", F.when(~failed & ~choice, answers.freeform(response)))
     said = F.coalesce(F.nullif("_free.answer", F.lit("")), response)
     want = F.coalesce("ground_truth_answer", F.lit(""))
-    rows = rows.withColumn("_want", text.plain_units(want)).withColumn("_said", text.plain_units(said))
+    rows = rows.withColumn("_want", units.plain_units(want)).withColumn("_said", units.plain_units(said))
     exact = (F.lower("_want") == F.lower("_said")) | (F.lower(text.strip(want)) == F.lower(text.strip(said)))
     rows = rows.withColumn("_exact", F.when(F.col("_free").isNotNull(), exact))
     ask = F.col("_free").isNotNull() & ~F.col("_exact") & (F.col("_said") != "")
@@ -92,11 +92,12 @@ def ranked(stats: DataFrame) -> DataFrame:
     return stats.withColumn("rank", F.row_number().over(w))
 
 
-def arena(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two models' results (id, passed) side by side; an id that a model lacks counts as failed."""
+def arena(a: DataFrame, b: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+    """Two models' results (id, passed) side by side; an id that a model lacks counts as failed. ``questions`` (id, question) are looked up."""
     both = a.select("id", F.col("passed").alias("pass_a")).join(b.select("id", F.col("passed").alias("pass_b")), "id", "full_outer")
     x, y = F.coalesce("pass_a", F.lit(False)), F.coalesce("pass_b", F.lit(False))
-    return both.withColumn("outcome", F.when(x & ~y, "a_wins").when(y & ~x, "b_wins").when(x, "both_passed").otherwise("both_failed"))
+    both = both.withColumn("outcome", F.when(x & ~y, "a_wins").when(y & ~x, "b_wins").when(x, "both_passed").otherwise("both_failed"))
+    return both if questions is None else both.join(questions.select("id", "question"), "id", "left")
 
 
 def validated(rows: DataFrame, query_col: str, answer_col: str) -> DataFrame:

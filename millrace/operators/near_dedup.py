@@ -26,8 +26,11 @@ def band_keys(sig: Column, bands: int, rows: int) -> Column:
 def greedy(df: DataFrame, text: Column, order: str, permutations: int = 64, bands: int = 4) -> DataFrame:
     """``df`` without the rows that collide with an earlier kept row. ``order`` is unique; rows without tokens all stay."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    if not spark.sparkContext.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
     tokens = F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda t: t != ""))
     rows = df.select(F.col(order).alias("ord"), tokens.alias("tokens")).where(F.size("tokens") > 0)
     entries = rows.select("ord", F.explode(band_keys(signature(F.col("tokens"), permutations), bands, permutations // bands)).alias("bucket"))

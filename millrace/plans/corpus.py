@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import near_dedup, relational
+from ..operators import grading, near_dedup, relational
 from ._base import query, table
 
 TOKENS = "CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE greatest(1, CAST(floor(CAST(len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]')) AS DOUBLE) * CAST(1.1 AS DOUBLE)) AS BIGINT)) END"
@@ -47,12 +47,15 @@ def validate_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", T.unescaped(F.col("text"), r"\$").cast("long").alias("dollars"), T.well_formed(F.col("text")).alias("passed"))
 
 
-@query("""SELECT 'dpo_' || d.doc_id AS id, d.source AS archetype, d.doc_id, CAST(length(d.text) AS BIGINT) AS chosen_chars, '[Flawed response: quality]' AS rejected, 'quality' AS rejection_reason
+@query("""SELECT 'dpo_' || d.doc_id AS id, d.source AS archetype, d.lang AS entity_uri, CAST(length(d.text) AS BIGINT) AS chosen_chars, '[Flawed response: quality]' AS rejected, 'quality' AS rejection_reason
 FROM documents d JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id) WHERE l.quality = 0 AND l.toxic = 0""")
 def dpo_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic")).where("quality = 0 and toxic = 0").select("doc_id")
-    out = relational.lookup(docs(spark, sf_dir), reports, ["doc_id"], "inner")
-    return out.select(F.concat(F.lit("dpo_"), F.col("doc_id").cast("string")).alias("id"), F.col("source").alias("archetype"), "doc_id", F.length("text").cast("long").alias("chosen_chars"), F.lit("[Flawed response: quality]").alias("rejected"), F.lit("quality").alias("rejection_reason"))
+    """Documents as records and labels as reports: of low quality and not toxic may be repaired."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    reports = labels.select(F.col("doc_id").alias("record_id"), (F.col("quality") != 0).alias("passed"), (F.col("toxic") == 0).alias("is_dpo_eligible"), F.array(F.lit("quality")).alias("rejection_reasons"))
+    records = docs(spark, sf_dir).select(F.col("doc_id").alias("id"), F.col("source").alias("archetype"), F.col("lang").alias("entity_uri"), F.lit("").alias("user_query"), F.col("text").alias("ground_truth_answer"))
+    out = grading.preference_pairs(records, reports)
+    return out.select(F.col("id"), "archetype", "entity_uri", F.length("chosen").cast("long").alias("chosen_chars"), "rejected", "rejection_reason")
 
 
 @query(f"SELECT min(doc_id) AS doc_id, {KEY} AS text_key FROM documents GROUP BY 2")

@@ -58,11 +58,15 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.agg(F.count(F.lit(1)).alias("models"), F.round(F.avg("accuracy"), 2).alias("mean_accuracy"), F.max("accuracy").alias("best"), F.count_if(F.col("model") % 2 == 0).alias("local_models"), F.max(F.struct("accuracy", -F.col("model"))).alias("top")).select("models", "mean_accuracy", "best", "local_models", (-F.col("top.col2")).alias("top_model"))
 
 
-@query("""WITH a AS (SELECT event_id % 500 AS id, max(value) > 20 AS passed FROM events WHERE user_id % 2 = 0 GROUP BY 1), b AS (SELECT event_id % 500 AS id, max(value) > 20 AS passed FROM events WHERE user_id % 3 = 0 GROUP BY 1)
-SELECT coalesce(a.id, b.id) AS id, a.passed AS pass_a, b.passed AS pass_b, CASE WHEN coalesce(a.passed, false) AND NOT coalesce(b.passed, false) THEN 'a_wins' WHEN coalesce(b.passed, false) AND NOT coalesce(a.passed, false) THEN 'b_wins' WHEN coalesce(a.passed, false) THEN 'both_passed' ELSE 'both_failed' END AS outcome FROM a FULL JOIN b ON a.id = b.id""")
+@query("""WITH a AS (SELECT user_id AS id, max(value) > 20 AS passed FROM events WHERE event_type = 'click' GROUP BY 1), b AS (SELECT user_id AS id, max(value) > 20 AS passed FROM events WHERE event_type = 'purchase' GROUP BY 1),
+q AS (SELECT c_custkey AS id, c_name AS question FROM customer)
+SELECT coalesce(a.id, b.id) AS id, a.passed AS pass_a, b.passed AS pass_b, CASE WHEN coalesce(a.passed, false) AND NOT coalesce(b.passed, false) THEN 'a_wins' WHEN coalesce(b.passed, false) AND NOT coalesce(a.passed, false) THEN 'b_wins' WHEN coalesce(a.passed, false) THEN 'both_passed' ELSE 'both_failed' END AS outcome, question
+FROM a FULL JOIN b ON a.id = b.id LEFT JOIN q ON q.id = coalesce(a.id, b.id)""")
 def arena_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = lambda k: events(spark, sf_dir).where(F.col("user_id") % k == 0).groupBy((F.col("event_id") % 500).alias("id")).agg((F.max("value") > 20).alias("passed"))
-    return grading.arena(side(2), side(3))
+    """Two event types as models, users as questions, with what is known of each question."""
+    side = lambda k: events(spark, sf_dir).where(F.col("event_type") == k).groupBy(F.col("user_id").alias("id")).agg((F.max("value") > 20).alias("passed"))
+    questions = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("question"))
+    return grading.arena(side("click"), side("purchase"), questions)
 
 
 @query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN d.n_chars ELSE l.quality END AS grade, l.doc_id IS NOT NULL AS regraded FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)")
@@ -93,42 +97,36 @@ def radar_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("event_type", "axis", N.radar_point(F.col("score"), F.col("axis"), 5).alias("p")).select("event_type", "axis", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"))
 
 
-ERRORS = ["ERROR_CALLING_MODEL: HTTP 401 Unauthorized", "ERROR_CALLING_MODEL: Connection refused", "ERROR_CALLING_MODEL: HTTP 429", "HTTP 404 in a text"]
-
-
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'authentication' WHEN 1 THEN 'unreachable' END AS reason FROM events")
+@query("""WITH m AS (SELECT event_id, CASE WHEN event_type = 'error' THEN '' ELSE 'ERROR_CALLING_MODEL: ' END || 'HTTP ' || (400 + user_id) || ' ' || props AS m FROM events)
+SELECT event_id, CASE WHEN NOT starts_with(m, 'ERROR_CALLING_MODEL:') THEN NULL WHEN contains(m, '401') THEN 'authentication' WHEN contains(m, '403') THEN 'forbidden' WHEN contains(m, '404') THEN 'not_found' END AS reason FROM m""")
 def error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = F.get(F.array(*map(F.lit, ERRORS)), (F.col("event_id") % 4).cast("int"))
-    return events(spark, sf_dir).select("event_id", T.error_class(m).alias("reason"))
-
-
-#: Endpoint, model, asked type; then type, provider, URL, local.
-ENDPOINTS = [
-    ("http://localhost:11434/v1", "m:4b", None, "local", "Ollama (Local Host)", "http://localhost:11434/v1", True), ("http://localhost:11434/v1", "m:cloud", None, "cloud", "Ollama Cloud (Proxy via Local Host)", "http://localhost:11434/v1", False),
-    ("http://127.0.0.1:8000/v1?k=1", "m", None, "local", "vLLM (Local Host)", "http://127.0.0.1:8000/v1", True), ("https://api.openai.com/v1", "m", None, "cloud", "OpenAI API (Cloud)", "https://api.openai.com/v1", False),
-    ("https://x.example.org/v1", "m", None, "cloud", "Remote Cloud Endpoint (x.example.org)", "https://x.example.org/v1", False), ("http://gpu.lan:9000", "m", "local", "local", "Local Server", "http://gpu.lan:9000", True),
-    (None, "m", None, "local", "Local Inference", None, True), ("https://api.openai.com/v1", "gold", None, "baseline", "In-Memory Deterministic Baseline", None, True),
-]
+    """Messages with a status by user and the event's properties behind."""
+    mark = F.when(F.col("event_type") == "error", "").otherwise("ERROR_CALLING_MODEL: ")
+    rows = events(spark, sf_dir).select("event_id", F.concat(mark, F.lit("HTTP "), (F.col("user_id") + 400).cast("string"), F.lit(" "), "props").alias("m"))
+    return rows.select("event_id", T.error_class(F.col("m")).alias("reason"))
 
 
-def _sql(v: object) -> str:
-    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
-
-
-@query("SELECT page_id, exec_type, provider, url, is_local FROM (SELECT page_id, page_id % 8 AS k FROM pages) JOIN (VALUES " + ", ".join(f"({k}, {', '.join(map(_sql, e[3:]))})" for k, e in enumerate(ENDPOINTS)) + ") v(k, exec_type, provider, url, is_local) USING (k)")
+@query("SELECT page_id, 'cloud' AS exec_type, 'Remote Cloud Endpoint (' || lower(regexp_extract(url, '://([^/?#:]*)', 1)) || ')' AS provider, regexp_replace(url, '[?#].*$', '') AS url, false AS is_local FROM pages")
 def endpoint_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.array(*[F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("url", "model", "asked"), e)]) for e in ENDPOINTS])
-    rows = table(spark, sf_dir, "pages").select("page_id", F.get(given, (F.col("page_id") % 8).cast("int")).alias("g"))
-    return rows.select("page_id", T.endpoint_class(F.col("g.url"), F.col("g.model"), F.col("g.asked")).alias("e")).select("page_id", "e.*")
-
-
-RESPONSES = [("B", "B"), ("(c)", "C"), ("Option D", "D"), ('{"answer": "A", "explanation": "why"}', "A"), ('```json\n{"choice": "b"}\n```', "B"), ("<think>A or B</think>The correct answer is **C**", "C"), ("no idea", None), ("d) because", "D")]
+    """Pages' addresses as endpoints."""
+    rows = table(spark, sf_dir, "pages").select("page_id", T.endpoint_class(F.col("url"), F.lit("m")).alias("e"))
+    return rows.select("page_id", "e.*")
 
 
-@query("SELECT conv_id, turn, CASE (conv_id + turn) % 8 " + " ".join(f"WHEN {k} THEN {'NULL' if v is None else repr(v)}" for k, (_, v) in enumerate(RESPONSES)) + " END AS key FROM conversations")
+@query("""SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN NULL ELSE substr('ABCD', CAST(length(text) % 4 AS INT) + 1, 1) END AS key, CASE turn % 4 WHEN 1 THEN trim(text, ' 	
+') END AS explanation FROM conversations""")
 def parse_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.get(F.array(*[F.lit(t) for t, _ in RESPONSES]), ((F.col("conv_id") + F.col("turn")) % 8).cast("int"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", A.mcq(text)["key"].alias("key"))
+    """Whole texts behind a letter in prose, as a JSON member, behind a thought, or as an object without an answer."""
+    c = table(spark, sf_dir, "conversations")
+    letter = F.substring(F.lit("ABCD"), (F.length("text") % 4 + 1).cast("int"), F.lit(1))
+    kind = F.col("turn") % 4
+    said = (
+        F.when(kind == 0, F.concat(F.lit("The correct answer is **"), letter, F.lit("**. "), "text"))
+        .when(kind == 1, F.concat(F.lit("```json\n"), F.to_json(F.struct(F.lower(letter).alias("choice"), F.col("text").alias("rationale"))), F.lit("\n```")))
+        .when(kind == 2, F.concat(F.lit("<think>Answer: "), "text", F.lit("</think>Answer: ("), letter, F.lit(")")))
+        .otherwise(F.to_json(F.struct(F.sha2("text", 256).alias("note"))))
+    )
+    return c.select("conv_id", "turn", A.mcq(said).alias("a")).select("conv_id", "turn", "a.*")
 
 
 @query()
@@ -144,11 +142,11 @@ def grade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grading.graded(rows).select("item_id", "grade.passed", "grade.eval_status", "grade.error_type")
 
 
-@query("""WITH a AS (SELECT user_id, event_type, count(*) AS total, count(*) FILTER (value > 20) AS passed FROM events WHERE user_id % 7 = 0 AND event_type <> 'click' GROUP BY ALL), m AS (SELECT DISTINCT user_id FROM events WHERE user_id % 7 = 0), t AS (SELECT DISTINCT event_type FROM events)
+@query("""WITH a AS (SELECT user_id, event_type, count(*) AS total, count(*) FILTER (value > 20) AS passed FROM events WHERE event_type <> 'click' GROUP BY ALL), m AS (SELECT DISTINCT user_id FROM events), t AS (SELECT DISTINCT event_type FROM events)
 SELECT m.user_id AS model, t.event_type AS task, coalesce(total, 0) AS total, coalesce(passed, 0) AS passed, CASE WHEN total IS NULL THEN 0 ELSE round(100.0 * passed / total, 2) END AS accuracy_pct FROM m CROSS JOIN t LEFT JOIN a USING (user_id, event_type)""")
 def model_task_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models' scores under a slice, with zeros for tasks without results."""
-    e = events(spark, sf_dir).where(F.col("user_id") % 7 == 0).select(F.col("user_id").alias("model"), F.col("event_type").alias("task"), (F.col("value") > 20).alias("passed"))
+    e = events(spark, sf_dir).select(F.col("user_id").alias("model"), F.col("event_type").alias("task"), (F.col("value") > 20).alias("passed"))
     tasks = events(spark, sf_dir).select(F.col("event_type").alias("task")).distinct()
     return views.zero_filled(e, tasks, F.col("task") != "click")
 

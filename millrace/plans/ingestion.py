@@ -55,7 +55,7 @@ def quoted(s: str) -> str:
 @query("SELECT * FROM (VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in LATEX) + ") v(source, plain)")
 def latex_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.range(1).select(F.explode(F.array(*[F.lit(a) for a, _ in LATEX])).alias("source"))
-    return rows.select("source", T.plain_units(F.col("source")).alias("plain"))
+    return rows.select("source", U.plain_units(F.col("source")).alias("plain"))
 
 
 UNITS = [("1 N", "1 kg * m / s**2", True), ("1 N", "1 J", False), ("1 mol^-1", "1 mol-1", True), ("100 degC", "373.15 K", True), ("1 km", "1000 m", True), ("1 km", "1001 m", False), ("3.6e6 J", "1 kW * h", True), ("1 eV", "1.602176634e-19 J", True), ("1 foo", "1 m", False), ("(2 m)**2", "4 m**2", True)]
@@ -64,7 +64,7 @@ UNITS = [("1 N", "1 kg * m / s**2", True), ("1 N", "1 J", False), ("1 mol^-1", "
 @query("SELECT * FROM (VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)}, {str(c).lower()})" for a, b, c in UNITS) + ") v(one, two, same)")
 def unit_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.createDataFrame([(a, b) for a, b, _ in UNITS], "one string, two string")
-    return rows.select("one", "two", U.equivalent(T.plain_units(F.col("one")), T.plain_units(F.col("two")))["equal"].alias("same"))
+    return rows.select("one", "two", U.equivalent(U.plain_units(F.col("one")), U.plain_units(F.col("two")))["equal"].alias("same"))
 
 
 @query()

@@ -103,3 +103,31 @@ def test_statistics(spark):
         r, s, n = distribution(frame, "v").first(), sorted(values), len(values)
         assert (r.median, r.p95, r.p99) == tuple(s[min(n - 1, int(n * q))] for q in (0.5, 0.95, 0.99))
         assert r["std"] == round(statistics.pstdev(values), 1) or math.isclose(r["std"], statistics.pstdev(values), abs_tol=0.051)
+
+
+def test_unit_notation():
+    deep = "a"
+    for _ in range(9):
+        deep = rf"\frac{{{deep}}}{{b}}"
+    assert U.plain(deep) == "(" * 9 + "a" + ") / (b)" * 9
+    assert [U.plain(x) for x in (r"$\text{kg} \cdot \text{m}^{2} \, \text{s}^{-2}$", "J s", "mol-1", "1.5e-34 J", r"\[ \mathrm{m}\times\mathrm{s}^-1 \]", "kg·m−1", r"\left( a \right)", r"\frac{1}", "", None, "{a", r"\Omega^{2}", "5 m2")] == [
+        "kg * m**2 s**-2", "J s", "mol**-1", "1.5e-34 J", "m * s**-1", "kg * m**-1", "( a )", r"\frac{1}", "", "", "{a", r"\Omega**2", "5 m2",
+    ]
+
+
+def test_letters_in_prose(spark):
+    texts = ["Answer: (B)", "answer = **d**", "The correct answer is _A_, not B", "Correct option is C", 'x {"answer": "D", broken', "So (a) or [b]", "maybe [b] but option c", "B) is it", "I take a break", "no", 'text ```json\n{"answer": {"x": 1}, "option": "C"}\n``` more']
+    assert [r["key"] for r in apply(spark, A.mcq, texts)] == ["B", "D", "A", "C", "D", "A", "B", "B", "A", None, "C"]
+
+
+def test_endpoints(spark):
+    """Endpoint, model, asked type; then type, provider, URL, local."""
+    cases = [
+        ("http://localhost:11434/v1", "m:4b", None, "local", "Ollama (Local Host)", "http://localhost:11434/v1", True), ("http://localhost:11434/v1", "m:cloud", None, "cloud", "Ollama Cloud (Proxy via Local Host)", "http://localhost:11434/v1", False),
+        ("http://127.0.0.1:8000/v1?k=1", "m", None, "local", "vLLM (Local Host)", "http://127.0.0.1:8000/v1", True), ("https://api.openai.com/v1", "m", None, "cloud", "OpenAI API (Cloud)", "https://api.openai.com/v1", False),
+        ("https://x.example.org/v1", "m", None, "cloud", "Remote Cloud Endpoint (x.example.org)", "https://x.example.org/v1", False), ("http://gpu.lan:9000", "m", "local", "local", "Local Server", "http://gpu.lan:9000", True),
+        (None, "m", None, "local", "Local Inference", None, True), ("https://api.openai.com/v1", "gold", None, "baseline", "In-Memory Deterministic Baseline", None, True),
+    ]
+    frame = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(cases)], "k int, url string, model string, asked string")
+    got = frame.orderBy("k").select(T.endpoint_class(F.col("url"), F.col("model"), F.col("asked")).alias("e")).select("e.*").collect()
+    assert [tuple(r) for r in got] == [c[3:] for c in cases]
