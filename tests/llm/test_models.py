@@ -45,6 +45,12 @@ def test_round_trip(spark, sf, rows):
     assert len(out) == len(rows) and all(r.exact for r in out.values())
 
 
+def test_a_text_that_does_not_come_back_is_not_exact(spark):
+    frame = spark.createDataFrame([(1, "a▁b"), (2, "a b"), (3, None), (4, "日本 \x00")], "doc_id long, text string")
+    out = transducer.round_trip(frame, vocabulary(PIECES)).collect()
+    assert {r.doc_id: r.exact for r in out} == {1: False, 2: True, 3: True, 4: True}
+
+
 def test_scores_are_those_of_plain_counts(spark):
     """Both models against a dictionary version, without shared slots."""
     good, bad = "the cat sat on the mat", "zz qq zz qq xx the"
