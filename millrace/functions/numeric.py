@@ -161,3 +161,8 @@ def options(correct: Column, wrong: Column, sample_id: Column, seed: int = 42) -
     drawn = F.array_sort(F.transform(F.concat(F.array(correct), wrong), lambda t: F.struct(F.sha2(F.concat_ws("_", F.lit(str(seed)), sample_id.cast("string"), t), 256).alias("lot"), t.alias("text"))))
     keyed = F.transform(drawn, lambda o, i: F.struct(F.substring(F.lit("ABCD"), i + F.lit(1), F.lit(1)).alias("key"), o["text"].alias("text"), (o["text"] == correct).alias("is_correct")))
     return F.struct(keyed.alias("options"), F.element_at(F.filter(keyed, lambda o: o["is_correct"]), 1)["key"].alias("correct_key"))
+
+
+def linked(kinds: Column, kind: Column) -> Column:
+    """Whether an entity's kind is among the kinds it may have; an entity without kinds is linked with none."""
+    return F.coalesce(F.array_contains(kinds, kind), F.lit(False))

@@ -45,6 +45,43 @@ def ordinal(column: Column, order: Sequence[str]) -> Column:
     return out
 
 
+def leaderboard_view(cards: DataFrame, target: str = "all", search: str = "") -> DataFrame:
+    """Scorecards (model, exec_type, provider, gpu, os) of a class: ``all`` and ``local``, ``cloud`` leave baselines out, ``baseline`` has them alone.
+
+    ``search`` is looked for in the four texts, whatever its case.
+    """
+    baseline = F.coalesce(F.lower("model").contains("baseline"), F.lit(False)) | F.coalesce(F.col("exec_type") == "baseline", F.lit(False))
+    local = F.coalesce(F.col("exec_type") == "local", F.lit(False))
+    wanted = {"all": ~baseline, "local": local & ~baseline, "cloud": ~local & ~baseline, "baseline": baseline}[target]
+    hit = F.lit(search == "")
+    for c in ("model", "provider", "gpu", "os"):
+        hit = hit | F.coalesce(F.lower(c).contains(search.lower()), F.lit(False))
+    return cards.where(wanted & hit)
+
+
+#: What a missing figure sorts as.
+MISSING = {"speed": 0.0, "latency": 9999.0}
+
+
+def sorted_leaders(cards: DataFrame, column: str, descending: bool = True) -> DataFrame:
+    """By a name or a figure, either way; missing scores as -1, speeds as 0, latencies as 9999; ties by model."""
+    key = F.col(column) if column == "model" else F.coalesce(column, F.lit(MISSING.get(column, -1.0)))
+    return cards.orderBy(key.desc() if descending else key.asc(), "model")
+
+
+def drilled(rows: DataFrame, status: str, task: str = "all") -> DataFrame:
+    """The items that a model missed ("failed") or passed, of one task or of all."""
+    return rows.where((F.col("status") == status) & (F.lit(task == "all") | (F.col("task") == task)))
+
+
+def difficulty_counts(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Items by difficulty in a fixed order, zero where there are none, with the share of all items in percent."""
+    dim = rows.sparkSession.createDataFrame([(k, d) for k, d in enumerate(order)], "place int, difficulty string")
+    counts = rows.groupBy("difficulty").agg(F.count(F.lit(1)).alias("items")).join(dim, "difficulty", "full_outer").fillna(0, ["items"])
+    out = counts.withColumn("total", F.sum("items").over(Window.partitionBy())).where("place is not null")  # a row per difficulty
+    return out.select("place", "difficulty", "items", F.when(F.col("total") > 0, F.floor(100.0 * F.col("items") / F.col("total") + 0.5)).otherwise(0).cast("long").alias("share"))
+
+
 def leaders_markdown(stats: DataFrame) -> str:
     """The leaderboard as a Markdown table."""
     from .reports import markdown
