@@ -203,7 +203,7 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     parts = [named(k, F.col("found")[k]) for k in KINDS]
     more = named("term", F.when(F.col("terms").isNotNull(), places(F.col("text"), F.col("terms"), F.col("found"))).otherwise(F.array().cast(SPANS)))
-    return found.join(told, "row", "left").select("doc_id", F.concat(*parts, more).alias("spans"))
+    return checked_join(found, stash(told, "told"), ["row"], "left").select("doc_id", F.concat(*parts, more).alias("spans"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
