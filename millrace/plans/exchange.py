@@ -41,7 +41,7 @@ def viewer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.viewer_rows(chats.unionByName(pairs, True).unionByName(flat, True), SYSTEM)
 
 
-@query("""SELECT p_partkey AS id, sha256('Question: Which brand has ' || trim(p_name) || '?' || chr(10) || chr(10) || 'Options:' || chr(10) || 'A. ' || trim(p_brand) || chr(10) || 'B. ' || trim(p_type) || chr(10) || chr(10)
+@query(r"""SELECT p_partkey AS id, sha256('Question: Which brand has ' || trim(p_name) || '?' || chr(10) || chr(10) || 'Options:' || chr(10) || 'A. ' || trim(p_brand) || chr(10) || 'B. ' || trim(p_type) || chr(10) || chr(10)
 || 'Instructions: Analyze the options carefully and select the single correct letter (A, B, C, or D).' || chr(10) || 'Respond in valid JSON format with keys "answer" (the single uppercase letter) and "explanation" (brief justification).' || chr(10) || chr(10) || 'Example response format:' || chr(10) || '```json' || chr(10) || '{' || chr(10) || '  "answer": "A",' || chr(10) || '  "explanation": "Brief explanation of the metrological rationale."' || chr(10) || '}' || chr(10) || '```') AS prompt FROM part
 UNION ALL SELECT -1 - item_id, sha256('Question: ' || regexp_replace(text, '^\s+|\s+$', '', 'g') || chr(10) || chr(10) || 'Instructions: Provide the exact numerical value and unit for the answer.' || chr(10) || 'Respond in valid JSON format with keys "answer" (the exact value and unit) and "explanation" (brief justification).' || chr(10) || chr(10) || 'Example response format:' || chr(10) || '```json' || chr(10) || '{' || chr(10) || '  "answer": "1.054571817e-34 J s",' || chr(10) || '  "explanation": "Exact by the 2019 SI definition."' || chr(10) || '}' || chr(10) || '```') FROM benchmark""")
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
