@@ -223,3 +223,15 @@ def escaped_html(text: Column) -> Column:
 def slug(sample_id: Column) -> Column:
     """An id in lower case, with runs of other symbols as one dash and none at the ends."""
     return F.regexp_replace(F.regexp_replace(F.lower(sample_id), "[^a-z0-9]+", "-"), "^-|-$", "")
+
+
+#: What stands for a math command where math is not set.
+PLAIN_MATH = {"\\cdot": "·", "\\Theta": "Θ", "\\Delta": "Δ", "\\nu": "ν", "\\pm": "±", "\\circ": "°"}
+
+
+def plain_math(text: Column) -> Column:
+    """Math without its commonest commands, for places that do not set math; a null text is empty."""
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"\\text\{([^}]+)\}", "$1")
+    for command, sign in PLAIN_MATH.items():
+        out = F.replace(out, F.lit(command), F.lit(sign))
+    return out

@@ -6,14 +6,18 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers
+from . import records as exchange
 
 #: A provider answers a batch of prompts with (text, prompt tokens, completion tokens) each; a failure is an exception.
 Provider = Callable[[list[str]], list[tuple[str, int, int]]]
 TRY_AGAIN = ("429", "503", "timed out", "rate limit")
+#: Which settings hold a provider's key, by a mark in the address or the model's name; the first that is set serves.
+KEY_NAMES = (("openrouter", True, ("OPENROUTER_API_KEY", "OPENROUTER_KEY")), ("anthropic", False, ("ANTHROPIC_API_KEY",)), ("groq", False, ("GROQ_API_KEY",)), ("together", False, ("TOGETHER_API_KEY",)))
+ANY_KEY = ("OPENAI_API_KEY",)
 
 
 def echo(prompts: list[str]) -> list[tuple[str, int, int]]:
@@ -61,3 +65,25 @@ def paraphrased(records: DataFrame, provider: Provider) -> DataFrame:
 def run_statistics(records: DataFrame) -> DataFrame:
     """How records came about: cache, live or fallback, and their tokens, by persona and in all."""
     return records.groupingSets([["persona", "llm_generator"], ["llm_generator"], []], "persona", "llm_generator").agg(F.count(F.lit(1)).alias("records"), F.sum("completion_tokens").alias("tokens"))
+
+
+def key_names(endpoint: Column, model: Column) -> Column:
+    """Array of the settings that may hold the key for an address and a model, in order. The third member of a mark says whether a model's name may bear it, too."""
+    out = F.array(*map(F.lit, ANY_KEY))
+    has = lambda c, mark: F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(mark))
+    for mark, in_model, names in reversed(KEY_NAMES):
+        here = has(endpoint, mark) | has(model, mark) if in_model else has(endpoint, mark)
+        out = F.when(here, F.array(*map(F.lit, (*names, *ANY_KEY)))).otherwise(out)
+    return out
+
+
+def batched(scaffolds: DataFrame, personas: list[str], provider: Provider) -> DataFrame:
+    """One call per scaffold (id, canonical_query) for all personas: a row per scaffold and persona with ``user_query``.
+
+    The response maps personas to questions; a persona that it lacks or answers badly gets the canonical query behind its title.
+    """
+    asked = F.concat(F.lit("Rephrase this question once for each persona. Answer with a JSON object from persona to question.\nPersonas: "), F.lit(", ".join(personas)), F.lit("\nQuestion: "), F.col("canonical_query"))
+    said = ask(scaffolds.withColumn("prompt", asked), "prompt", provider).withColumn("said", answers.mapping(F.col("response")))
+    rows = said.withColumn("persona", F.explode(F.array(*map(F.lit, personas))))
+    found = exchange.question_for(F.coalesce("said", F.create_map().cast("map<string,string>")), F.col("persona"), F.col("canonical_query"))
+    return rows.withColumn("user_query", found).drop("prompt", "said")

@@ -28,6 +28,26 @@ NAMED = [
 ]
 PREFIX_POWERS = {"quetta": 30, "ronna": 27, "yotta": 24, "zetta": 21, "exa": 18, "peta": 15, "tera": 12, "giga": 9, "mega": 6, "kilo": 3, "hecto": 2, "deca": 1, "deci": -1, "centi": -2, "milli": -3, "micro": -6, "nano": -9, "pico": -12, "femto": -15, "atto": -18, "zepto": -21, "yocto": -24, "ronto": -27, "quecto": -30}
 RULES = [("unit symbols", "upright"), ("quantity symbols", "italic"), ("value and unit", "a space between them"), ("percent sign", "a space before it"), ("unit names", "lower case at the start"), ("compound prefixes", "not used")]
+RULES += [
+    ("the plural of unit symbols", "the same symbol, without s"), ("a full stop after a unit symbol", "only where a sentence ends"), ("long numbers", "groups of three digits with thin spaces"),
+    ("units in a denominator", "negative exponents or one solidus"), ("multiples of the kilogram", "prefixes go with the gram"), ("a power of a prefixed unit", "it holds for the prefix as well"),
+]
+#: Doubled prefixes, and the one prefix that should stand there.
+DOUBLED = [("kkg", "Mg"), ("mμs", "ns"), ("μμF", "pF"), ("kMW", "GW"), ("mkm", "m"), ("nnm", "am"), ("MkV", "GV"), ("μmg", "ng")]
+#: Symbols that differ by case alone, with what each means.
+CASES = [
+    ("M", "mega", "m", "milli"), ("P", "peta", "p", "pico"), ("Z", "zetta", "z", "zepto"), ("Y", "yotta", "y", "yocto"),
+    ("R", "ronna", "r", "ronto"), ("Q", "quetta", "q", "quecto"), ("K", "kelvin", "k", "kilo"), ("G", "giga", "g", "gram"),
+]
+#: Questions on the language of uncertainty, with the right answer and three wrong ones.
+CONCEPTS = [
+    ("Which evaluation uses the statistics of repeated readings?", "Type A", "Type B", "Expanded", "Relative"),
+    ("By what is a rectangular half-width divided to give a standard uncertainty?", "the square root of 3", "2", "3", "the square root of 6"),
+    ("By what is a triangular half-width divided to give a standard uncertainty?", "the square root of 6", "the square root of 3", "2", "6"),
+    ("What does a coverage factor multiply?", "the combined standard uncertainty", "the measured value", "the number of readings", "the variance"),
+    ("What does a larger number of readings reduce?", "the uncertainty of their mean", "the resolution of the instrument", "a calibration's uncertainty", "a systematic error"),
+    ("About which level of confidence goes with k = 2 for a normal distribution?", "95 %", "68 %", "99.7 %", "50 %"),
+]
 TEMPERATURES = [("0 degC", "273.15 K"), ("100 degC", "373.15 K"), ("32 degF", "273.15 K"), ("212 degF", "373.15 K"), ("25 degC", "298.15 K")]
 
 
@@ -92,7 +112,10 @@ def homogeneity_task(spark: SparkSession, units: DataFrame, count: int, seed: in
     w = Window.partitionBy(F.pmod(F.xxhash64("uri"), F.lit(64))).orderBy(lot(F.col("uri"), seed), "uri")
     pairs = units.select("uri", "label", "dimension_vector", F.lead("label").over(w).alias("next_label"), F.lead("dimension_vector").over(w).alias("next_vector")).where("next_vector is not null and next_vector <> dimension_vector")
     c = exploded(pairs, item("homogeneity", "mcq", F.col("uri"), "introductory", F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?")), F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
-    return cut(a.unionByName(b).unionByName(c), count)
+    d = rows_of(spark, DOUBLED, "wrong string, right string")
+    others = lambda i: F.get(F.array(*[F.lit(x) for _, x in DOUBLED]), F.pmod(F.col("ord") + i, F.lit(len(DOUBLED))).cast("int"))
+    e = exploded(d, item("homogeneity", "mcq", F.col("wrong"), "introductory", F.concat(F.lit("Which symbol should stand in place of "), "wrong", F.lit("?")), F.col("right"), [F.col("wrong"), others(2), others(5)], seed))
+    return cut(a.unionByName(b).unionByName(c).unionByName(e), count)
 
 
 def conventions_task(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
@@ -104,13 +127,21 @@ def conventions_task(spark: SparkSession, count: int, seed: int = 42) -> DataFra
     b = exploded(p, item("conventions", "mcq", F.col("prefix"), "introductory", F.concat(F.lit("Which factor has the prefix "), "prefix", F.lit("?")), ten(F.col("power")), [ten(-F.col("power")), ten(F.col("power") + 3), ten(F.col("power") - 3)], seed))
     r = rows_of(spark, RULES, "subject string, rule string")
     c = exploded(r, item("conventions", "free_form", F.col("subject"), "introductory", F.concat(F.lit("What is the rule for "), "subject", F.lit("?")), F.col("rule")))
-    return cut(a.unionByName(b).unionByName(c), count)
+    k = rows_of(spark, CASES, "upper string, large string, lower string, small string")
+    told = lambda x, y: F.concat_ws(" ", "upper", F.lit("is"), x, F.lit("and"), "lower", F.lit("is"), y)
+    ask = F.concat(F.lit("What do the symbols "), "upper", F.lit(" and "), "lower", F.lit(" mean?"))
+    d = exploded(k, item("conventions", "mcq", F.concat(F.lit("case "), "upper"), "introductory", ask, told(F.col("large"), F.col("small")), [told(F.col("small"), F.col("large")), told(F.col("large"), F.col("large")), told(F.col("small"), F.col("small"))], seed))
+    return cut(a.unionByName(b).unionByName(c).unionByName(d), count)
+
+
+#: Items of each kind of drawn uncertainty: quadrature, expanded, relative, mean of readings.
+QUOTAS = (18, 14, 8, 7)
 
 
 def uncertainty_task(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
-    """Drawn budgets: quadrature, expanded, relative, mean of readings, and half-widths, in turn."""
+    """Drawn budgets and the bank of concepts: so many of each kind as QUOTAS says, in that order; then quadrature and half-widths in turn until there are ``count``."""
     draw = lambda n, low, high: (F.pmod(F.conv(F.substring(lot(F.concat_ws("-", F.col("id"), F.lit(str(n))), seed), 1, 8), 16, 10).cast("long"), F.lit(high - low + 1)) + low).cast("double")
-    r = spark.range(count * 2).select("id", (draw(1, 1, 90) / 100).alias("a"), (draw(2, 1, 90) / 100).alias("b"), draw(3, 2, 30).alias("n"))
+    r = spark.range(sum(QUOTAS) + count * 2).select("id", (draw(1, 1, 90) / 100).alias("a"), (draw(2, 1, 90) / 100).alias("b"), draw(3, 2, 30).alias("n"))
     s = lambda x: F.format_string("%.4f m", x)
     a, b, n, key = F.col("a"), F.col("b"), F.col("n"), F.col("id").cast("string")
     q = numeric.quadrature(a, b)
@@ -121,8 +152,14 @@ def uncertainty_task(spark: SparkSession, count: int, seed: int = 42) -> DataFra
         item("uncertainty", "free_form", key, "intermediate", F.format_string("%.0f readings have a standard deviation of %.2f m. What is the uncertainty of their mean?", n, a), s(a / F.sqrt(n))),
         item("uncertainty", "free_form", key, "introductory", F.format_string("A value lies evenly within %.2f m on either side. What is its standard uncertainty?", a), s(numeric.rectangular(a))),
     ]
-    chosen = F.get(F.array(*kinds), F.pmod(F.col("id"), F.lit(len(kinds))).cast("int"))
-    return cut(r.select(chosen.alias("i")).select("i.*"), count)
+    place, low = F.when(F.col("id") % 2 == 0, 0).otherwise(len(QUOTAS)), 0
+    for k, n_of in enumerate(QUOTAS):
+        place, low = F.when((F.col("id") >= low) & (F.col("id") < low + n_of), k).otherwise(place), low + n_of
+    drawn = r.select(F.when(F.col("id") < low, place).otherwise(len(QUOTAS) + 1).cast("int").alias("kind"), "id", F.get(F.array(*kinds), place.cast("int")).alias("i"))
+    bank = rows_of(spark, CONCEPTS, "question string, answer string, x string, y string, z string")
+    told = bank.select(F.lit(len(QUOTAS)).alias("kind"), F.col("ord").cast("long").alias("id"), item("uncertainty", "mcq", F.concat(F.lit("concept "), F.col("ord").cast("string")), "intermediate", F.col("question"), F.col("answer"), [F.col("x"), F.col("y"), F.col("z")], seed).alias("i"))
+    once = first_n(drawn.unionByName(told).select("kind", "id", F.col("i.question").alias("question"), "i"), ["question"], ["kind", "id"], 1)
+    return once.orderBy("kind", "id").limit(count).select("i.*")
 
 
 def generate_all(spark: SparkSession, units: DataFrame, constants: DataFrame, count: int = 50, seed: int = 42) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
-from ..operators import records, relational
-from . import views
+from ..functions import text as T
+from ..operators import inference, records, relational
+from . import jobs, views
 from ._base import query, table
 
 SYSTEM = "You answer from the tables."
@@ -149,3 +150,43 @@ def kind_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a part's kind is among those that are known."""
     known = F.array(*map(F.lit, ("MEDIUM", "SMALL", "PROMO")))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), N.linked(known, F.substring_index("p_type", " ", 1)).alias("linked"))
+
+
+@query(r"""SELECT doc_id, sha256(replace(replace(replace(replace(replace(replace(regexp_replace(t, '\\text\{([^}]+)\}', '\1', 'g'), '\cdot', '·'), '\Theta', 'Θ'), '\Delta', 'Δ'), '\nu', 'ν'), '\pm', '±'), '\circ', '°')) AS plain
+FROM (SELECT doc_id, coalesce(text, '') || '\text{m}\cdot\Delta x \pm 3\circ' AS t FROM documents)""")
+def plain_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.sha2(T.plain_math(F.concat(F.coalesce("text", F.lit("")), F.lit(r"\text{m}\cdot\Delta x \pm 3\circ"))), 256).alias("plain"))
+
+
+@query("""WITH r AS (SELECT user_id, event_type, value > 50 AS ok FROM events), m AS (SELECT user_id, count(*) AS total, count(*) FILTER (ok) AS passed FROM r GROUP BY user_id)
+SELECT 'model_' || user_id AS model_name, m.total, m.passed, round(100.0 * m.passed / m.total, 2) AS overall_accuracy_pct, event_type AS task, count(*) AS task_total, count(*) FILTER (ok) AS task_passed, round(100.0 * count(*) FILTER (ok) / count(*), 2) AS task_pct
+FROM r JOIN m USING (user_id) GROUP BY user_id, m.total, m.passed, event_type""")
+def model_scorecards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as models, their events as results; a row for each task of a scorecard."""
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("model_"), F.col("user_id").cast("string")).alias("model"), F.col("event_type").alias("task"), (F.col("value") > 50).alias("passed"))
+    cards_ = jobs.scorecards(e.withColumns({"format": F.lit("mcq"), "difficulty": F.lit("advanced")}))
+    rows = cards_.select("model_name", "total", "passed", "overall_accuracy_pct", F.explode("by_task").alias("task", "s"))
+    return rows.select("model_name", "total", "passed", "overall_accuracy_pct", "task", F.col("s.total").alias("task_total"), F.col("s.passed").alias("task_passed"), F.col("s.accuracy_pct").alias("task_pct"))
+
+
+@query("""SELECT page_id, provider, CASE WHEN contains(u, 'openrouter') OR provider = 'openrouter' THEN 'OPENROUTER_API_KEY,OPENROUTER_KEY,' WHEN contains(u, 'anthropic') THEN 'ANTHROPIC_API_KEY,' WHEN contains(u, 'groq') THEN 'GROQ_API_KEY,' WHEN contains(u, 'together') THEN 'TOGETHER_API_KEY,' ELSE '' END || 'OPENAI_API_KEY' AS names
+FROM (SELECT page_id, provider, lower(coalesce(url, '') || CASE WHEN provider = 'openrouter' THEN '' ELSE '?' || provider END) AS u FROM pages, (SELECT unnest(['openrouter', 'groq', 'together', 'x']) AS provider))""")
+def provider_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages' addresses as endpoints, each with four providers; one is told by the model's name, the others by the address."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("provider", F.explode(F.array(*map(F.lit, ("openrouter", "groq", "together", "x")))))
+    named = F.col("provider") == "openrouter"
+    endpoint = F.when(named, F.col("url")).otherwise(F.concat(F.coalesce("url", F.lit("")), F.lit("?"), "provider"))
+    names = inference.key_names(endpoint, F.when(named, F.concat("provider", F.lit("/some-model"))))
+    return p.select("page_id", "provider", F.array_join(names, ",").alias("names"))
+
+
+def answered(prompts: list[str]) -> list[tuple[str, int, int]]:
+    """A provider that rephrases for the students alone."""
+    return [('Here: {"student": "Please tell me: ' + p.rsplit("Question: ", 1)[1] + '", "judge": "no"}', 1, 1) for p in prompts]
+
+
+@query("SELECT s_suppkey AS id, persona, CASE persona WHEN 'student' THEN 'Please tell me: ' || s_name WHEN 'judge' THEN '[Judge] ' || s_name ELSE s_name END AS user_query FROM supplier, (SELECT unnest(['student', 'judge', 'general_user']) AS persona)")
+def batched_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("canonical_query"))
+    return inference.batched(s, ["student", "judge", "general_user"], answered).select("id", "persona", "user_query")
