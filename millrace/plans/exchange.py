@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import text as T
 from ..operators import inference, records, relational
-from . import jobs, views
+from . import jobs, reports, views
 from ._base import query, table
 
 SYSTEM = "You answer from the tables."
@@ -190,3 +190,15 @@ def answered(prompts: list[str]) -> list[tuple[str, int, int]]:
 def batched_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("canonical_query"))
     return inference.batched(s, ["student", "judge", "general_user"], answered).select("id", "persona", "user_query")
+
+
+@query("""WITH d AS (SELECT lang, coalesce(source, '') AS source, length(coalesce(text, '')) > 500 AS live FROM documents), p AS (SELECT lang, count(*) AS records, count(*) FILTER (live) AS live FROM d GROUP BY lang)
+SELECT p.lang AS persona, CASE p.lang WHEN 'en' THEN 'English' ELSE upper(p.lang[1]) || p.lang[2:] END AS title, p.records, round(100.0 * p.records / sum(count(*)) OVER (), 2) AS share_pct, p.live, source AS archetype, count(*) AS n
+FROM d JOIN p ON d.lang IS NOT DISTINCT FROM p.lang GROUP BY p.lang, p.records, p.live, source""")
+def persona_archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report by persona, a row for each archetype; one persona has a title of its own."""
+    generator = F.when(F.length(F.coalesce("text", F.lit(""))) > 500, "live").otherwise("cache")
+    d = table(spark, sf_dir, "documents").select(F.col("lang").alias("persona"), F.col("source").alias("archetype"), generator.alias("llm_generator"))
+    r = reports.group_report(d, "persona", "archetype", spark.createDataFrame([("en", "English")], "persona string, title string"))
+    live = F.coalesce(F.try_element_at("generators", F.lit("live")), F.lit(0)).alias("live")
+    return r.select("persona", "title", "records", "share_pct", live, F.explode("by_archetype").alias("archetype", "n"))

@@ -50,14 +50,15 @@ def relational_top(rows: DataFrame, key: str, n: int) -> dict[str, int]:
 
 def group_report(records: DataFrame, key: str, other: str, titles: DataFrame | None = None) -> DataFrame:
     """Per value of ``key``: records, share, counts by ``other``, generators, title, most frequent first."""
-    counts = records.groupBy(key, other, "llm_generator").agg(F.count(F.lit(1)).alias("n"))
+    known = records.withColumns({c: F.coalesce(c, F.lit("")) for c in (other, "llm_generator")})  # keys of maps are not null
+    counts = known.groupBy(key, other, "llm_generator").agg(F.count(F.lit(1)).alias("n"))
     by_other = counts.groupBy(key, other).agg(F.sum("n").alias("n")).groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(other, "n")))).alias(f"by_{other}"), F.sum("n").alias("records"))
     by_generator = counts.groupBy(key, "llm_generator").agg(F.sum("n").alias("n")).groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("llm_generator", "n")))).alias("generators"))
-    out = by_other.join(by_generator, key)
+    out = by_other.join(by_generator.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     total = records.count()
     out = out.withColumn("share_pct", F.round(100.0 * F.col("records") / F.lit(max(1, total)), 2))
     if titles is not None:
-        out = out.join(F.broadcast(titles.select(key, "title")), key, "left")
+        out = relational.lookup(out, titles.select(key, "title"), [key])
     return out.withColumn("title", F.coalesce(F.col("title") if titles is not None else F.lit(None).cast("string"), text.title(F.col(key)))).orderBy(F.desc("records"), key)
 
 

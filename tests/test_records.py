@@ -68,3 +68,13 @@ def test_personas_beyond_a_thousand_and_tasks_beyond_a_hundred(spark):
     tasks = spark.createDataFrame([(f"t{i}",) for i in range(130)], "task string")
     results = spark.createDataFrame([("m", "t1", True), ("n", "t2", False)], "model string, task string, passed boolean")
     assert views.zero_filled(results, tasks).count() == 260
+
+
+def test_reports_keep_rows_without_persona(spark):
+    from millrace.plans import reports
+
+    rows = [("p_q", "a", "live"), ("p_q", None, None), (None, "a", "cache")]
+    titles = spark.createDataFrame([("x", "X")], "persona string, title string")
+    got = {r.persona: r for r in reports.group_report(spark.createDataFrame(rows, "persona string, archetype string, llm_generator string"), "persona", "archetype", titles).collect()}
+    assert (got["p_q"].records, got["p_q"].by_archetype, got["p_q"].generators, got["p_q"].title) == (2, {"": 1, "a": 1}, {"": 1, "live": 1}, "P Q")
+    assert (got[None].records, got[None].by_archetype, got[None].share_pct) == (1, {"a": 1}, 33.33)
