@@ -2,8 +2,10 @@
 
 import math
 
+import numpy as np
 import pytest
 from millrace.llm import lm_scoring, transducer
+from millrace.llm._words import WordHashes
 from millrace.llm.queries import QUERIES, vocabulary
 
 PIECES = "piece_bpe_32k.model"
@@ -116,3 +118,27 @@ def test_pairs_are_counted_exactly_and_the_vocabulary_is_whole(spark):
     seen = {r.doc_id: r for r in lm_scoring.score(other, model).collect()}
     bits = [first, -math.log2(0.7 + 0.3 * alone(1)), -math.log2(0.3 * alone(0)), -math.log2(alone(1)), -math.log2(0.3 * alone(100))]
     assert seen[7].target_loss == pytest.approx(sum(bits) / 5, rel=1e-9) and seen[8].n_tokens == 1
+
+
+def test_texts_that_go_on_in_other_blocks_score_alike(spark, rows, monkeypatch):
+    """Blocks of a few tokens, more shards than keys, and texts parted in slices change no score."""
+    docs = [(i, t) for i, t in rows if t is None or len(t) < 4000] + [(rows[0][0], "a text with an id that is not its own")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 3, 0) for k, (i, _) in enumerate(docs)], "doc_id long, quality int, toxic int")
+
+    def scores(size=None):
+        out = lm_scoring.score(frame, lm_scoring.train(frame, labels, size=size))
+        return sorted((r.doc_id, r.n_tokens, round(r.target_loss, 9), round(r.background_loss, 9)) for r in out.collect())
+
+    whole, small = scores(), scores(100)
+    assert len(whole) == len(docs) and whole != small
+    monkeypatch.setattr(lm_scoring, "BLOCK", 37)
+    monkeypatch.setattr(lm_scoring, "SHARD", 11)
+    assert scores() == whole and scores(100) == small
+
+
+def test_slices_part_a_text_into_the_same_words(monkeypatch):
+    text = b"  one two\x0bthree " + b"x" * 40 + b"\n four \t"
+    whole = np.concatenate(list(lm_scoring.tokens(text, WordHashes())))
+    monkeypatch.setattr(lm_scoring, "SLICE", 3)
+    assert np.concatenate(list(lm_scoring.tokens(text, WordHashes()))).tolist() == whole.tolist() and len(whole) == 6
