@@ -172,3 +172,77 @@ def repeats(rows, k=35):
                 gone |= set(range(a, a + k))
         out.append((i, len(w), len(gone), sha(" ".join(x for j, x in enumerate(w) if j not in gone))))
     return sorted(out)
+
+
+def failed(rows):
+    """Letters of the filters that each row (doc_id, text) fails."""
+    first = {}
+    for i, t in rows:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    out = []
+    for i, t in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        bad = {"A"} if len(w) < 50 else set()
+        bad |= {"B"} if 100 * len(set(w)) < 65 * len(w) else set()
+        bad |= {"C"} if 100 * len(re.findall("[A-Z]", t)) > 5 * len(t) else set()
+        bad |= {"D"} if re.search(r"[#$%&*|]", t) else set()
+        bad |= {"E"} if i is not None and i > first.get(t, i) else set()
+        out.append(bad)
+    return out
+
+
+def audit(rows, parts, good, toxic):
+    """(part, order, step, kept, removed, redundant, unique, good lost, toxic lost, shapley), by applying every order to every row."""
+    from itertools import permutations
+
+    bad, out, sums = failed(rows), {}, Counter()
+    orders = ["".join(p) for p in permutations("ABCDE")]
+    for (i, _), b, part in zip(rows, bad, parts):
+        for order in orders:
+            gone = False
+            for step, f in enumerate(order, 1):
+                c = out.setdefault((part or "", order, step), [0] * 6)
+                if f in b and not gone:
+                    gone = True
+                    c[1] += 1
+                    c[4] += i in good
+                    c[5] += i in toxic
+                    sums[part or "", f] += 1
+                elif f in b:
+                    c[2] += 1
+                c[0] += not gone
+                c[3] += b == {f}
+    return sorted((*k, *c, sums[k[0], k[1][k[2] - 1]]) for k, c in out.items())
+
+
+def divergence(rows, least=10):
+    """(lang, source, part, item, value, rank) of rows (text, lang, source)."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    terms = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low(t)) for t, _, _ in rows]
+    docs, uses, out = Counter(), Counter(), []
+    for (_, lang, source), ts in zip(rows, terms):
+        docs.update({(lang, t) for t in ts})
+        for t in ts:
+            uses[lang, source, t] += 1
+    for lang in {r[1] for r in rows}:
+        kept = [t for (g, t), n in docs.items() if g == lang and n >= least]
+        sources = {r[2] for r in rows if r[1] == lang}
+        count = lambda s, t: uses[lang, s, t]
+        whole = lambda t: sum(count(s, t) for s in sources)
+
+        def part(c):
+            n = sum(c.values()) + 2 * len(kept)
+            return {t: 1 + 10**9 * (x + 2) // n for t, x in c.items()}
+
+        p = {s: part({t: count(s, t) for t in kept}) for s in sources}
+        q = part({t: whole(t) for t in kept})
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in sources:
+            pairs = [(o, sum(f(p[s][t], p[o][t]) for t in kept)) for o in sources if o != s]
+            marks = [(t, f(p[s][t], q[t])) for t in kept if count(s, t) and p[s][t] > q[t]]
+            for kind, found, most in (("pair", pairs, None), ("term", marks, 10)):
+                found.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, kind, i, v, k) for k, (i, v) in enumerate(found[:most], 1)]
+    return sorted(out)

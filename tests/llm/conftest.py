@@ -44,13 +44,30 @@ def sf(spark, rows, tmp_path_factory):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{top}/pages.parquet")
     bench = [(1, rows[-1][1][:300]), (2, None)]
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{top}/benchmark.parquet")
+    spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int, h string, vector int").repartition(3).write.parquet(f"{top}/embeddings.parquet")
     return str(top)
 
 
+def vectors():
+    """Clusters, near and exact copies, and vectors that take no part."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(6, 16))
+    x = (centres[r.integers(0, 6, 1500)] + 0.4 * r.normal(size=(1500, 16))).astype(np.float32)
+    x[1200:1230] = x[100]
+    x[1230:1236] = x[300]
+    x[1240:1300] = x[140:200] + np.float32(0.01)
+    out = [(i, [float(v) for v in row], i % 3, "x", 1) for i, row in enumerate(x)]
+    odd = [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15, [1.0] * 7]
+    out += [(2000 + 100 * k, v, 0, None, None) for k, v in enumerate(odd)] + [(None, out[5][1], 0, None, None), out[7], out[200], (400, out[3][1], 0, None, None)]
+    return out
+
+
 @pytest.fixture(scope="session")
 def empty(spark, sf, tmp_path_factory):
     """The same tables without rows."""
     top = tmp_path_factory.mktemp("none")
-    for t in ("documents", "labels", "pages", "benchmark"):
+    for t in ("documents", "labels", "pages", "benchmark", "embeddings"):
         spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{top}/{t}.parquet")
     return str(top)
