@@ -33,8 +33,10 @@ SAMPLE, LISTS = 65_536, 4096
 #: Vectors of a list that are aimed at, as long as LISTS allows.
 FILL = 256
 PART, ASKING = 8192, 2048
+#: Neighbours that a task holds before it passes them on; what its cells find for a query is merged until then.
+HELD = 500_000
 #: A list is read if its centroid is at most so many times as far as the nearest one.
-RATIO = 1.2
+RATIO = 1.15
 #: A vector is filed in at most so many lists, whose centroids are at most so many times as far as the nearest.
 REPLICAS, NEAR = 3, 1.05
 LINKS, FAR_LINKS, BEAM = 24, 8, 64
@@ -193,9 +195,9 @@ def cells(postings: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def nearest(dealt: DataFrame, most: int) -> DataFrame:
-    """(h, vec_id, score): for each query of a cell the ``most`` nearest of its vectors, ties to smaller ids."""
+    """(h, vec_id, score): for each query the ``most`` nearest vectors of the cells that a task has, ties to smaller ids."""
 
-    def best(ids: np.ndarray, x: np.ndarray, hs: np.ndarray, q: np.ndarray) -> tuple[list, list, list]:
+    def best(ids: np.ndarray, x: np.ndarray, hs: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By the expanded square first, then exactly for all that rounding leaves in doubt."""
         rough = (q**2).sum(axis=1, keepdims=True) + (x**2).sum(axis=1) - 2 * q @ x.T
         if rough.shape[1] > most:
@@ -204,15 +206,24 @@ def nearest(dealt: DataFrame, most: int) -> DataFrame:
         else:
             row, col = (a.reshape(-1) for a in np.indices(rough.shape))
         score = np.sqrt(((q[row] - x[col]) ** 2).sum(axis=1))
-        order = np.lexsort((ids[col], score, row))
-        row, col, score = row[order], col[order], score[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        few = place < most
-        return hs[row[few]], ids[col[few]], score[few]
+        return first(hs[row], ids[col], score)
+
+    def first(h: np.ndarray, ids: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first ``most`` of each query, each vector once."""
+        order = np.lexsort((ids, score, h))
+        h, ids, score = h[order], ids[order], score[order]
+        once = np.ones(len(h), bool)
+        once[1:] = (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])
+        h, ids, score = h[once], ids[once], score[once]
+        few = np.arange(len(h)) - np.searchsorted(h, h) < most
+        return h[few], ids[few], score[few]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cells come in order, each with its queries first."""
         cell, hs, q = None, [], []
+        held: list[tuple] = []
+        merge = lambda: first(*[np.concatenate(x) for x in zip(*held, strict=True)])
+        passed = lambda found: pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=["h", "vec_id", "score"])
         for batch in batches:
             key = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
@@ -230,8 +241,13 @@ def nearest(dealt: DataFrame, most: int) -> DataFrame:
                 rest = run_.filter(pa.compute.invert(asks))
                 if rest.num_rows and hs:
                     hs, q = [np.concatenate(hs)], [np.concatenate(q)]
-                    found = best(rest.column(3).to_numpy(), matrix(rest.column(5)), hs[0], q[0])
-                    yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=["h", "vec_id", "score"])
+                    held.append(best(rest.column(3).to_numpy(), matrix(rest.column(5)), hs[0], q[0]))
+                    if sum(len(f[0]) for f in held) > HELD:
+                        held = [merge()]
+                        if len(held[0][0]) > HELD // 2:
+                            yield passed(held.pop())
+        if held:
+            yield passed(merge())
 
     ordered = dealt.repartition("list", "part", "asking").sortWithinPartitions("list", "part", "asking", F.col("vec_id").isNotNull())
     return ordered.mapInArrow(run, "h long, vec_id long, score double")

@@ -112,7 +112,7 @@ def test_neighbours_query(spark, sf):
 
 def test_neighbours_in_many_small_cells(spark, monkeypatch):
     """Lists of few vectors, dealt out in small cells: every list is read, so all neighbours are found, copies and ties included."""
-    for name, value in (("FILL", 20), ("PART", 7), ("ASKING", 2)):
+    for name, value in (("FILL", 20), ("PART", 7), ("ASKING", 2), ("HELD", 90)):
         monkeypatch.setattr(posting_lists, name, value)
     rows = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int, h string, vector int")
     want = nearest(vectors())
