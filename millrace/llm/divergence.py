@@ -222,7 +222,7 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     both = named.select("lang", F.explode(F.array(F.struct(F.col("one").alias("source"), F.col("two").alias("item")), F.struct(F.col("two").alias("source"), F.col("one").alias("item")))).alias("x"), "value").select("lang", "x.source", "x.item", "value")
     bare = groups.join(panels.select("lang").distinct(), "lang", "left_anti")  # languages without kept terms
     zero = bare.alias("g").join(bare.alias("h"), "lang").where("g.source != h.source").select("lang", "g.source", F.col("h.source").alias("item"), F.lit(0).cast("long").alias("value"))
-    pairs = both.unionByName(zero).withColumn("part", F.lit("pair"))
-    rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
-    out = pairs.unionByName(marks.withColumn("part", F.lit("term"))).withColumn("rank", rank).where((F.col("part") == "pair") | (F.col("rank") <= most))
-    return out.select("lang", "source", "part", "item", "value", "rank")
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
+    pairs = both.unionByName(zero).withColumn("part", F.lit("pair")).withColumn("rank", rank)
+    marks = marks.withColumn("part", F.lit("term")).withColumn("rank", rank).where(F.col("rank") <= most)  # a task passes on no more than that of a group
+    return pairs.unionByName(marks).select("lang", "source", "part", "item", "value", "rank")
