@@ -9,18 +9,40 @@ that share a bucket with a kept row go. Rounds are as many as the longest chain
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: Tokens of a text that are permuted at once.
+SLICE = 4096
 
-def signature(tokens: Column, permutations: int) -> Column:
-    """Minimum of each seeded hash over the tokens."""
-    return F.transform(F.sequence(F.lit(0), F.lit(permutations - 1)), lambda i: F.array_min(F.transform(tokens, lambda t: F.xxhash64(t, i))))
 
+def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of ``a * hash + b`` (mod 2**64) over the tokens' hashes, for each permutation (a odd, b)."""
+    low = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), SLICE):
+        low = np.minimum(low, (a[:, None] * hashes[None, at : at + SLICE] + b[:, None]).min(axis=1))
+    return low
 
-def band_keys(sig: Column, bands: int, rows: int) -> Column:
-    return F.array(*[F.xxhash64(F.lit(b), F.slice(sig, b * rows + 1, rows)) for b in range(bands)])
+
+def buckets(rows: DataFrame, permutations: int, bands: int, seed: int = 42) -> DataFrame:
+    """(ord, bucket), one row per band, of rows (ord, hashes array<long>) that have tokens: each token is hashed once, and its hash is permuted."""
+    draw = np.random.default_rng(seed)
+    a, b = (draw.integers(0, 1 << 63, permutations, np.uint64) * np.uint64(2) + np.uint64(k) for k in (1, 0))
+    schema = T.StructType([rows.schema["ord"], T.StructField("signature", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signature(h.values.to_numpy().view(np.uint64), a, b).view(np.int64) for h in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["ord", "signature"])
+
+    wide = permutations // bands
+    keys = F.array(*[F.xxhash64(F.lit(k), F.slice("signature", k * wide + 1, wide)) for k in range(bands)])
+    return rows.select("ord", "hashes").mapInArrow(run, schema).select("ord", F.explode(keys).alias("bucket"))
 
 
 def greedy(df: DataFrame, text: Column, order: str, permutations: int = 64, bands: int = 4) -> DataFrame:
@@ -32,8 +54,9 @@ def greedy(df: DataFrame, text: Column, order: str, permutations: int = 64, band
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
     tokens = F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda t: t != ""))
-    rows = df.select(F.col(order).alias("ord"), tokens.alias("tokens")).where(F.size("tokens") > 0)
-    entries = rows.select("ord", F.explode(band_keys(signature(F.col("tokens"), permutations), bands, permutations // bands)).alias("bucket"))
+    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+    rows = df.select(F.col(order).alias("ord"), hashes.alias("hashes")).where(F.size("hashes") > 0)
+    entries = buckets(rows, permutations, bands).checkpoint()  # used twice
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("bucket")
     left = entries.join(shared, "bucket", "left_semi").checkpoint()
     gone = None
