@@ -148,15 +148,6 @@ def type_a_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("l_quantity"), 6).alias("mean"), F.round(N.type_a(F.col("l_quantity")), 6).alias("u"))
 
 
-CONCISE = [("6.67430(15)e-11", "6.67430e-11", "0.00015e-11"), ("0.0072973525693(11)", "0.0072973525693", "0.0000000000011"), ("299792458", "299792458", None), ("1.25(10)", "1.25", "0.10"), ("12(3)", "12", "3"), ("-1.602 176 634e-19", "-1.602176634e-19", None), ("3.1415...", "3.1415...", None)]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {'NULL' if c is None else repr(c)})" for a, b, c in CONCISE) + ") v(text, value, uncertainty)")
-def uncertainty_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.range(1).select(F.explode(F.array(*[F.lit(a) for a, _, _ in CONCISE])).alias("text"))
-    return rows.select("text", N.concise_value(F.col("text")).alias("v")).select("text", "v.*")
-
-
 @query("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) = CAST(printf('%.3f', o_totalprice) AS DECIMAL(18, 3)) AS same, CAST(o_totalprice AS DECIMAL(18, 2)) = CAST(printf('%.1f', o_totalprice) AS DECIMAL(18, 1)) AS rounded_same FROM orders")
 def exact_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lambda f: F.format_string(f, "o_totalprice")
