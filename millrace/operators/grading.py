@@ -69,15 +69,17 @@ def breakdown(rows: DataFrame, axes: Sequence[str]) -> DataFrame:
 
 def telemetry(rows: DataFrame, model: str = "model") -> DataFrame:
     """Per model, of positive latencies: n, avg, p50 (interpolated), p95 (index floor(0.95 n), the maximum under 20), and their sum."""
-    rows = rows.where(F.col("latency") > 0)
-    n = F.count(F.lit(1))
-    sums = rows.groupBy(model).agg(n.alias("n"), F.round(F.avg("latency"), 3).alias("avg_latency"), F.round(F.percentile("latency", F.lit(0.5)), 3).alias("p50"), F.round(F.sum("latency"), 2).alias("duration"))
-    from .relational import quantile_at
-
-    ranked = quantile_at(rows.groupBy(model, "latency").agg(F.count(F.lit(1)).alias("count")), [model], "latency")
-    index = F.when(F.col("all") >= 20, F.floor(F.col("all") * F.lit(0.95))).otherwise(F.col("all") - 1)
-    p95 = ranked.where((F.col("before") <= index) & (index < F.col("before") + F.col("count"))).select(model, F.round("latency", 3).alias("p95"))
-    return sums.join(p95, model).select(model, "n", "avg_latency", "p50", "p95", "duration")
+    from .selection import at_ranks, written
+
+    rows = written(rows.where(F.col("latency") > 0).select(model, "latency"))
+    n = F.col("n")
+    middle = (n - 1) * F.lit(0.5)
+    p95 = F.when(n >= 20, F.floor(n * F.lit(0.95))).otherwise(n - 1)
+    picked = at_ranks(rows, [model], "latency", [("_low", F.floor(middle)), ("_high", F.ceil(middle)), ("_p95", p95)], True)
+    sums = rows.groupBy(model).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("latency"), 3).alias("avg_latency"), F.round(F.sum("latency"), 2).alias("duration"))
+    both = sums.alias("s").join(picked.alias("p"), F.col(f"s.{model}").eqNullSafe(F.col(f"p.{model}")))
+    p50 = F.round(F.col("_low") * F.lit(0.5) + F.col("_high") * F.lit(0.5), 3)
+    return both.select(f"s.{model}", "n", "avg_latency", p50.alias("p50"), F.round("_p95", 3).alias("p95"), "duration")
 
 
 def model_stats(rows: DataFrame) -> DataFrame:

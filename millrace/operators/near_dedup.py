@@ -8,7 +8,6 @@ that share a bucket with a kept row go. Rounds are as many as the longest chain
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .selection import checkpoints
+
 #: Tokens of a text that are permuted at once.
 SLICE = 4096
 
@@ -47,12 +48,7 @@ def buckets(rows: DataFrame, permutations: int, bands: int, seed: int = 42) -> D
 
 def greedy(df: DataFrame, text: Column, order: str, permutations: int = 64, bands: int = 4) -> DataFrame:
     """``df`` without the rows that collide with an earlier kept row. ``order`` is unique; rows without tokens all stay."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
+    checkpoints(df.sparkSession)
     tokens = F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda t: t != ""))
     hashes = F.transform(tokens, lambda t: F.xxhash64(t))
     rows = df.select(F.col(order).alias("ord"), hashes.alias("hashes")).where(F.size("hashes") > 0)

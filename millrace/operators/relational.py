@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,44 +78,46 @@ def hash_split(df: DataFrame, key: str, train: float = 0.85, val: float = 0.10,
 
 
 def stratified(df: DataFrame, strata: Sequence[str], key: str, size: int, seed: int = 42) -> DataFrame:
-    """About ``size`` rows in proportion: max(1, round(n * ratio)) of each stratum by lot, cut at ``size`` in a second lot."""
+    """About ``size`` rows in proportion: max(1, round(n * ratio)) of each stratum by lot, cut at ``size`` in a second lot.
+
+    Each stratum's threshold is found by counts of the lots' leading bits (``selection``); only rows at a threshold are ranked.
+    """
+    from .selection import at_ranks
+
     n = df.count()
     if n <= size:
         return df
-    w = Window.partitionBy(*strata)
-    counts = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = df.join(F.broadcast(counts), list(strata)).withColumn("_k", F.row_number().over(w.orderBy(lot(F.col(key), seed), key)))
-    taken = ranked.where(F.col("_k") <= F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(size / n), 0)))
-    return taken.orderBy(lot(F.col(key), seed + 1), key).limit(size).select(*df.columns)
-
-
-def quantile_at(counted: DataFrame, groups: Sequence[str], value: str, count: str = "count") -> DataFrame:
-    """Rows (groups, value, count) with ``before`` and ``all``: how many values of the group are smaller, and how many there are.
-
-    An index quantile is then the value with before <= index < before + count. It works on distinct values, which partial
-    aggregation makes few, and not on all rows of a group.
-    """
-    w = Window.partitionBy(*groups)
-    return counted.withColumn("before", F.sum(count).over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1))).withColumn("all", F.sum(count).over(w)).fillna(0, ["before"])
+    names = [f"_s{k}" for k in range(len(strata))]
+    lead = F.conv(F.substring(lot(F.col(key), seed), 1, 15), 16, 10).cast("long")
+    drawn = df.withColumns({"_lead": lead, **{a: F.col(c) for a, c in zip(names, strata, strict=True)}})
+    wanted = F.greatest(F.lit(1), F.bround(F.col("n") * F.lit(size / n), 0))
+    cuts = at_ranks(drawn.select(*names, "_lead"), names, "_lead", [("_cut", wanted - 1)])
+    same = lambda x, y: reduce(lambda p, q: p & q, [F.col(f"{x}.{a}").eqNullSafe(F.col(f"{y}.{a}")) for a in names])
+    held = lookup(drawn.alias("d"), cuts.alias("c"), same("d", "c"), "inner").select("d.*", "c._cut").where("_lead <= _cut")
+    below = held.groupBy(*names).agg(F.count(F.lit(1)).alias("_upto"), F.count_if(F.col("_lead") < F.col("_cut")).alias("_below"))
+    counts = drawn.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).select(*names, wanted.cast("long").alias("_k"))
+    ties = lookup(held.where("_lead = _cut").alias("d"), below.alias("c"), same("d", "c"), "inner").select("d.*", "c._below")
+    ties = lookup(ties.alias("d"), counts.alias("c"), same("d", "c"), "inner").select("d.*", "c._k")
+    at_cut = Window.partitionBy(*names).orderBy(lot(F.col(key), seed), key)  # the rows whose lots begin alike, one as a rule
+    ties = ties.withColumn("_place", F.row_number().over(at_cut)).where(F.col("_below") + F.col("_place") <= F.col("_k"))
+    taken = held.where("_lead < _cut").select(*df.columns).unionByName(ties.select(*df.columns))
+    return taken.orderBy(lot(F.col(key), seed + 1), key).limit(size)
 
 
 def distribution(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Per group: n, min, mean, median, p95, p99, max, std. Quantiles are ``sorted[min(n - 1, floor(n * q))]``, std is the population's, mean and std have one digit."""
-    groups = list(groups)
-    counted = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("count"))
-    ranked = quantile_at(counted, groups, value)
-
-    def pick(q: float) -> Column:
-        index = F.least(F.col("all") - 1, F.floor(F.col("all") * F.lit(q)))
-        return F.max(F.when((F.col("before") <= index) & (index < F.col("before") + F.col("count")), F.col(value)))
-
-    n, s, ss = F.sum("count"), F.sum(F.col(value) * F.col("count")), F.sum(F.col(value).cast("double") * F.col(value) * F.col("count"))
-    mean = s / n
-    std = F.sqrt(F.greatest(ss / n - mean * mean, F.lit(0.0)))
-    return ranked.groupBy(*groups).agg(
-        n.alias("n"), F.min(value).alias("min"), F.bround(mean, 1).alias("mean"), pick(0.5).alias("median"),
-        pick(0.95).alias("p95"), pick(0.99).alias("p99"), F.max(value).alias("max"), F.bround(std, 1).alias("std"),
-    )
+    from .selection import at_ranks, written
+
+    groups, n = list(groups), F.col("n")
+    rows = written(df.select(*groups, F.col(value).alias("_v")))
+    index = lambda q: F.least(n - 1, F.floor(n * F.lit(q)))
+    picked = at_ranks(rows, groups, "_v", [("median", index(0.5)), ("p95", index(0.95)), ("p99", index(0.99))], True)
+    mean = F.sum("_v") / F.count("_v")
+    std = F.sqrt(F.greatest(F.sum(F.col("_v").cast("double") * F.col("_v")) / F.count("_v") - mean * mean, F.lit(0.0)))
+    sums = rows.where("_v is not null").groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.bround(mean, 1).alias("mean"), F.max("_v").alias("max"), F.bround(std, 1).alias("std"))
+    same = reduce(lambda p, q: p & q, [F.col(f"s.{g}").eqNullSafe(F.col(f"p.{g}")) for g in groups], F.lit(True))
+    both = sums.alias("s").join(picked.alias("p"), same)
+    return both.select(*[F.col(f"s.{g}").alias(g) for g in groups], "n", "min", "mean", "median", "p95", "p99", "max", "std")
 
 
 def exact_dedup(df: DataFrame, text: Column, order: str) -> DataFrame:
