@@ -12,6 +12,7 @@ there are no results.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,12 @@ def checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new folder's name in the shared folder."""
+    checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def slot(v: Column, lo: Column, hi: Column) -> Column:
     """A number that does not fall as ``v`` rises from ``lo`` to ``hi``, and differs at both ends."""
     width = F.try_subtract(hi, lo).cast("double")

@@ -50,6 +50,6 @@ def build(units: DataFrame, kinds: DataFrame, constants: DataFrame, personas: Da
         split = spark.read.parquet(f"{out}/records")
         jsonio.write_jsonl(split.select("id", "archetype", "entity_uri", jsonio.openai(F.struct("user_query", "ground_truth_answer"), "You answer questions about measurement.").alias("messages"), "persona", "split"), f"{out}/openai", ["split"])
         jsonio.write_jsonl(split.select("id", jsonio.sharegpt(F.struct("user_query", "ground_truth_answer"), "You answer questions about measurement.").alias("conversations"), "split"), f"{out}/sharegpt", ["split"])
-        jsonio.write_partitions(split, out)
+        jsonio.write_partitions(split, f"{out}/partitions")
         jsonio.write_jsonl(pairs, f"{out}/pairs")
     return Built(split, pairs, reports.statistics(split))

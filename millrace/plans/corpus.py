@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import grading, near_dedup, relational
+from ..operators import grading, near_dedup, relational, selection
+from ..sources import archive, jsonio
 from ._base import query, table
 
 TOKENS = "CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE greatest(1, CAST(floor(CAST(len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]')) AS DOUBLE) * CAST(1.1 AS DOUBLE)) AS BIGINT)) END"
@@ -228,10 +229,33 @@ def normalize_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", of("user")).alias("first_user"), F.max_by("text", of("user")).alias("last_user"), F.max_by("text", of("assistant")).alias("answer"), F.max_by("text", of("system")).alias("system_prompt"))
 
 
-@query("SELECT CAST(sum(length(html)) AS BIGINT) AS bytes, count(*) AS files, CAST(sum(length(url)) AS BIGINT) AS packed, round(1 - sum(length(url)) / CAST(sum(length(html)) AS DOUBLE), 4) AS savings FROM pages")
+@query()
 def zip_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total, packed = F.sum(F.length("html")), F.sum(F.length("url"))
-    return table(spark, sf_dir, "pages").agg(total.alias("bytes"), F.count(F.lit(1)).alias("files"), packed.alias("packed"), F.round(1 - packed / total, 4).alias("savings"))
+    """Pages as members of an archive: true sizes before and after packing."""
+    site = table(spark, sf_dir, "pages").select(F.format_string("pages/%d.html", "page_id").alias("relative_path"), F.col("html").cast("binary").alias("content"))
+    return archive.totals(archive.placed(site)[1])
+
+
+@query("SELECT 'pages/' || page_id || '.html' AS relative_path, octet_length(encode(html)) AS byte_size FROM pages")
+def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive as written to the shared folder: its members' sizes."""
+    site = table(spark, sf_dir, "pages").select(F.format_string("pages/%d.html", "page_id").alias("relative_path"), F.col("html").cast("binary").alias("content"))
+    return archive.package(site, f"{selection.shared_path(spark)}/site.zip").select("relative_path", "byte_size")
+
+
+@query(SPLIT.rstrip() + """, x AS (SELECT doc_id, s.lang, source, split FROM s JOIN documents USING (doc_id))
+SELECT 'by_persona' AS export, lang AS key, count(*) AS records, min(doc_id) AS first_id, CAST(sum(doc_id) AS BIGINT) AS ids FROM x GROUP BY lang UNION ALL SELECT 'by_persona_train', lang, count(*), min(doc_id), CAST(sum(doc_id) AS BIGINT) FROM x WHERE split = 'train' GROUP BY lang
+UNION ALL SELECT 'by_archetype', source, count(*), min(doc_id), CAST(sum(doc_id) AS BIGINT) FROM x GROUP BY source UNION ALL SELECT 'by_category', CASE WHEN doc_id % 2 = 0 THEN 'units' ELSE 'constants' END, count(*), min(doc_id), CAST(sum(doc_id) AS BIGINT) FROM x GROUP BY ALL""")
+def partitioned_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records, written by destination in one pass and counted as read back; the pass's own counters agree."""
+    split = relational.hash_split(docs(spark, sf_dir).select("doc_id", "lang", "source"), "doc_id")
+    records = split.select(F.col("doc_id").alias("id"), F.col("lang").alias("persona"), F.col("source").alias("archetype"), F.when(F.col("doc_id") % 2 == 0, "units").otherwise("constants").alias("category"), "split")
+    path = f"{selection.shared_path(spark)}/exports"
+    counters = jsonio.write_partitions(records, path)
+    back = jsonio.read_partitions(spark, path, "id long").groupBy("export", "key").agg(F.count(F.lit(1)).alias("records"), F.min("id").alias("first_id"), F.sum("id").alias("ids"))
+    wrote = F.create_map(*[F.lit(x) for name, n in counters.items() for x in (name, n)])
+    sums = back.withColumn("_all", F.sum("records").over(Window.partitionBy("export")))  # a row per destination
+    return sums.where(F.assert_true(F.col("_all") == wrote[F.col("export")], "counters differ from what was written").isNull()).drop("_all")
 
 
 @query("""SELECT page_id, path, CASE WHEN path = 'index.html' THEN 'Web Portal Landing' WHEN starts_with(path, 'benchmark/') AND ends_with(path, '_scorecard.json') THEN 'Model Evaluation Scorecard' WHEN starts_with(path, 'benchmark/') AND ends_with(path, '.jsonl') THEN 'Benchmark Gold Testbed' WHEN starts_with(path, 'benchmark/') THEN 'Benchmark Report & Metadata' WHEN contains(lower(path), 'report') THEN 'Scientific Report & Card' WHEN ends_with(path, '.jsonl') THEN 'Dataset Split / Samples' WHEN starts_with(path, 'by_persona/') THEN 'Persona Partition' WHEN starts_with(path, 'formats/') THEN 'Export Format Partition' ELSE 'Website Asset' END AS label

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +40,36 @@ def write_jsonl(df: DataFrame, path: str, by: Iterable[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*by).json(path)
 
 
-def write_partitions(records: DataFrame, path: str) -> None:
-    """The four partitioned exports of a split dataset: by persona, by persona for training alone, by archetype, by category."""
-    for name, key, rows in (("by_persona", "persona", records), ("by_persona_train", "persona", records.where("split = 'train'")), ("by_archetype", "archetype", records), ("by_category", "category", records)):
-        write_jsonl(rows.repartition(key, F.pmod(F.xxhash64("id"), F.lit(16))), f"{path}/{name}", [key])
+#: Exports of a split dataset: name, column that parts it, condition.
+EXPORTS = (("by_persona", "persona", None), ("by_persona_train", "persona", "split = 'train'"), ("by_archetype", "archetype", None), ("by_category", "category", None))
+#: Tasks over which one destination's rows are dealt.
+DEAL = 16
+
+
+def fanned(records: DataFrame, exports: Iterable[tuple[str, str, str | None]] = EXPORTS) -> DataFrame:
+    """Each record once for every destination (export, key) that it goes to, in one pass; a null key goes to no file of its export."""
+    to = [F.when(F.expr(where or "true") & F.col(column).isNotNull(), F.struct(F.lit(name).alias("export"), F.col(column).cast("string").alias("key"))) for name, column, where in exports]
+    return records.withColumn("_to", F.explode(F.filter(F.array(*to), lambda x: x.isNotNull()))).select("*", "_to.export", "_to.key").drop("_to")
+
+
+def write_partitions(records: DataFrame, path: str, exports: Iterable[tuple[str, str, str | None]] = EXPORTS) -> dict[str, int]:
+    """The partitioned exports as JSON lines, one folder for each export and key, by one scan, one shuffle and one write.
+
+    Returns counters of the same pass: ``records`` read and, by export, the rows written. A frequent key's rows are dealt over ``DEAL`` tasks.
+    """
+    exports = list(exports)
+    read, wrote = Observation(f"read-{uuid.uuid4().hex}"), Observation(f"wrote-{uuid.uuid4().hex}")
+    rows = fanned(records.observe(read, F.count(F.lit(1)).alias("records")), exports)
+    rows = rows.observe(wrote, *[F.count_if(F.col("export") == name).alias(name) for name, _, _ in exports])
+    dealt = rows.repartition("export", "key", F.pmod(F.xxhash64("id"), F.lit(DEAL)))
+    dealt.write.mode("overwrite").partitionBy("export", "key").json(path)
+    return {**read.get, **wrote.get}
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """What ``write_partitions`` wrote, with ``export`` and ``key``, both strings."""
+    whole = T.StructType([*(schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).fields, T.StructField("export", T.StringType()), T.StructField("key", T.StringType())])
+    return spark.read.json(path, schema=whole)
 
 
 def openai(record: Column, system: str) -> Column:
@@ -73,15 +98,3 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     raw = files(spark, path, ["*"], ["_SUCCESS", "*.crc"])
     lines = F.size(F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: F.trim(x) != "")).cast("long")
     return raw.select("relative_path", lines.alias("record_count"), "byte_size", F.sha2("content", 256).alias("sha256")).orderBy("relative_path")
-
-
-def package(site: DataFrame) -> tuple[bytes, list[dict]]:
-    """A ZIP of a site's files, checked, with a row per file. A website is small; its bytes come to the driver one partition at a time."""
-    held, rows = io.BytesIO(), []
-    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED, compresslevel=9) as z:
-        for r in site.orderBy("rank", "relative_path").toLocalIterator():
-            z.writestr(zipfile.ZipInfo(r["relative_path"], (1980, 1, 1, 0, 0, 0)), bytes(r["content"]), zipfile.ZIP_DEFLATED)
-        rows = [{"relative_path": i.filename, "byte_size": i.file_size, "compressed_size": i.compress_size, "crc32": i.CRC} for i in z.infolist()]
-    if (bad := zipfile.ZipFile(io.BytesIO(held.getvalue())).testzip()) is not None:
-        raise ValueError(f"{bad} is damaged")
-    return held.getvalue(), rows

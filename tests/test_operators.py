@@ -5,7 +5,7 @@ import json
 import pytest
 from millrace.operators import grading, near_dedup, relational, scaffold, synthesis
 from millrace.plans import build
-from millrace.sources import entities, jsonio, turtle
+from millrace.sources import archive, entities, jsonio, turtle
 from millrace.streaming import grading as streaming
 from pyspark.sql import functions as F
 
@@ -156,8 +156,11 @@ def test_build_and_exports(spark, tmp_path):
     assert sum(r.record_count for r in m) == 38 and all(len(r.sha256) == 64 for r in m)
     back = jsonio.read_splits(spark, str(tmp_path / "out" / "openai"), "id string, messages array<struct<role:string,content:string>>")
     assert back.where("split = 'train'").count() == int(38 * 0.85)
-    data, rows = jsonio.package(jsonio.files(spark, str(tmp_path / "out" / "sharegpt"), ["*.json"], []))
-    assert len(data) > 100 and all(r["compressed_size"] <= r["byte_size"] + 20 for r in rows)
+    site = jsonio.files(spark, str(tmp_path / "out" / "sharegpt"), ["*.json"], [])
+    rows = archive.package(site, str(tmp_path / "site.zip")).collect()
+    assert rows and all(r["compressed_size"] <= r["byte_size"] + 20 for r in rows)
+    parts = jsonio.read_partitions(spark, str(tmp_path / "out" / "partitions"), "id string, split string")
+    assert {r.export: r["count"] for r in parts.groupBy("export").count().collect()} == {"by_persona": 38, "by_persona_train": int(38 * 0.85), "by_archetype": 38, "by_category": 38}
 
 
 def test_stream_resumes(spark, tmp_path):
