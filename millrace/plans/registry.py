@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, entity, evaluation, exchange, ingestion, synthesis  # noqa: F401  they register their queries
+from . import corpus, entity, evaluation, exchange, ingestion, shapes, synthesis  # noqa: F401  they register their queries
 from ._base import ORACLE_SQL, QUERIES
 
 
