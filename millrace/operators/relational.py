@@ -142,14 +142,6 @@ def search(df: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
     return df.where(hit)
 
 
-def streaks(df: DataFrame, player: Sequence[str], order: Sequence[str], right: Column) -> DataFrame:
-    """Adds ``streak``: right answers in a row up to here, zero at a wrong one."""
-    w = Window.partitionBy(*player).orderBy(*order)
-    wrong = F.sum(F.when(right, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    island = Window.partitionBy(*player, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_right", right).withColumn("_island", wrong).withColumn("streak", F.sum(F.col("_right").cast("int")).over(island)).drop("_right", "_island")
-
-
 def random_pick(df: DataFrame, key: str, seed: int = 42, of: int = 1) -> DataFrame:
     """``of`` rows of a seeded shuffle; each task keeps its own first few."""
     return df.orderBy(lot(F.col(key), seed), key).limit(of)

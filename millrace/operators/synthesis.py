@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric
+from .ordered import with_next
 from .relational import first_n, lot
 
 TASKS = ("constants", "dimensions", "conversions", "homogeneity", "conventions", "uncertainty")
@@ -109,8 +110,8 @@ def homogeneity_task(spark: SparkSession, units: DataFrame, count: int, seed: in
     a = exploded(f, item("homogeneity", "mcq", F.col("formula"), "advanced", F.concat(F.lit("Is $"), "formula", F.lit("$ dimensionally homogeneous?")), F.when(F.col("ok"), yes).otherwise(no), [F.when(F.col("ok"), no).otherwise(yes), F.lit("It depends on the system of units."), F.lit("Dimensions do not apply to it.")], seed))
     k = rows_of(spark, SAME_DIMENSION, "one string, two string")
     b = exploded(k, item("homogeneity", "mcq", F.concat_ws("-", "one", "two"), "advanced", F.concat(F.lit("May "), "one", F.lit(" and "), "two", F.lit(" be added because their dimensions agree?")), F.lit("No, they are different kinds of quantity."), [F.lit("Yes, always."), F.lit("Yes, in SI units."), F.lit("No, their dimensions differ.")], seed))
-    w = Window.partitionBy(F.pmod(F.xxhash64("uri"), F.lit(64))).orderBy(lot(F.col("uri"), seed), "uri")
-    pairs = units.select("uri", "label", "dimension_vector", F.lead("label").over(w).alias("next_label"), F.lead("dimension_vector").over(w).alias("next_vector")).where("next_vector is not null and next_vector <> dimension_vector")
+    dealt = units.select("uri", "label", "dimension_vector", lot(F.col("uri"), seed).alias("lot"))
+    pairs = with_next(dealt, ["lot", "uri"], ["label", "dimension_vector"]).where("next.dimension_vector <> dimension_vector").select("uri", "label", F.col("next.label").alias("next_label"))
     c = exploded(pairs, item("homogeneity", "mcq", F.col("uri"), "introductory", F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?")), F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
     d = rows_of(spark, DOUBLED, "wrong string, right string")
     others = lambda i: F.get(F.array(*[F.lit(x) for _, x in DOUBLED]), F.pmod(F.col("ord") + i, F.lit(len(DOUBLED))).cast("int"))

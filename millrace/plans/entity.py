@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import text as T
-from ..operators import relational
+from ..operators import ordered, relational
 from ._base import query, table
 
 
@@ -98,9 +98,17 @@ def replace_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH p AS (SELECT p_brand, p_partkey, p_size, sha256('42_' || p_partkey) AS lot FROM part), l AS (SELECT *, lead(p_partkey) OVER w AS next_key, lead(p_size) OVER w AS next_size FROM p WINDOW w AS (PARTITION BY p_brand ORDER BY lot, p_partkey))
 SELECT p_brand, p_partkey, next_key FROM l WHERE next_size <> p_size""")
 def adjacent_mismatch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("p_brand").orderBy(relational.lot(F.col("p_partkey")), "p_partkey")
-    out = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size", F.lead("p_partkey").over(w).alias("next_key"), F.lead("p_size").over(w).alias("next_size"))
-    return out.where("next_size <> p_size").select("p_brand", "p_partkey", "next_key")
+    rows = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size", relational.lot(F.col("p_partkey")).alias("lot"))
+    out = ordered.with_next(rows, ["lot", "p_partkey"], ["p_partkey", "p_size"], ["p_brand"])
+    return out.where("next.p_size <> p_size").select("p_brand", "p_partkey", F.col("next.p_partkey").alias("next_key"))
+
+
+@query("""WITH l AS (SELECT p_partkey, p_size, lead(p_partkey) OVER w AS next_key, lead(p_size) OVER w AS next_size FROM part WINDOW w AS (ORDER BY sha256('42_' || p_partkey), p_partkey))
+SELECT p_partkey, next_key FROM l WHERE next_size <> p_size""")
+def neighbour_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All neighbours of one order of the whole table."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", relational.lot(F.col("p_partkey")).alias("lot"))
+    return ordered.with_next(rows, ["lot", "p_partkey"], ["p_partkey", "p_size"]).where("next.p_size <> p_size").select("p_partkey", F.col("next.p_partkey").alias("next_key"))
 
 
 OPTIONS = """WITH c AS (SELECT p_partkey AS id, [p_brand, 'Brand#99', p_type, p_name || ' x'] AS texts FROM part),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import answers as A
 from ..functions import numeric as N
 from ..functions import text as T
-from ..operators import grading, relational
+from ..operators import grading, ordered, relational
 from . import views
 from ._base import query, table
 
@@ -85,8 +85,8 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH e AS (SELECT user_id, event_id, ts, value > 20 AS ok, sum(CASE WHEN value > 20 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM events),
 s AS (SELECT user_id, sum(CAST(ok AS INT)) OVER (PARTITION BY user_id, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak, ok FROM e) SELECT user_id, CAST(max(streak) AS BIGINT) AS best_streak, round(100.0 * avg(CAST(ok AS INT)), 2) AS accuracy FROM s GROUP BY user_id""")
 def quiz_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = relational.streaks(events(spark, sf_dir).select("user_id", "ts", "event_id", "value"), ["user_id"], ["ts", "event_id"], F.col("value") > 20)
-    return rows.groupBy("user_id").agg(F.max("streak").alias("best_streak"), F.round(100.0 * F.avg((F.col("value") > 20).cast("int")), 2).alias("accuracy"))
+    found = ordered.best_streaks(events(spark, sf_dir), "user_id", ["ts", "event_id"], F.col("value") > 20)
+    return found.select("user_id", "best_streak", F.round(100.0 * F.col("rights") / F.col("answers"), 2).alias("accuracy"))
 
 
 @query("""WITH s AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS axis, least(greatest(avg(value), 0), 100) AS score FROM events GROUP BY event_type)
