@@ -183,16 +183,21 @@ def endpoint_class(url: Column, model: Column | None = None, override: Column |
     )
 
 
+#: Why a call is fatal, by its status and by words of its message, in order.
+FATAL = (("authentication", "401", ("unauthorized", "invalid_api_key", "authentication")), ("forbidden", "403", ("forbidden", "permission_denied")), ("not_found", "404", ("not found",)), ("unreachable", None, ("connection refused", "failed to connect")))
+#: Fixed value: how the message of a failed call begins.
+FAILED_CALL = "ERROR_CALLING_MODEL:"
+
+
 def error_class(message: Column) -> Column:
-    """Why a failed call is fatal, or null for what may be tried again and for what is no failed call."""
-    m = F.lower(message)
-    kind = (
-        F.when(m.rlike("401|unauthorized|invalid_api_key|authentication"), "authentication")
-        .when(m.rlike("403|forbidden|permission_denied"), "forbidden")
-        .when(m.rlike("404|not found"), "not_found")
-        .when(m.rlike("connection refused|failed to connect"), "unreachable")
-    )
-    return F.when(message.startswith("ERROR_CALLING_MODEL:"), kind)
+    """Why a failed call is fatal, or null for what may be tried again and for what is no failed call. A status goes before words of the same kind; kinds go in their order."""
+    said = F.lower(message)
+    kinds = []
+    for kind, status, words in FATAL:
+        by_status = F.lit(False) if status is None else F.contains(said, F.lit(status))
+        by_words = F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(said, w))
+        kinds.append(F.when(by_status | by_words, kind))
+    return F.when(F.startswith(message, F.lit(FAILED_CALL)), F.coalesce(*kinds))
 
 
 def glob_regex(pattern: str) -> str:

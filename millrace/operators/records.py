@@ -132,12 +132,21 @@ def api_base(provider: Column, base: Column) -> Column:
     return F.when(F.lower(provider) == "ollama", F.regexp_replace(F.rtrim(asked, F.lit("/")), "/v1$", "")).otherwise(asked)
 
 
+#: Words by which a generator talks about its task, and how long a question is at least.
+ABOUT_TASK, SHORTEST = ("We need to", "JSON"), 10
+
+
 def question_for(mapping: Column, persona: Column, canonical: Column, general: str = "general_user") -> Column:
-    """A persona's question from a response's mapping, by its key or its words; if it is missing, short or talks about the task, the canonical one."""
-    found = F.coalesce(F.nullif(F.try_element_at(mapping, F.lower(persona)), F.lit("")), F.try_element_at(mapping, F.replace(persona, F.lit("_"), F.lit(" "))))
-    sound = (F.length(text.strip(found)) >= 10) & ~found.contains("We need to") & ~found.contains("JSON")
-    fallback = F.when(persona == general, canonical).otherwise(F.concat(F.lit("["), text.title(persona), F.lit("] "), canonical))
-    return F.when(F.coalesce(sound, F.lit(False)), found).otherwise(fallback)
+    """A persona's question from a response's mapping, else the canonical one, behind the persona's title unless it is the general one.
+
+    The mapping is asked under the persona's key and then under its words; an empty answer under the key does not count.
+    """
+    names = F.array(F.lower(persona), F.replace(persona, F.lit("_"), F.lit(" ")))
+    answers = F.filter(F.transform(names, lambda n, k: F.when(k == 0, F.nullif(F.try_element_at(mapping, n), F.lit(""))).otherwise(F.try_element_at(mapping, n))), lambda q: q.isNotNull())
+    sound = lambda q: (F.length(text.strip(q)) >= SHORTEST) & ~F.exists(F.array(*map(F.lit, ABOUT_TASK)), lambda w: F.contains(q, w))
+    own = F.get(F.filter(F.slice(answers, 1, 1), sound), F.lit(0))
+    titled = F.concat(F.lit("["), text.title(persona), F.lit("] "), canonical)
+    return F.coalesce(own, F.when(persona != general, titled), canonical)
 
 
 def present(spark: SparkSession, patterns: list[str]) -> dict[str, int]:
