@@ -134,11 +134,22 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 50) ->
     return df.orderBy(*order).offset(number * size).limit(size)
 
 
-def search(df: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
-    """Rows with ``text`` in one of the columns, in any case."""
+def collated(column: Column, collation: str = "UNICODE") -> Column:
+    """A sort key as browsers compare texts: letters before accents before case; ``UNICODE_CI_AI`` sees neither."""
+    return F.collate(column.cast("string"), collation)
+
+
+def utf16_length(column: Column) -> Column:
+    """Length as browsers count it: symbols beyond the basic plane count twice."""
+    return F.floor(F.octet_length(F.encode(column, "UTF-16BE")) / 2).cast("long")
+
+
+def search(df: DataFrame, text: str, columns: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Rows with ``text`` in one of the columns, in any case; by a collation, where one is given."""
     hit = F.lit(False)
     for c in columns:
-        hit = hit | F.contains(F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(text.lower()))
+        said = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        hit = hit | (F.contains(F.lower(said), F.lit(text.lower())) if collation is None else F.contains(collated(said, collation), collated(F.lit(text), collation)))
     return df.where(hit)
 
 

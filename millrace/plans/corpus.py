@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import grading, near_dedup, relational, selection
 from ..sources import archive, jsonio
+from . import views
 from ._base import query, table
 
 TOKENS = "CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE greatest(1, CAST(floor(CAST(len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]')) AS DOUBLE) * CAST(1.1 AS DOUBLE)) AS BIGINT)) END"
@@ -59,6 +60,26 @@ def dpo_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id"), "archetype", "entity_uri", F.length("chosen").cast("long").alias("chosen_chars"), "rejected", "rejection_reason")
 
 
+WORD_LIST = "w AS (SELECT DISTINCT regexp_extract(text, '[\\p{L}]+') AS word FROM documents WHERE regexp_matches(text, '[\\p{L}]'))"
+
+
+def first_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first words of documents, each once."""
+    return docs(spark, sf_dir).select(F.regexp_extract("text", r"([\p{L}]+)", 1).alias("word")).where("word != ''").distinct()
+
+
+@query("WITH " + WORD_LIST + " SELECT word FROM w ORDER BY word COLLATE en_us DESC, word LIMIT 50 OFFSET 50")
+def collated_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of words, from z to a as browsers compare them."""
+    return relational.page(first_words(spark, sf_dir), [relational.collated(F.col("word")).desc(), F.col("word")], 1)
+
+
+@query("WITH " + WORD_LIST + " SELECT word FROM w WHERE contains(lower(strip_accents(word)), 'ere')")
+def accent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words found whatever their case and accents."""
+    return relational.search(first_words(spark, sf_dir), "ÉRE", ["word"], "UNICODE_CI_AI")
+
+
 @query(f"SELECT min(doc_id) AS doc_id, {KEY} AS text_key FROM documents GROUP BY 2")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = relational.exact_dedup(docs(spark, sf_dir).select("doc_id", "text"), F.col("text"), "doc_id")
@@ -193,9 +214,13 @@ def distinct_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT d.doc_id, coalesce(CASE l.quality WHEN 1 THEN 'approved' WHEN 0 THEN 'flagged' END, 'pending') AS review, coalesce(l.toxic, 0) = 1 AS has_notes FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.quality = 0 OR l.toxic = 1 OR d.source = 'src1'")
 def review_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = docs(spark, sf_dir).select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    review = F.coalesce(F.when(F.col("quality") == 1, "approved").when(F.col("quality") == 0, "flagged"), F.lit("pending"))
-    return both.where("quality = 0 or toxic = 1 or source = 'src1'").select("doc_id", review.alias("review"), (F.coalesce("toxic", F.lit(0)) == 1).alias("has_notes"))
+    labels = table(spark, sf_dir, "labels")
+    status = F.when(F.col("quality") == 1, "approved").when(F.col("quality") == 0, "flagged")
+    reviews = labels.select(F.col("doc_id").alias("id"), status.alias("status"), F.when(F.col("toxic") == 1, "toxic").otherwise("").alias("notes"))
+    d = docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "source")
+    both = views.browsed(d, reviews=reviews)
+    shown = views.triage(both).unionByName(both.where("source = 'src1'").join(views.triage(both).select("id"), "id", "left_anti"))
+    return shown.select(F.col("id").alias("doc_id"), "review", (F.coalesce("notes", F.lit("")) != "").alias("has_notes"))
 
 
 @query("SELECT page_id, reverse(split_part(reverse(url), '/', 1)) AS tail, CASE WHEN contains(url, '/constant/') OR contains(url, 'constants') THEN 'constants' WHEN contains(url, '/quantitykind/') OR contains(url, 'quantity_kind') THEN 'quantity_kinds' ELSE 'units' END AS category FROM pages")

@@ -78,3 +78,16 @@ def test_reports_keep_rows_without_persona(spark):
     got = {r.persona: r for r in reports.group_report(spark.createDataFrame(rows, "persona string, archetype string, llm_generator string"), "persona", "archetype", titles).collect()}
     assert (got["p_q"].records, got["p_q"].by_archetype, got["p_q"].generators, got["p_q"].title) == (2, {"": 1, "a": 1}, {"": 1, "live": 1}, "P Q")
     assert (got[None].records, got[None].by_archetype, got[None].share_pct) == (1, {"a": 1}, 33.33)
+
+
+def test_collation(spark):
+    """Accents and case as browsers sort them (the order of ``localeCompare``), search without them, and lengths of symbols beyond the basic plane."""
+    from millrace.operators import relational
+
+    words = ["éclair", "zèbre", "Eclair", "eclair", "Zebra", "apple", "Äpfel", "apfel", "résumé", "resume", "Resume", "ñandú", "nandu", "n", "_x", "10", "9"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r.w for r in relational.page(df, [relational.collated(F.col("w")), F.col("w")], 0).collect()]
+    assert got == ["_x", "10", "9", "apfel", "Äpfel", "apple", "eclair", "Eclair", "éclair", "n", "nandu", "ñandú", "resume", "Resume", "résumé", "Zebra", "zèbre"]
+    assert {r.w for r in relational.search(df, "RESUME", ["w"], "UNICODE_CI_AI").collect()} == {"résumé", "resume", "Resume"}
+    assert {r.w for r in relational.search(df, "é", ["w"]).collect()} == {"éclair", "résumé"}
+    assert spark.createDataFrame([("a🙂é",), (None,)], "w string").select(relational.utf16_length(F.col("w")).alias("n")).collect()[0].n == 4
