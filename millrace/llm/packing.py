@@ -29,6 +29,9 @@ END_ID = 1
 TAIL = ".,!?;:#*$%&|<>-)("
 #: Entries that a worker's chunk cache holds before it starts anew; about 200 bytes each.
 CACHE = 200_000
+#: The normaliser and the splits under which white space parts a text and letters stand by themselves, in lower case.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -37,7 +40,8 @@ class ChunkIds(dict):
 
     No merge crosses white space, so a text's ids are those of its chunks in order. A chunk of Latin letters
     with symbols behind is split there and its letters lower-cased here; then the bare merge model suffices, which skips
-    normalisation and splitting. All other chunks go to the whole tokenizer.
+    normalisation and splitting. All other chunks go to the whole tokenizer. A vocabulary with another normaliser or other
+    splits is not ``by_chunk``: there whole texts go to the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -47,6 +51,7 @@ class ChunkIds(dict):
 
         spec = json.load(open(path, encoding="utf-8"))
         self.whole = Tokenizer.from_str(json.dumps(spec))
+        self.by_chunk = spec["normalizer"] == NORMALIZER and (spec["pre_tokenizer"] or {}).get("pretokenizers", [None])[0] == SPLITS
         spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}}
         self.bare = Tokenizer.from_str(json.dumps(spec))
         self.letters: dict[str, bytes] = {}
@@ -88,7 +93,8 @@ def chunk_ids(path: str) -> ChunkIds:
 
 def token_bytes(text: bytes, cache: ChunkIds, end_id: int | None = END_ID) -> bytes:
     """A text's ids as little-endian unsigned 32-bit integers, with the end id behind."""
-    return b"".join(map(cache.__getitem__, text.split())) + (b"" if end_id is None else end_id.to_bytes(4, "little"))
+    ids = b"".join(map(cache.__getitem__, text.split())) if cache.by_chunk else cache.pack(cache.whole.encode(text.decode(), add_special_tokens=False).ids)
+    return ids + (b"" if end_id is None else end_id.to_bytes(4, "little"))
 
 
 def pieces(docs: DataFrame, path: str, size: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -107,6 +107,22 @@ def test_packing(spark, sf, rows):
     assert len(bins) <= -(-total // 4096) + 2
 
 
+@pytest.mark.parametrize("name,by_chunk", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_ids_of_any_vocabulary(spark, rows, name, by_chunk):
+    """A vocabulary that keeps case and white space goes through the whole tokenizer; ids are the library's either way."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(vocabulary(name))
+    cache = packing.ChunkIds(vocabulary(name))
+    assert cache.by_chunk == by_chunk
+    for _, text in rows:
+        want = whole.encode(text or "", add_special_tokens=False).ids
+        assert packing.token_bytes((text or "").encode(), cache, None) == b"".join(i.to_bytes(4, "little") for i in want)
+    docs = spark.createDataFrame(rows[:40], "doc_id long, text string")
+    out = packing.pack_documents(docs, vocabulary(name)).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in out} == {i: len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows[:40]}
+
+
 def test_open_bins_are_bounded_and_fullest_closes_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.put(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # the bin with 7 closed
