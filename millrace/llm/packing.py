@@ -27,15 +27,36 @@ from ._common import small_batches, stash
 END_ID = 1
 #: Symbols that a chunk may end in and that no split pattern of the vocabulary joins with letters.
 TAIL = ".,!?;:#*$%&|<>-)("
-#: Entries that a worker's chunk cache holds before it starts anew; about 200 bytes each.
-CACHE = 200_000
+#: Entries of one generation of a worker's cache of chunks, and of that of letters; about 200 bytes each, two generations of both.
+CACHE = 250_000
 #: The normaliser and the splits under which white space parts a text and letters stand by themselves, in lower case.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLITS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class ChunkIds(dict):
+class Recent(dict):
+    """A cache of two generations: a full one becomes the old one, and what is asked for again moves on, so frequent entries stay."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def put(self, key, value) -> None:
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def again(self, key):
+        """The value of an entry that is not in this generation; None if it is in neither."""
+        value = self.old.pop(key, None)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
+class ChunkIds(Recent):
     """Little-endian unsigned 32-bit ids of a white-space-free chunk (UTF-8), as the vocabulary's tokenizer gives them.
 
     No merge crosses white space, so a text's ids are those of its chunks in order. A chunk of Latin letters
@@ -49,12 +70,13 @@ class ChunkIds(dict):
 
         from tokenizers import Tokenizer
 
+        super().__init__()
         spec = json.load(open(path, encoding="utf-8"))
         self.whole = Tokenizer.from_str(json.dumps(spec))
         self.by_chunk = spec["normalizer"] == NORMALIZER and (spec["pre_tokenizer"] or {}).get("pretokenizers", [None])[0] == SPLITS
         spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}}
         self.bare = Tokenizer.from_str(json.dumps(spec))
-        self.letters: dict[str, bytes] = {}
+        self.letters = Recent()
         self.tails: dict[str, bytes] = {"": b""}
 
     @staticmethod
@@ -62,15 +84,15 @@ class ChunkIds(dict):
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def __missing__(self, chunk: bytes) -> bytes:
+        if (known := self.again(chunk)) is not None:
+            return known
         text = chunk.decode()
         base = text.rstrip(TAIL)
         if base.isalpha() and max(base) < "ɐ" and "İ" not in base:
             low, tail = base.lower(), text[len(base) :]
-            if (a := self.letters.get(low)) is None:
+            if (a := self.letters.get(low)) is None and (a := self.letters.again(low)) is None:
                 a = self.pack(self.bare.encode(low, add_special_tokens=False).ids)
-                if len(self.letters) >= CACHE:
-                    self.letters.clear()
-                self.letters[low] = a
+                self.letters.put(low, a)
             if (b := self.tails.get(tail)) is None:
                 b = self.pack(self.whole.encode(tail, add_special_tokens=False).ids)
                 if len(self.tails) < 10_000:
@@ -78,10 +100,8 @@ class ChunkIds(dict):
             ids = a + b
         else:
             ids = self.pack(self.whole.encode(text, add_special_tokens=False).ids)
-        if len(self) >= CACHE:
-            self.clear()
         if len(chunk) <= 64:
-            self[chunk] = ids
+            self.put(chunk, ids)
         return ids
 
 
