@@ -133,7 +133,12 @@ def uncertainty_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", N.concise_value(said).alias("v")).select("c_custkey", "v.*")
 
 
-@query()
+OUTLINE = r"""WITH p AS (SELECT page_id, url, octet_length(encode(html)) AS n, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS t FROM pages)
+SELECT page_id, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN printf('%.1f KB', floor(n / CAST(1024 AS DOUBLE) * 10 + 0.5) / 10) ELSE printf('%.1f MB', floor(n / CAST(1048576 AS DOUBLE) * 10 + 0.5) / 10) END AS size,
+replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS title, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug FROM p"""
+
+
+@query(OUTLINE)
 def page_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files of a site: label, size in words, and escaped title."""
     t = F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)
