@@ -1,27 +1,27 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Method: three machines are compiled from a model file and composed with each input; the output is the tropical-semiring shortest path.
+Method: the machines of ``machines`` are compiled from a model file and composed with each input; the output is the tropical-semiring shortest path.
 
-1. The normaliser has one path for each input: runs of spaces become one if the model says so, spaces become ``▁``, and one goes in front. Models with a
-   rewriting table, user symbols or marks behind words are refused, so no table is composed.
-2. The piece machine is a trie of all pieces over code points; from each place of the input it has an arc per piece that starts there.
-3. Byte fallback has an arc per code point that reads it as its UTF-8 bytes.
+1. The normaliser: user symbols, the rewriting table by longest match, and spaces as marks (one for a run if the model says so, one in front or behind).
+   It has one path for each input, so input and normaliser compose to a chain.
+2. The pieces: a trie over code points. For a unigram model a piece weighs minus its score; a user symbol weighs next to nothing.
+3. Fallback: an arc per code point that is no piece, written as its UTF-8 bytes, or as the unknown piece (one for a run) if the model has no bytes.
+4. Merging: a merge (BPE) model is no additive model, so a machine over pieces lets a piece follow another only if merging their
+   concatenation gives just these two. Exactly one path is then left, that which merging would take; weights stay, but decide nothing. A unigram model has a
+   machine of one state here. User symbols of a merge model part the chain, as no merge takes them.
 
-For a unigram model an arc weighs minus its piece's score, and byte arcs more than any path of pieces. A merge (BPE) model is no
-additive model, so a fourth machine is composed in: its states are the last piece, and it lets a piece follow another only if
-merging their concatenation gives just these two. Exactly one path is then left, that which merging would take; weights stay, but
-decide nothing. Whether two pieces may stand side by side is found once and kept.
+Chain, pieces and merging are composed as the path search reaches their states. Totals of a unigram model are held in single precision, as
+the library holds them; between paths of equal weight it may still choose another.
 
-Where two symbols stand side by side in no piece, no path of a merge model crosses: inputs are cut there, first before runs of ``▁``,
-and the chunks' paths are kept per worker in bounded memory.
+Where two symbols stand side by side in no piece, no path of a merge model crosses: chains are cut there, texts first before runs of spaces
+where the normaliser has neither table nor user symbols, and the chunks' paths are kept per worker in bounded memory.
 
 Cases: a null text is empty and has no pieces; repeated rows are encoded again; null ids stay null; empty tables give empty
-results; extra columns are ignored; texts of any length are encoded whole.
+results; extra columns are ignored; texts of any length are encoded whole. A merge model with pieces marked unused is refused.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import small_batches
+from .machines import SPACE, Anything, Merging, Normaliser, Pieces, shortest
 
-SPACE = "▁"
 CACHE = 400_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: What a symbol without a piece weighs beyond the heaviest piece (a fixed value of the model format), and what a user symbol weighs (as the library was seen to choose).
+UNKNOWN_PENALTY, USER_WEIGHT = 10.0, -0.1
 
 
 class Transducer:
@@ -56,120 +58,68 @@ class Transducer:
         self.unknown = kinds.index(UNKNOWN)
         self.control = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.merges = model.trainer_spec.model_type == BPE
-        self.spec = model.normalizer_spec
-        if self.spec.precompiled_charsmap or any(k == USER for k in kinds) or not self.spec.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
-            raise ValueError("this model's normalisation table, user symbols or space marks are not supported")
-        self.trie: list = [{}, -1, 0.0]  # arcs, piece that ends here, its weight
-        for p, i in self.ids.items():
-            node = self.trie
-            for c in p:
-                node = node[0].setdefault(c, [{}, -1, 0.0])
-            node[1:] = [i, -self.scores[i]]
-        self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids) or not self.merges
+        self.spec, self.suffix = model.normalizer_spec, model.trainer_spec.treat_whitespace_as_suffix
+        merges = model.trainer_spec.model_type == BPE
+        if model.trainer_spec.model_type not in (UNIGRAM, BPE) or (merges and UNUSED in kinds):
+            raise ValueError("only unigram models and merge models without unused pieces are supported")
+        user = [p for p, k in zip(self.pieces, kinds) if k == USER]
+        self.normaliser = Normaliser(self.spec, self.suffix, user)
+        normal = [s for s, k in zip(self.scores, kinds) if k == NORMAL]
+        fallback = UNKNOWN_PENALTY - min(normal, default=0.0)
+        weights = {i: -self.scores[i] if kinds[i] == NORMAL else USER_WEIGHT for i in self.ids.values()}
+        self.machine = Pieces(self.ids, weights, fallback * 1000 if merges else fallback)  # merging never leaves a symbol over that a piece could take
+        self.follow = Merging(self.pieces, self.scores, self.ids) if merges else Anything()
+        #: User symbols, at which a merge model's chain is parted.
+        self.apart = self.normaliser.user if merges else None
+        plain = merges and not user and not self.spec.precompiled_charsmap and not self.spec.remove_extra_whitespaces and self.spec.escape_whitespaces
+        #: Whether a text's chain may not be cut at spaces.
+        self.whole = not plain or self.suffix or any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Symbols that stand side by side in some piece; no path and no merge crosses a place between two others.
-        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.worst = -min((self.scores[i] for i in self.ids.values()), default=0.0) + 10.0
-        self.beside: dict[int, bool] = {}
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)} if merges else None
         self.parts, self.old_parts = {}, {}
         self.chunks, self.old_chunks = {}, {}  # two generations: a full one becomes the old one, from which what is used again moves up
-        # a cut before a space mark that follows another symbol; the text begins a chunk
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-
-    def normalise(self, text: str) -> str:
-        """The normaliser's only path: spaces as marks, and one in front of a text that isn't empty."""
-        if self.spec.remove_extra_whitespaces:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (SPACE if self.spec.add_dummy_prefix else "") + text.replace(" ", SPACE)
-
-    def merged(self, text: str) -> list[str]:
-        """Pieces after merging the best adjacent pair, leftmost first among equals, until none is left."""
-        parts: list[str | None] = list(text)
-        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap: list[tuple[float, int, str]] = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < len(parts) and (p := parts[i] + parts[j]) in self.ids:
-                heapq.heappush(heap, (-self.scores[self.ids[p]], i, p))
-
-        for i in range(len(parts) - 1):
-            offer(i)
-        while heap:
-            _, i, p = heapq.heappop(heap)
-            if parts[i] is None or (j := after[i]) >= len(parts) or parts[i] + parts[j] != p:
-                continue
-            parts[i], parts[j], after[i] = p, None, after[j]
-            if after[j] < len(parts):
-                before[after[j]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [p for p in parts if p is not None]
-
-    def may_follow(self, left: int, right: int) -> bool:
-        """Whether merging leaves two pieces side by side as they are; a piece under 0 is the start, or a symbol in bytes."""
-        a, b = ("" if x < 0 else self.pieces[x] for x in (left, right))
-        known = self.merged(a + b) == [x for x in (a, b) if x]
-        if len(self.beside) < 2_000_000:
-            self.beside[left << 32 | right] = known
-        return known
-
-    def shortest(self, chunk: str) -> list[int]:
-        """Ids on the shortest path of the machines composed with ``chunk``.
-
-        A place has one state: with merging, pieces that may all stand side by side are the merging of what they spell, so only one
-        piece can be the last before a place; without, the state is the place alone.
-        """
-        n, trie, pairs, merges = len(chunk), self.trie, self.beside, self.merges
-        weight: list[float | None] = [None] * (n + 1)
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        weight[0] = 0.0
-        for at in range(n):
-            if (here := weight[at]) is None:
-                continue
-            node, end, before, single = trie, at, last[at] if merges else -1, False
-            while end < n and (node := node[0].get(chunk[end])) is not None:
-                end += 1
-                piece = node[1]
-                if piece < 0:
-                    continue
-                single = single or end == at + 1
-                if merges:
-                    ok = pairs.get(before << 32 | piece)
-                    if not (self.may_follow(before, piece) if ok is None else ok):
-                        continue
-                total = here + node[2]
-                if weight[end] is None or total < weight[end]:
-                    weight[end], last[end], start[end] = total, piece, at
-            if not single and (weight[at + 1] is None or here + self.worst * 1000 < weight[at + 1]):
-                weight[at + 1], last[at + 1], start[at + 1] = here + self.worst * 1000, -1, at
+        # a cut before spaces that follow another symbol
+        self.cut = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
+
+    def shortest(self, chain: str) -> list[int]:
+        """Ids on the shortest path of the machines composed with ``chain``."""
         out: list[int] = []
-        at = n
-        while at > 0:
-            out += self.fallback(chunk[start[at]]) if last[at] < 0 else [last[at]]
-            at = start[at]
-        return out[::-1]
+        for begin, end, piece in shortest(chain, self.machine, self.follow):
+            out += [piece] if piece >= 0 else self.fallback(chain[begin:end])
+        return out
 
     def fallback(self, symbol: str) -> list[int]:
-        """A symbol without a piece, backwards: its bytes, or the unknown piece if the model has none."""
-        return [self.bytes[b] for b in reversed(symbol.encode())] if self.bytes else [self.unknown]
-
-    def packed(self, chunk: str) -> bytes:
-        """A chunk's ids, from those of its parts between places that nothing crosses."""
+        """A symbol without a piece: its bytes, or the unknown piece if the model has none."""
+        return [self.bytes[b] for b in symbol.encode("utf-8", "replace")] if self.bytes else [self.unknown]
+
+    def packed(self, chain: str) -> bytes:
+        """A chain's ids, from those of its parts between places that nothing crosses."""
+        if self.apart is not None:
+            out, begin = [], 0
+            for m in self.apart.finditer(chain):
+                out += [self.between(chain[begin : m.start()]), self.ids[m[0]].to_bytes(4, "little")]
+                begin = m.end()
+            return b"".join([*out, self.between(chain[begin:])])
+        return self.between(chain)
+
+    def between(self, chain: str) -> bytes:
+        if self.joined is None or not chain:
+            return self.part(chain)
+        joined, parts, begin = self.joined, [], 0
+        for i in range(1, len(chain)):
+            if chain[i - 1 : i + 1] not in joined:
+                parts.append(chain[begin:i])
+                begin = i
+        parts.append(chain[begin:])
+        return b"".join(map(self.part, parts))
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a piece of text that another one stands before."""
         ids = self.chunks.get(chunk)
         if ids is None:
             ids = self.old_chunks.get(chunk)
             if ids is None:
-                joined, parts, begin = self.joined, [], 0
-                for i in range(1, len(chunk)):
-                    if chunk[i - 1 : i + 1] not in joined:
-                        parts.append(chunk[begin:i])
-                        begin = i
-                parts.append(chunk[begin:])
-                ids = b"".join(map(self.part, parts))
+                ids = self.packed(self.normaliser.run(chunk, Normaliser.INSIDE)[0])
             if len(self.chunks) >= CACHE:
                 self.chunks, self.old_chunks = {}, self.chunks
             if len(chunk) <= 64:
@@ -190,8 +140,17 @@ class Transducer:
 
     def encode_packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        line = self.normalise(text)
-        return b"".join(map(self.packed, [line] if self.whole else self.cut.findall(line)))
+        if not self.whole and self.bytes:
+            first, *others = self.cut.findall(text) or [""]
+            return b"".join([self.packed(self.normaliser.run(first)[0]), *map(self.chunk, others)])
+        ids = self.packed(self.normaliser.whole(text))
+        if self.bytes:
+            return ids
+        one, out = self.unknown.to_bytes(4, "little"), []
+        for i in range(0, len(ids), 4):
+            if (x := ids[i : i + 4]) != one or not out or out[-1] != one:  # a run of unknown symbols is one piece
+                out.append(x)
+        return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
         return memoryview(self.encode_packed(text)).cast("I").tolist()
@@ -211,8 +170,8 @@ class Transducer:
                 out.append(" ⁇ " if i == self.unknown else pieces[i])
         out.append(run.decode("utf-8", "replace"))
         text = "".join(out)
-        if self.spec.add_dummy_prefix and text.startswith(SPACE):
-            text = text[1:]
+        if self.spec.add_dummy_prefix or self.spec.remove_extra_whitespaces:
+            text = text.removeprefix(SPACE)
         return text.replace(SPACE, " ")
 
 

@@ -1,19 +1,21 @@
 """Tokenizing and language-model scoring."""
 
 import math
+import random
+import zlib
 
 import numpy as np
 import pytest
-from millrace.llm import lm_scoring, transducer
+import sentencepiece
+from millrace.llm import lm_scoring, machines, transducer
 from millrace.llm._words import WordHashes
 from millrace.llm.queries import QUERIES, vocabulary
+from sentencepiece import sentencepiece_model_pb2
 
 PIECES = "piece_bpe_32k.model"
 
 
 def test_pieces_are_those_of_the_library(spark, rows):
-    import sentencepiece
-
     library = sentencepiece.SentencePieceProcessor(model_file=vocabulary(PIECES))
     frame = spark.createDataFrame(rows + [(-1, "▁a▁▁b"), (-2, "  a  "), (None, "日本 語\t\x00")], "doc_id long, text string")
     encoded = transducer.encode(frame, vocabulary(PIECES))
@@ -29,7 +31,7 @@ def test_pieces_are_those_of_the_library(spark, rows):
 def test_additive_weights_take_the_shortest_path():
     """A unigram machine against all segmentations."""
     machine = transducer.Transducer(vocabulary(PIECES))
-    machine.merges = False
+    machine.follow = machines.Anything()
     word = "▁andthing"
 
     def best(rest):
@@ -45,6 +47,59 @@ def test_additive_weights_take_the_shortest_path():
 def test_round_trip(spark, sf, rows):
     out = {r.doc_id: r for r in QUERIES["op10_sentencepiece"](spark, sf).collect()}
     assert len(out) == len(rows) and all(r.exact for r in out.values())
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary(PIECES))
+    for i, text in rows:
+        ids = library.encode(text or "")
+        assert (out[i].n_pieces, out[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def rewriting_table():
+    """The library's own compatibility normalisation, compiled."""
+    spec = sentencepiece_model_pb2.ModelProto.FromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+    return spec.normalizer_spec.precompiled_charsmap
+
+
+def odd_texts(n=800):
+    draw = random.Random(2)
+    symbols = ["a", "b", "c", "f", "i", "1", " ", "  ", "ﬁ", "①", "Ａ", "e\u0301", "é", "<sep>", "日", "\t", "\u3000", "\u200b", "¨", "▁", "x", "Ω"]
+    return ["".join(draw.choices(symbols, k=draw.randrange(30))) for _ in range(n)] + ["", "\u200b", "   ", " \u200b ", "<sep>", " <sep> "]
+
+
+def same_as_library(model, folder):
+    path = str(folder / "own.model")
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    library, machine = sentencepiece.SentencePieceProcessor(model_file=path), transducer.Transducer(path)
+    for text in odd_texts():
+        ids = library.encode(text)
+        assert (own := machine.encode(text)) == ids or sorted(own) == sorted(ids), text  # the same pieces in another order weigh the same
+        assert machine.decode(ids) == library.decode(ids), text
+
+
+@pytest.mark.parametrize("in_bytes, squeeze, front, behind", [(True, True, True, False), (False, True, True, False), (True, False, True, False), (False, True, False, False), (True, True, True, True)])
+def test_unigram_model_with_a_rewriting_table(tmp_path, in_bytes, squeeze, front, behind):
+    """Scores are multiples of 1/1024, so sums are exact in any precision."""
+    model, draw = sentencepiece_model_pb2.ModelProto(), random.Random(1)
+    special = [("<unk>", transducer.UNKNOWN), ("<s>", transducer.CONTROL), ("</s>", transducer.CONTROL), ("<sep>", transducer.USER)]
+    special += [(f"<0x{b:02X}>", transducer.BYTE) for b in range(256)] if in_bytes else []
+    for text, kind in special:
+        model.pieces.add(piece=text, score=0, type=kind)
+    for text in sorted({"".join(draw.choices("abcfi1▁é", k=n)) for n in range(1, 5) for _ in range(60)}):
+        model.pieces.add(piece=text, score=-draw.randrange(1024, 12288) / 1024, type=transducer.NORMAL)
+    model.trainer_spec.model_type, model.trainer_spec.byte_fallback, model.trainer_spec.treat_whitespace_as_suffix = transducer.UNIGRAM, in_bytes, behind
+    spec = model.normalizer_spec
+    spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = rewriting_table(), front, squeeze, True
+    same_as_library(model, tmp_path)
+
+
+@pytest.mark.parametrize("table", [False, True])
+def test_merge_model_with_user_symbols(tmp_path, table):
+    with open(vocabulary(PIECES), "rb") as f:
+        model = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+    model.pieces.add(piece="<sep>", score=0, type=transducer.USER)
+    model.normalizer_spec.remove_extra_whitespaces = table
+    model.normalizer_spec.precompiled_charsmap = rewriting_table() if table else b""
+    same_as_library(model, tmp_path)
 
 
 def test_a_text_that_does_not_come_back_is_not_exact(spark):
