@@ -60,6 +60,7 @@ class Normaliser:
         self.before, self.behind = ("" if suffix else self.mark, self.mark if suffix else "") if spec.add_dummy_prefix else ("", "")
         self.table = Rewriting(spec.precompiled_charsmap) if spec.precompiled_charsmap else None
         self.user = re.compile("|".join(re.escape(u) for u in sorted(user, key=len, reverse=True))) if user else None
+        self.plain = self.table is None and self.user is None and not self.squeeze
 
     def rewritten(self, text: str) -> Iterator[str]:
         """What the arcs on the path of ``text`` write, before spaces are looked at."""
@@ -79,6 +80,8 @@ class Normaliser:
 
     def run(self, text: str, state: int = START) -> tuple[str, int]:
         """What the path of ``text`` from ``state`` writes, and the state where it ends."""
+        if self.plain and state == self.INSIDE:  # arcs of single code points, each back to this state
+            return text.replace(" ", self.mark), state
         out = []
         for unit in self.rewritten(text):
             if state == self.START and not self.squeeze:
@@ -141,6 +144,7 @@ class Merging:
     """
 
     start, KEPT = -1, 2_000_000
+    held = None  # weights don't decide here
 
     def __init__(self, pieces: list[str], scores: list[float], ids: dict[str, int]):
         self.pieces, self.scores, self.ids = pieces, scores, ids
@@ -155,10 +159,6 @@ class Merging:
                 self.arcs[state << 32 | piece] = ok
         return piece if ok else None
 
-    def held(self, total: float) -> float:
-        """As it is; weights don't decide here."""
-        return total
-
     def merged(self, text: str) -> list[str]:
         parts: list[str | None] = list(text)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
@@ -199,7 +199,8 @@ def shortest(chain: str, pieces: Pieces, follow: Anything | Merging) -> list[tup
         if (here := reached[at]) is None:
             continue
         for state, path in here.items():
-            weight, node, end = path[0], root, at
+            # totals are compared as added and held as ``follow`` holds them
+            weight, node, end = path[0] if held is None else held(path[0]), root, at
             while end < size and (node := node[0].get(chain[end])) is not None:
                 end += 1
                 if (piece := node[1]) < 0 or (ok := arcs.get(state << 32 | piece)) is False:
@@ -209,16 +210,16 @@ def shortest(chain: str, pieces: Pieces, follow: Anything | Merging) -> list[tup
                     continue
                 total = weight + weights[piece]
                 if (there := reached[end]) is None:
-                    reached[end] = {to: (held(total), at, state, piece)}
+                    reached[end] = {to: (total, at, state, piece)}
                 elif to not in there or total < there[to][0]:
-                    there[to] = (held(total), at, state, piece)
+                    there[to] = (total, at, state, piece)
             if chain[at] not in single:
                 total = weight + pieces.fallback
                 there = reached[at + 1]
                 if there is None:
-                    reached[at + 1] = {-1: (held(total), at, state, -1)}
+                    reached[at + 1] = {-1: (total, at, state, -1)}
                 elif -1 not in there or total < there[-1][0]:
-                    there[-1] = (held(total), at, state, -1)
+                    there[-1] = (total, at, state, -1)
     out, at = [], size
     last = reached[size]
     state = min(last, key=lambda s: last[s][0])

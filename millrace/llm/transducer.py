@@ -56,8 +56,12 @@ class Transducer:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k in (NORMAL, USER)}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k == BYTE}
         self.unknown = kinds.index(UNKNOWN)
-        self.control = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        #: What each id spells by itself, and the ids of bytes that spell nothing without their neighbours.
+        self.spelled = [" ⁇ " if k == UNKNOWN else "" if k == CONTROL else p for p, k in zip(self.pieces, kinds)]
+        for i, b in self.byte_of.items():
+            self.spelled[i] = chr(b)
+        self.high = frozenset(i for i, b in self.byte_of.items() if b >= 0x80)
         self.spec, self.suffix = model.normalizer_spec, model.trainer_spec.treat_whitespace_as_suffix
         merges = model.trainer_spec.model_type == BPE
         if model.trainer_spec.model_type not in (UNIGRAM, BPE) or (merges and UNUSED in kinds):
@@ -142,7 +146,8 @@ class Transducer:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.whole and self.bytes:
             first, *others = self.cut.findall(text) or [""]
-            return b"".join([self.packed(self.normaliser.run(first)[0]), *map(self.chunk, others)])
+            known, new = self.chunks.get, self.chunk
+            return b"".join([self.packed(self.normaliser.run(first)[0]), *[known(c) or new(c) for c in others]])
         ids = self.packed(self.normaliser.whole(text))
         if self.bytes:
             return ids
@@ -157,19 +162,19 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """The inverse machine: pieces to symbols, runs of byte pieces to what they encode, marks to spaces, the one in front away."""
-        out, run = [], bytearray()
-        byte_of, pieces = self.byte_of, self.pieces
-        for i in ids:
-            if i in byte_of:
-                run.append(byte_of[i])
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run = bytearray()
-            if i not in self.control:
-                out.append(" ⁇ " if i == self.unknown else pieces[i])
-        out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
+        if self.high.isdisjoint(ids):
+            text = "".join(map(self.spelled.__getitem__, ids))
+        else:
+            out, run = [], bytearray()
+            for i in ids:
+                if (b := self.byte_of.get(i)) is not None:
+                    run.append(b)
+                    continue
+                if run:
+                    out.append(run.decode("utf-8", "replace"))
+                    run = bytearray()
+                out.append(self.spelled[i])
+            text = "".join([*out, run.decode("utf-8", "replace")])
         if self.spec.add_dummy_prefix or self.spec.remove_extra_whitespaces:
             text = text.removeprefix(SPACE)
         return text.replace(SPACE, " ")
