@@ -82,13 +82,18 @@ def generate(units: DataFrame, kinds: DataFrame, constants: DataFrame, limit: in
     return out
 
 
+def with_personas(scaffolds: DataFrame, personas: DataFrame) -> DataFrame:
+    """Every scaffold with every persona: the result itself is the product. Personas are broadcast only up to 1,000, counted first."""
+    few = personas.limit(1001).count() <= 1000
+    return scaffolds.crossJoin(F.broadcast(personas) if few else personas)
+
+
 def augmented(scaffolds: DataFrame, personas: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """A record for each scaffold and persona: the cached paraphrase if there is one, else the persona's title before the query.
 
-    ``personas`` (persona, title) has some forty rows as a rule, and is broadcast only up to 1,000, counted first.
+    ``personas`` (persona, title) has some forty rows as a rule.
     """
-    few = personas.limit(1001).count() <= 1000
-    both = scaffolds.crossJoin(F.broadcast(personas) if few else personas)
+    both = with_personas(scaffolds, personas)
     both = both.withColumn("cache_key", text.cache_key(F.col("canonical_query"), F.col("persona")))
     if cache is None:
         both = both.withColumn("response", F.lit(None).cast("string"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import text as T
-from ..operators import ordered, relational
+from ..operators import ordered, relational, scaffold
 from ._base import query, table
 
 
@@ -28,10 +28,8 @@ def kind_labels_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT r_name AS scaffold, c_mktsegment AS persona, sha256(r_name || '_' || c_mktsegment) AS cache_key FROM region CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer)")
 def persona_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every scaffold with every persona: the result itself is the product, and personas are a fixed enumeration."""
     personas = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("persona")).distinct()
-    held = personas.agg(F.collect_set("persona").alias("p"))
-    return table(spark, sf_dir, "region").join(F.broadcast(held)).select(F.col("r_name").alias("scaffold"), F.explode("p").alias("persona")).withColumn("cache_key", T.cache_key(F.col("scaffold"), F.col("persona")))
+    return scaffold.with_personas(table(spark, sf_dir, "region").select(F.col("r_name").alias("scaffold")), personas).withColumn("cache_key", T.cache_key(F.col("scaffold"), F.col("persona")))
 
 
 @query("""WITH p AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS k FROM part),
