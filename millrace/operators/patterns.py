@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,31 +85,54 @@ def joined(triples: DataFrame, patterns: Sequence[Pattern], sizes: Sequence[int]
 
 
 def bound_or_equal(left: DataFrame, right: DataFrame, sure: set[str], most: int | None) -> DataFrame:
-    """A left join on shared variables; one that may be null on the left is bound by the right."""
+    """A left join on shared variables; one that may be null on the left is bound by the right.
+
+    A row on the right stands once for each set of variables that may be null on the left, so all conditions are equalities and no rows of a key are compared in pairs.
+    """
     shared = [v for v in right.columns if v in left.columns]
-    keys = [v for v in shared if v in sure]
+    keys, unsure = [v for v in shared if v in sure], [v for v in shared if v not in sure]
     if not keys:
         raise ValueError("an OPTIONAL group shares no variable that is always bound")
     side = right.select(*[F.col(v).alias(f"_{v}") for v in right.columns])
-    side = side if most is None else sized(side, most)
-    fits = reduce(Column.__and__, [F.col(v) == F.col(f"_{v}") for v in keys] + [F.col(v).isNull() | (F.col(v) == F.col(f"_{v}")) for v in shared if v not in sure])
-    out = left.join(side, fits, "left")
-    return out.select(*[F.coalesce(v, f"_{v}").alias(v) if v in shared and v not in sure else F.col(v) for v in left.columns], *[F.col(f"_{v}").alias(v) for v in right.columns if v not in left.columns])
+    fits = [F.col(v) == F.col(f"_{v}") for v in keys]
+    if unsure:
+        nulls = F.array(*[F.col(v).isNull() for v in unsure])
+        left, kept = left.withColumn("_nulls", nulls), left.columns
+        sets = F.array(*[F.array(*[F.lit(x) for x in one]) for one in product((False, True), repeat=len(unsure))])
+        side = side.withColumn("_open", F.explode(sets)).select("*", *[F.when(~F.get("_open", F.lit(k)), F.col(f"_{v}")).alias(f"_key_{v}") for k, v in enumerate(unsure)])
+        fits += [F.col("_nulls") == F.col("_open"), *[F.col(v).eqNullSafe(F.col(f"_key_{v}")) for v in unsure]]
+    else:
+        kept = left.columns
+    side = side if most is None else sized(side, most << len(unsure))
+    out = left.join(side, reduce(Column.__and__, fits), "left")
+    return out.select(*[F.coalesce(v, f"_{v}").alias(v) if v in unsure else F.col(v) for v in kept], *[F.col(f"_{v}").alias(v) for v in right.columns if v not in kept])
+
+
+def narrowed(rows: DataFrame, wanted: set[str]) -> DataFrame:
+    """Distinct rows of the wanted variables; as they are if all are wanted."""
+    kept = [v for v in rows.columns if v in wanted]
+    return rows if len(kept) == len(rows.columns) else rows.select(*kept).distinct()
 
 
 def match(triples: DataFrame, required: Sequence[Pattern], optional: Sequence[Sequence[Pattern]] = (), select: Sequence[str] | None = None, distinct: bool = False) -> DataFrame:
     """The solutions as rows of variables.
 
     Each of ``optional`` is a group of patterns that hold together or not at all; several matches of a group give several rows, and groups multiply. Groups
-    are taken in their order: a variable that an earlier group left null is bound by a later one.
+    are taken in their order: a variable that an earlier group left null is bound by a later one. With ``distinct``, variables that are neither selected nor shared
+    with a group to come go before each join, and what repeats without them.
     """
     flat = [*required, *[p for group in optional for p in group]]
     sizes = counts(triples, flat)
     out = joined(triples, required, sizes)
     sure, at = set(out.columns), len(required)
-    for group in optional:
+    named = lambda groups: {v for group in groups for p in group for v in p.variables}
+    for k, group in enumerate(optional):
         own = sizes[at : at + len(group)]
         at += len(group)
-        out = bound_or_equal(out, joined(triples, group, own), sure, own[0] if len(group) == 1 else None)
+        side = joined(triples, group, own)
+        if distinct and select:
+            out = narrowed(out, {*select, *named(optional[k:])})
+            side = narrowed(side, {*select, *out.columns, *named(optional[k + 1 :])})
+        out = bound_or_equal(out, side, sure, own[0] if len(group) == 1 else None)
     out = out.select(*select) if select else out
     return out.distinct() if distinct else out
