@@ -25,3 +25,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Narrow rows dealt to two tasks a core at least: a small file is one task, however much is made of its rows."""
+    return rows.repartition(max(rows.rdd.getNumPartitions(), 2 * rows.sparkSession.sparkContext.defaultParallelism))

@@ -11,7 +11,7 @@ from ..functions import units as U
 from ..operators import patterns
 from ..operators.patterns import Pattern
 from ..sources import entities, turtle
-from ._base import query, table
+from ._base import query, spread, table
 
 PREFIXES = "@prefix r: <http://www.w3.org/2000/01/rdf-schema#> . @prefix v: <http://example.org/v/> . @prefix u: <http://example.org/e/> .\n"
 
@@ -22,7 +22,8 @@ def parts_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
         PREFIXES + 'u:%d a v:%s ; r:label "%s"@en , "%s"@de ; v:symbol "p%d" ; v:conversionMultiplier %d.5 ; v:hasDimensionVector v:L%dT-2 ; v:hasQuantityKind v:%s%s .',
         "p_partkey", F.when(F.col("p_partkey") % 2 == 0, "Unit").otherwise("DerivedUnit"), "p_name", "p_brand", "p_partkey", "p_size", F.col("p_size") % 4, "p_type", F.when(F.col("p_size") > 25, ", v:Large").otherwise(""),
     )
-    return turtle.triples_of(table(spark, sf_dir, "part").select(row.alias("value"), F.concat(F.col("p_brand"), F.lit(".ttl")).alias("src")))
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    return turtle.triples_of(parts.select(row.alias("value"), F.concat(F.col("p_brand"), F.lit(".ttl")).alias("src")))
 
 
 @query("SELECT o_kind, src, CAST(sum(n) AS BIGINT) AS n FROM (SELECT 'iri' AS o_kind, p_brand || '.ttl' AS src, CASE WHEN p_size > 25 THEN 4 ELSE 3 END AS n FROM part UNION ALL SELECT 'literal', p_brand || '.ttl', 4 FROM part) GROUP BY 1, 2")
@@ -46,7 +47,8 @@ def graph_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.concat(F.format_string("%.2f", "s_acctbal"), F.when(exact, "").otherwise(F.concat(F.lit("("), u, F.lit(")"), power)))
     stated = F.when(exact, "(exact)").otherwise(F.concat(F.lit("0."), u, power))
     row = F.format_string(PREFIXES + 'u:%d a v:PhysicalConstant ; r:label "%s" ; v:numericValue "%s" ; v:standardUncertainty "%s" ; v:unitSymbol "m s-1" ; v:evaluationYear %d .', "s_suppkey", "s_name", value, stated, F.col("s_nationkey") + 2000)
-    c = entities.constants(turtle.triples_of(table(spark, sf_dir, "supplier").select(row.alias("value"), F.lit("c.ttl").alias("src"))))
+    suppliers = spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey"))
+    c = entities.constants(turtle.triples_of(suppliers.select(row.alias("value"), F.lit("c.ttl").alias("src"))))
     return c.select(entities.local(F.col("uri")).alias("constant"), (F.col("category") == "recommended").alias("measured"), "numeric_value", "standard_uncertainty", "defining_year")
 
 

@@ -47,3 +47,10 @@ def test_runs(spark, name):
 
 def test_flagship(spark):
     assert registry.flagship(spark, SF).count() > 0
+
+
+def test_parts_are_dealt_before_they_become_turtle(spark):
+    """Before, a small file of parts was one task, which parsed all texts."""
+    from millrace.plans import ingestion
+
+    assert ingestion.parts_graph(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
