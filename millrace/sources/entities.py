@@ -17,11 +17,6 @@ def local(iri: Column) -> Column:
     return F.regexp_extract(iri, r"([^/#]*)$", 1)
 
 
-def of_type(triples: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Distinct subjects (s) of one of the types, given by local names."""
-    return triples.where((F.col("p") == TYPE) & local(F.col("o")).isin(*types)).select("s").distinct()
-
-
 def optional(subjects: DataFrame, triples: DataFrame, predicates: Sequence[str], name: str, lang: str | None = None) -> DataFrame:
     """Left join of a property: several values give several rows. Of several predicates for one variable, the first that has a value counts.
 
@@ -37,24 +32,26 @@ def optional(subjects: DataFrame, triples: DataFrame, predicates: Sequence[str],
     return subjects.withColumn(name, F.coalesce(*names)).drop(*names)
 
 
-def gathered(triples: DataFrame, subjects: DataFrame, single: dict[str, Sequence[str]], many: dict[str, Sequence[str]], last: bool = False) -> DataFrame:
-    """One row per subject: properties with one value (smallest, or greatest if ``last``), and sorted arrays of those with many.
+def gathered(triples: DataFrame, types: Sequence[str], single: dict[str, Sequence[str]], many: dict[str, Sequence[str]], last: bool = False) -> DataFrame:
+    """One row per subject of one of the types: properties with one value (smallest, or greatest if ``last``), and sorted arrays of those with many.
 
-    This is the optional pattern after its product has been folded back, in one aggregation and without making the product.
+    This is the optional pattern after its product has been folded back. Types and properties come out of one aggregation, so the triples are made once.
     """
     wanted = {p for ps in [*single.values(), *many.values()] for p in ps}
-    rows = triples.withColumn("_p", local(F.col("p"))).where(F.col("_p").isin(*wanted)).join(subjects, "s", "left_semi")
+    typed = F.coalesce((F.col("p") == TYPE) & local(F.col("o")).isin(*types), F.lit(False))
+    rows = triples.select(F.col("s").alias("uri"), F.when(F.col("s").isNotNull(), local(F.col("p"))).alias("_p"), "o", typed.alias("_typed")).where(F.col("_p").isin(*wanted) | F.col("_typed"))
     value = lambda p: F.when(F.col("_p") == p, F.col("o"))
     pick = F.max if last else F.min
     aggs = [F.coalesce(*[pick(value(p)) for p in ps]).alias(n) for n, ps in single.items()]
-    aggs += [F.array_sort(F.collect_set(F.when(F.col("_p").isin(*ps), F.col("o")))).alias(n) for n, ps in many.items()]
-    return subjects.join(rows.groupBy("s").agg(*aggs), "s", "left").withColumnRenamed("s", "uri")
+    told = F.count_if(F.col("_p").isin(*wanted)) > 0
+    aggs += [F.when(told, F.array_sort(F.collect_set(F.when(F.col("_p").isin(*ps), F.col("o"))))).alias(n) for n, ps in many.items()]
+    return rows.groupBy("uri").agg(F.bool_or("_typed").alias("_typed"), *aggs).where("_typed").drop("_typed")
 
 
 def units(triples: DataFrame) -> DataFrame:
     """Units of a unit vocabulary."""
     out = gathered(
-        triples, of_type(triples, ["Unit", "DerivedUnit", "BaseUnit"]),
+        triples, ["Unit", "DerivedUnit", "BaseUnit"],
         {"label": ["label"], "symbol": ["symbol", "hasSymbol"], "multiplier": ["conversionMultiplier"], "offset": ["conversionOffset"], "is_si": ["isSI"], "is_coherent": ["isCoherent"], "dimension": ["hasDimensionVector", "hasDimension"], "ucum": ["ucumCode"]},
         {"has_quantity_kinds": ["hasQuantityKind"], "exact_match_uris": ["exactMatch"]},
     )
@@ -65,13 +62,13 @@ def units(triples: DataFrame) -> DataFrame:
 
 
 def quantity_kinds(triples: DataFrame) -> DataFrame:
-    out = gathered(triples, of_type(triples, ["QuantityKind"]), {"label": ["label"], "symbol": ["symbol", "hasSymbol"], "description": ["description", "plainTextDescription"], "dimension": ["hasDimensionVector", "hasDimension"]}, {"applicable_units": ["applicableUnit"], "broader_quantity_kinds": ["broader"], "exact_match_uris": ["exactMatch"]})
+    out = gathered(triples, ["QuantityKind"], {"label": ["label"], "symbol": ["symbol", "hasSymbol"], "description": ["description", "plainTextDescription"], "dimension": ["hasDimensionVector", "hasDimension"]}, {"applicable_units": ["applicableUnit"], "broader_quantity_kinds": ["broader"], "exact_match_uris": ["exactMatch"]})
     return out.select("uri", F.coalesce("label", local(F.col("uri"))).alias("label"), "symbol", "description", numeric.dimension(F.coalesce(local(F.col("dimension")), F.lit(""))).alias("dimension_vector"), "applicable_units", "broader_quantity_kinds", "exact_match_uris")
 
 
 def constants(triples: DataFrame, year: int = 2022) -> DataFrame:
     """Physical constants: of several rows of a constant the last counts."""
-    out = gathered(triples, of_type(triples, ["PhysicalConstant", "DefiningConstant", "Constant"]), {"name": ["label", "name"], "symbol": ["symbol", "hasSymbol"], "raw": ["numericValue", "hasNumericalValue", "value"], "u": ["standardUncertainty"], "ur": ["relativeUncertainty"], "unit_symbol": ["unitSymbol", "hasUnit"], "year": ["evaluationYear"]}, {}, last=True)
+    out = gathered(triples, ["PhysicalConstant", "DefiningConstant", "Constant"], {"name": ["label", "name"], "symbol": ["symbol", "hasSymbol"], "raw": ["numericValue", "hasNumericalValue", "value"], "u": ["standardUncertainty"], "ur": ["relativeUncertainty"], "unit_symbol": ["unitSymbol", "hasUnit"], "year": ["evaluationYear"]}, {}, last=True)
     return constants_of(out, year)
 
 

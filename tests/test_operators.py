@@ -172,3 +172,14 @@ def test_stream_resumes(spark, tmp_path):
     (tmp_path / "in" / "2.json").write_text(json.dumps(row(9, "B")))
     streaming.grade_stream(streaming.responses(spark, src), out, ck).awaitTermination()
     assert sorted((r.id, r.grade.passed) for r in streaming.completed(spark, out).collect()) == [("0", True), ("1", True), ("2", True), ("9", False)]
+
+
+def test_units_come_out_of_one_aggregation(spark):
+    """Before, the texts were parsed three times, for subjects, types and properties."""
+    text = "@prefix v: <http://x.org/v/> . v:a a v:Unit ; v:label \"A\" ; v:hasQuantityKind v:k , v:j , v:k . v:b a v:Unit . v:c v:label \"C\" . v:d a v:Unit , v:BaseUnit ; v:label \"E\" , \"D\" ."
+    found = entities.units(turtle.triples_of(spark.createDataFrame([(text, "x"), ("no turtle", "y")], "value string, src string")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("MapInPandas") == 1 and "Join" not in plan
+    v = "http://x.org/v/"
+    rows = {r.uri: (r.label, r.has_quantity_kinds) for r in found.collect()}
+    assert rows == {v + "a": ("A", [v + "j", v + "k"]), v + "b": ("b", None), v + "d": ("D", [])}
