@@ -80,8 +80,10 @@ def constants_task(constants: DataFrame, count: int, seed: int = 42) -> DataFram
     ask = F.concat(F.lit("What is the value of the "), "name", F.lit("?"))
     mcq = item("constants", "mcq", F.col("uri"), "introductory", ask, shown(F.col("v")), [shown(F.col("v") * 1000), shown(F.col("v") / 1000), shown(-F.col("v")), shown(F.col("v") * 1.0001)], seed)
     free = F.when(F.col("category") == "exact", item("constants", "free_form", F.col("uri"), "intermediate", F.concat(F.lit("State the exact value of the "), "name", F.lit(" with its unit.")), F.concat("numeric_value", F.lit(" "), "unit_symbol")))
-    ranked = c.select((F.col("category") != "exact").alias("later"), F.explode(F.array_compact(F.array(mcq, free))).alias("i"))
-    return ranked.orderBy("later", lot(F.col("i.id"), seed), "i.id").limit(count).select("i.*")
+    formats = F.array_compact(F.array(F.lit("mcq"), F.when(F.col("category") == "exact", "free_form")))
+    dealt = c.withColumn("_fmt", F.explode(formats)).withColumn("_id", F.concat_ws("_", F.lit("constants"), "_fmt", "uri"))
+    drawn = dealt.orderBy(F.col("category") != "exact", lot(F.col("_id"), seed), "_id").limit(count)  # items are made of the drawn rows alone
+    return drawn.select(F.when(F.col("_fmt") == "mcq", mcq).otherwise(free).alias("i")).select("i.*")
 
 
 def dimensions_task(units: DataFrame, count: int, seed: int = 42) -> DataFrame:
@@ -112,7 +114,10 @@ def homogeneity_task(spark: SparkSession, units: DataFrame, count: int, seed: in
     b = exploded(k, item("homogeneity", "mcq", F.concat_ws("-", "one", "two"), "advanced", F.concat(F.lit("May "), "one", F.lit(" and "), "two", F.lit(" be added because their dimensions agree?")), F.lit("No, they are different kinds of quantity."), [F.lit("Yes, always."), F.lit("Yes, in SI units."), F.lit("No, their dimensions differ.")], seed))
     dealt = units.select("uri", "label", "dimension_vector", lot(F.col("uri"), seed).alias("lot"))
     pairs = with_next(dealt, ["lot", "uri"], ["label", "dimension_vector"]).where("next.dimension_vector <> dimension_vector").select("uri", "label", F.col("next.label").alias("next_label"))
-    c = exploded(pairs, item("homogeneity", "mcq", F.col("uri"), "introductory", F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?")), F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
+    ask = F.concat(F.lit("Can a value in "), "label", F.lit(" equal a value in "), "next_label", F.lit("?"))
+    once = pairs.groupBy(ask.alias("question")).agg(F.min(F.struct(F.concat_ws("_", F.lit("homogeneity"), F.lit("mcq"), "uri").alias("id"), "uri", "label", "next_label")).alias("p"))
+    drawn = once.select("p.*").orderBy(lot(F.col("id")), "id").limit(count)  # what ``cut`` keeps of these, before items are made of them
+    c = exploded(drawn, item("homogeneity", "mcq", F.col("uri"), "introductory", ask, F.lit("No, their dimensions differ."), [F.lit("Yes, after conversion."), F.lit("Yes, always."), F.lit("Only for small values.")], seed))
     d = rows_of(spark, DOUBLED, "wrong string, right string")
     others = lambda i: F.get(F.array(*[F.lit(x) for _, x in DOUBLED]), F.pmod(F.col("ord") + i, F.lit(len(DOUBLED))).cast("int"))
     e = exploded(d, item("homogeneity", "mcq", F.col("wrong"), "introductory", F.concat(F.lit("Which symbol should stand in place of "), "wrong", F.lit("?")), F.col("right"), [F.col("wrong"), others(2), others(5)], seed))

@@ -54,3 +54,14 @@ def test_parts_are_dealt_before_they_become_turtle(spark):
     from millrace.plans import ingestion
 
     assert ingestion.parts_graph(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_items_are_made_of_drawn_rows_alone(spark):
+    """Before, options were made for every constant and every pair of units, and then most were left out."""
+    from millrace.operators import synthesis
+    from millrace.plans.synthesis import constants, units
+
+    sf = "/root/testdata/sf0.001"
+    below = lambda df: (lambda plan: plan[plan.rindex("Sort [") :])(df._jdf.queryExecution().optimizedPlan().toString())
+    assert "%.6e" not in below(synthesis.constants_task(constants(spark, sf), 5))
+    assert "Only for small values." not in below(synthesis.homogeneity_task(spark, units(spark, sf), 5))
