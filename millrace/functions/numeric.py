@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +24,13 @@ def dimension(text: Column) -> Column:
     said = F.coalesce(text, F.lit(""))
     part = lambda k: F.regexp_extract_all(said, F.lit("([A-Za-z\u0398\u03b8]+)([+-]?[0-9]+)"), F.lit(k))
     runs = F.transform(F.arrays_zip(part(1).alias("name"), part(2).alias("power")), lambda r: F.struct(F.when(r["name"].endswith("Theta"), "Theta").otherwise(F.right(r["name"], F.lit(1))).alias("name"), r["power"].try_cast("int").alias("power")))
-    first = lambda d: F.get(F.filter(runs, lambda r: r["name"].isin(*NAMES[d])), F.lit(0))["power"]
-    return F.struct(*[F.coalesce(first(d), F.lit(0)).alias(d) for d in DIMENSIONS])
+    first = lambda all_, d: F.get(F.filter(all_, lambda r: r["name"].isin(*NAMES[d])), F.lit(0))["power"]
+    return _once(runs, lambda all_: F.struct(*[F.coalesce(first(all_, d), F.lit(0)).alias(d) for d in DIMENSIONS]))
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _each(f) -> Column:
@@ -43,10 +50,7 @@ def to_power(a: Column, n: int | Column) -> Column:
 
 
 def is_dimensionless(a: Column) -> Column:
-    out = F.lit(True)
-    for d in DIMENSIONS:
-        out = out & (a[d] == 0)
-    return out
+    return _once(a, lambda x: reduce(Column.__and__, [x[d] == 0 for d in DIMENSIONS]))
 
 
 def _latex(a: Column, order: tuple[str, ...], names: dict[str, str]) -> Column:
