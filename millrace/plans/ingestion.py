@@ -101,16 +101,28 @@ def graph_one_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.match(g, [Pattern("?source", "title", "?any", langs=("en", "de", ""))], [[Pattern("?source", "long", "?title", langs=("fr",))], [Pattern("?source", "title", "?title", langs=("es",))]], ["source", "title"], distinct=True)
 
 
-@query(r"""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'kg * m**-' || p_size WHEN 1 THEN '10**-' || p_size || ' J * s' ELSE '\frac{N}{m**' || (p_size % 9 + 1) || '}' END AS plain FROM part""")
+#: Notations that each part has besides its own, with what they come to.
+LATEX = [
+    (r"\text{kg}\cdot\text{m}\cdot\text{s}^{-2}", "kg * m * s**-2"), (r"10^{-34}\text{ J}\cdot\text{s}", "10**-34 J * s"), (r"\frac{\text{N}}{\text{m}^2}", r"\frac{N}{m**2}"), ("6.02214076e23 mol-1", "6.02214076e23 mol**-1"),
+    ("9.80665 m s-2", "9.80665 m s**-2"), ("$$E$$", "E"), (r"\left(\frac{\frac{a}{b}}{c}\right)", "(((a) / (b)) / (c))"), ("5−3", "5-3"), ("m2", "m2"), ("1e-3 s", "1e-3 s"), ("  ", ""),
+]
+
+
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+@query(r"""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'kg * m**-' || p_size WHEN 1 THEN '10**-' || p_size || ' J * s' ELSE '\frac{N}{m**' || (p_size % 9 + 1) || '}' END AS plain FROM part UNION ALL SELECT p_partkey, plain FROM part, (VALUES """ + ", ".join(f"({quoted(b)})" for _, b in LATEX) + ") v(plain)")
 def latex_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts' sizes as exponents of units in LaTeX."""
+    """Parts' sizes as exponents of units in LaTeX, and the fixed notations for each part."""
     k = F.col("p_partkey") % 3
     source = (
         F.when(k == 0, F.format_string(r"\text{kg}\cdot\text{m}^{-%d}", "p_size"))
         .when(k == 1, F.format_string(r"10^{-%d}\text{ J}\cdot\text{s}", "p_size"))
         .otherwise(F.format_string(r"\frac{\text{N}}{\text{m}^%d}", F.col("p_size") % 9 + 1))
     )
-    return table(spark, sf_dir, "part").select("p_partkey", U.plain_units(source).alias("plain"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.array(source, *[F.lit(a) for a, _ in LATEX])).alias("source"))
+    return rows.select("p_partkey", U.plain_units(F.col("source")).alias("plain"))
 
 
 @query("SELECT p_partkey, p_partkey % 4 < 2 AS same FROM part")

@@ -65,3 +65,11 @@ def test_items_are_made_of_drawn_rows_alone(spark):
     below = lambda df: (lambda plan: plan[plan.rindex("Sort [") :])(df._jdf.queryExecution().optimizedPlan().toString())
     assert "%.6e" not in below(synthesis.constants_task(constants(spark, sf), 5))
     assert "Only for small values." not in below(synthesis.homogeneity_task(spark, units(spark, sf), 5))
+
+
+def test_every_part_has_all_notations(spark):
+    """Before, the fixed notations that the query once read were gone."""
+    from millrace.plans import ingestion
+
+    rows = ingestion.latex_sanitize(spark, "/root/testdata/sf0.001").where("p_partkey = 1").collect()
+    assert len(rows) == 12 and {p for _, p in ingestion.LATEX} < {r.plain for r in rows}
