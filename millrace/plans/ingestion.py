@@ -106,6 +106,8 @@ LATEX = [
     (r"\text{kg}\cdot\text{m}\cdot\text{s}^{-2}", "kg * m * s**-2"), (r"10^{-34}\text{ J}\cdot\text{s}", "10**-34 J * s"), (r"\frac{\text{N}}{\text{m}^2}", r"\frac{N}{m**2}"), ("6.02214076e23 mol-1", "6.02214076e23 mol**-1"),
     ("9.80665 m s-2", "9.80665 m s**-2"), ("$$E$$", "E"), (r"\left(\frac{\frac{a}{b}}{c}\right)", "(((a) / (b)) / (c))"), ("5−3", "5-3"), ("m2", "m2"), ("1e-3 s", "1e-3 s"), ("  ", ""),
 ]
+#: Pairs of quantities that each part has besides its own, and whether they are equal.
+UNITS = [("1 N", "1 kg * m / s**2", True), ("1 N", "1 J", False), ("1 mol^-1", "1 mol-1", True), ("100 degC", "373.15 K", True), ("1 km", "1000 m", True), ("1 km", "1001 m", False), ("3.6e6 J", "1 kW * h", True), ("1 eV", "1.602176634e-19 J", True), ("1 foo", "1 m", False), ("(2 m)**2", "4 m**2", True)]
 
 
 def quoted(s: str) -> str:
@@ -125,13 +127,15 @@ def latex_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", U.plain_units(F.col("source")).alias("plain"))
 
 
-@query("SELECT p_partkey, p_partkey % 4 < 2 AS same FROM part")
+@query("SELECT p_partkey, p_partkey % 4 < 2 AS same FROM part UNION ALL SELECT p_partkey, same FROM part, (VALUES " + ", ".join(f"({str(c).lower()})" for _, _, c in UNITS) + ") v(same)")
 def unit_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts' sizes in two units: equal for even quarters, of another magnitude or another dimension for the others."""
+    """Parts' sizes in two units: equal for even quarters, of another magnitude or another dimension for the others; and the fixed pairs for each part."""
     k, size = F.col("p_partkey") % 4, F.col("p_size")
     one = F.format_string("%d %s", size, F.when(k == 1, "kW * h").when(k == 3, "N").otherwise("km"))
     two = F.when(k == 1, F.format_string("%d J", size * 3_600_000)).when(k == 3, F.format_string("%d J", size)).otherwise(F.format_string("%d m", size * F.when(k == 2, 1100).otherwise(1000)))
-    return table(spark, sf_dir, "part").select("p_partkey", U.equivalent(U.plain_units(one), U.plain_units(two))["equal"].alias("same"))
+    pair = lambda a, b: F.struct(a.alias("one"), b.alias("two"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.array(pair(one, two), *[pair(F.lit(a), F.lit(b)) for a, b, _ in UNITS])).alias("q"))
+    return rows.select("p_partkey", U.equivalent(U.plain_units(F.col("q.one")), U.plain_units(F.col("q.two")))["equal"].alias("same"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN printf('%.2f', c_acctbal) || 'e-' || (c_nationkey + 1) WHEN 1 THEN printf('%.2f', c_acctbal) ELSE CAST(c_custkey AS VARCHAR) END AS value,

@@ -73,3 +73,11 @@ def test_every_part_has_all_notations(spark):
 
     rows = ingestion.latex_sanitize(spark, "/root/testdata/sf0.001").where("p_partkey = 1").collect()
     assert len(rows) == 12 and {p for _, p in ingestion.LATEX} < {r.plain for r in rows}
+
+
+def test_every_part_has_all_pairs_of_quantities(spark):
+    """Before, scales, unknown units and powers of brackets were gone from the query."""
+    from millrace.plans import ingestion
+
+    rows = ingestion.unit_equivalence(spark, "/root/testdata/sf0.001").where("p_partkey = 4").collect()
+    assert sorted(r.same for r in rows) == sorted([True, *[same for _, _, same in ingestion.UNITS]])
