@@ -27,7 +27,7 @@ from ._common import small_batches, stash
 END_ID = 1
 #: Symbols that a chunk may end in and that no split pattern of the vocabulary joins with letters.
 TAIL = ".,!?;:#*$%&|<>-)("
-#: Entries of one generation of a worker's cache of chunks, and of that of letters; about 200 bytes each, two generations of both.
+#: Entries of one generation of a worker's cache; two generations. An executor has as many workers as cores, and they keep their caches.
 CACHE = 250_000
 #: The normaliser and the splits under which white space parts a text and letters stand by themselves, in lower case.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -35,64 +35,54 @@ SPLITS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class Recent(dict):
-    """A cache of two generations: a full one becomes the old one, and what is asked for again moves on, so frequent entries stay."""
-
-    def __init__(self):
-        super().__init__()
-        self.old: dict = {}
-
-    def put(self, key, value) -> None:
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-
-    def again(self, key):
-        """The value of an entry that is not in this generation; None if it is in neither."""
-        value = self.old.pop(key, None)
-        if value is not None:
-            self.put(key, value)
-        return value
-
-
-class ChunkIds(Recent):
+class ChunkIds(dict):
     """Little-endian unsigned 32-bit ids of a white-space-free chunk (UTF-8), as the vocabulary's tokenizer gives them.
 
     No merge crosses white space, so a text's ids are those of its chunks in order. A chunk of Latin letters
     with symbols behind is split there and its letters lower-cased here; then the bare merge model suffices, which skips
     normalisation and splitting. All other chunks go to the whole tokenizer. A vocabulary with another normaliser or other
     splits is not ``by_chunk``: there whole texts go to the whole tokenizer.
+
+    Chunks and their letters are entries of one cache, which has two generations: a full one becomes the old one, and what is
+    asked for again moves on, so frequent entries stay.
     """
 
     def __init__(self, path: str):
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
+        self.old: dict[bytes, bytes] = {}
         spec = json.load(open(path, encoding="utf-8"))
-        self.whole = Tokenizer.from_str(json.dumps(spec))
+        self.whole = Tokenizer.from_file(path)
         self.by_chunk = spec["normalizer"] == NORMALIZER and (spec["pre_tokenizer"] or {}).get("pretokenizers", [None])[0] == SPLITS
-        spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}}
-        self.bare = Tokenizer.from_str(json.dumps(spec))
-        self.letters = Recent()
+        self.bare = Tokenizer(self.whole.model)  # one model in memory for both
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tails: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
+    def put(self, chunk: bytes, ids: bytes) -> None:
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
+
     def __missing__(self, chunk: bytes) -> bytes:
-        if (known := self.again(chunk)) is not None:
+        if (known := self.old.pop(chunk, None)) is not None:
+            self.put(chunk, known)
             return known
         text = chunk.decode()
         base = text.rstrip(TAIL)
         if base.isalpha() and max(base) < "ɐ" and "İ" not in base:
             low, tail = base.lower(), text[len(base) :]
-            if (a := self.letters.get(low)) is None and (a := self.letters.again(low)) is None:
+            if low != text:
+                a = self[low.encode()]
+            else:
                 a = self.pack(self.bare.encode(low, add_special_tokens=False).ids)
-                self.letters.put(low, a)
             if (b := self.tails.get(tail)) is None:
                 b = self.pack(self.whole.encode(tail, add_special_tokens=False).ids)
                 if len(self.tails) < 10_000:

@@ -371,3 +371,16 @@ def test_contexts_are_bounded_by_words(spark):
     assert [w.term for w in rows[1]] == long[2:] + long[:8]
     assert all(text[w.start : w.end] == w.term for w in rows[1])
     assert rows[2] == [] and [w.term for w in rows[3]] == ["x"]
+
+
+def test_chunk_cache_is_bounded_as_a_whole(monkeypatch):
+    """Chunks, their letters and both generations together; ids stay the library's while entries come and go."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE", 50)
+    whole, cache = Tokenizer.from_file(vocabulary()), packing.ChunkIds(vocabulary())
+    for k in range(400):
+        text = " ".join("".join(chr(97 + (k * 7 + j * j) % 26) for j in range(n)) + tail for n, tail in ((3 + k % 5, ","), (4, ""), (5 + k % 3, "!?"))) + f" Word{chr(97 + k % 26)}. ȺB{chr(65 + k % 26)}; x{k}"
+        assert packing.token_bytes(text.encode(), cache, None) == packing.ChunkIds.pack(whole.encode(text, add_special_tokens=False).ids)
+        held = [x for x in (*vars(cache).values(), cache) if isinstance(x, dict) and x is not cache.tails]
+        assert sum(len(x) + len(getattr(x, "old", ())) * (x is not cache) for x in held) <= 2 * 50
