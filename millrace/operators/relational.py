@@ -156,3 +156,12 @@ def search(df: DataFrame, text: str, columns: Sequence[str], collation: str | No
 def random_pick(df: DataFrame, key: str, seed: int = 42, of: int = 1) -> DataFrame:
     """``of`` rows of a seeded shuffle; each task keeps its own first few."""
     return df.orderBy(lot(F.col(key), seed), key).limit(of)
+
+
+def diversity(words: DataFrame) -> DataFrame:
+    """total_words, vocabulary and pairs of the arrays ``w``: one row per word, with the next one of its array or null, by 96 bits of hash each; groups of these are the pairs, and the words come out of the groups."""
+    rows = words.select(F.inline(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))).alias("b")))).toDF("a", "b")
+    more = F.shiftleft(F.hash("a").cast("long"), 32).bitwiseOR(F.hash("b").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    pairs = rows.select(F.xxhash64("a").alias("a"), F.when(F.col("b").isNotNull(), F.xxhash64("b")).alias("b"), more.alias("more")).groupBy("a", "b", "more").agg(F.count(F.lit(1)).alias("c"))
+    distinct = pairs.groupBy("a", F.shiftright("more", 32)).agg(F.sum("c").alias("c"), F.count("b").alias("pairs"))
+    return distinct.agg(F.sum("c").alias("total_words"), F.count(F.lit(1)).alias("vocabulary"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))

@@ -156,13 +156,7 @@ def math_macro_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT (SELECT count(*) FROM e) AS total_words, (SELECT count(DISTINCT word) FROM e) AS vocabulary, (SELECT count(DISTINCT pair) FROM b) AS pairs,
  round((SELECT count(DISTINCT word) FROM e) / CAST((SELECT count(*) FROM e) AS DOUBLE), 3) AS distinct_1, round((SELECT count(DISTINCT pair) FROM b) / CAST((SELECT count(*) FROM e) AS DOUBLE), 3) AS distinct_2""")
 def lexical_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per word, with the next word of its text or null, by 96 bits of hash each; groups of these are the pairs, and the words come out of the groups."""
-    w = docs(spark, sf_dir).select(T.words(F.col("text")).alias("w"))
-    rows = w.select(F.inline(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))).alias("b")))).toDF("a", "b")
-    more = F.shiftleft(F.hash("a").cast("long"), 32).bitwiseOR(F.hash("b").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    pairs = rows.select(F.xxhash64("a").alias("a"), F.when(F.col("b").isNotNull(), F.xxhash64("b")).alias("b"), more.alias("more")).groupBy("a", "b", "more").agg(F.count(F.lit(1)).alias("c"))
-    words = pairs.groupBy("a", F.shiftright("more", 32)).agg(F.sum("c").alias("c"), F.count("b").alias("pairs"))
-    out = words.agg(F.sum("c").alias("total_words"), F.count(F.lit(1)).alias("vocabulary"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))
+    out = relational.diversity(docs(spark, sf_dir).select(T.words(F.col("text")).alias("w")))
     return out.select("*", F.round(F.col("vocabulary") / F.col("total_words"), 3).alias("distinct_1"), F.round(F.col("pairs") / F.col("total_words"), 3).alias("distinct_2"))
 
 

@@ -27,9 +27,7 @@ def statistics(records: DataFrame) -> dict:
     one = rows.agg(*[c.alias(n) for n, c in counts.items()]).first().asDict()
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("tokens")) for k in ("prompt", "response", "total")])).alias("t")).select("t.*")
     shape = {r["kind"]: r.asDict() for r in relational.distribution(long, "tokens", ["kind"]).collect()}
-    words = rows.select(text.words(q).alias("w"))
-    grams = words.select(F.explode(F.concat(F.transform("w", lambda x: F.struct(F.lit(1).alias("n"), x.alias("t"))), F.transform(text.bigrams(F.col("w")), lambda x: F.struct(F.lit(2).alias("n"), x.alias("t"))))).alias("g")).select("g.*").groupBy("n", "t").agg(F.count(F.lit(1)).alias("c"))
-    d = grams.agg(F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("c"))), F.lit(0)).alias("words"), F.count_if(F.col("n") == 1).alias("vocabulary"), F.count_if(F.col("n") == 2).alias("pairs")).first()
+    d = relational.diversity(rows.select(text.words(q).alias("w"))).select(F.coalesce("total_words", F.lit(0)).alias("words"), "vocabulary", "pairs").first()
     p99 = shape["total"]["p99"] if shape else 0
     per = lambda x: round(x / max(1, d["words"]), 3)
     macros = sorted(((m, one[f"macro {m}"]) for m in text.MACROS if one[f"macro {m}"]), key=lambda x: -x[1])[:10]
