@@ -1,5 +1,7 @@
 """The registered queries against brute force, on tables with nasty cases."""
 
+import zlib
+
 import pytest
 from millrace.llm import packing
 from millrace.llm._common import stash
@@ -384,3 +386,51 @@ def test_chunk_cache_is_bounded_as_a_whole(monkeypatch):
         assert packing.token_bytes(text.encode(), cache, None) == packing.ChunkIds.pack(whole.encode(text, add_special_tokens=False).ids)
         held = [x for x in (*vars(cache).values(), cache) if isinstance(x, dict) and x is not cache.tails]
         assert sum(len(x) + len(getattr(x, "old", ())) * (x is not cache) for x in held) <= 2 * 50
+
+
+def test_new_words_are_encoded_many_in_a_call():
+    """A text of 1,000 new words, each in four forms, costs a few calls of the library and one entry a word."""
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def encode(self, *args, **kw):
+            self.calls += 1
+            return self.inner.encode(*args, **kw)
+
+    words = ["".join(chr(97 + (k * 31 + j * j * 7) % 26) for j in range(6)) + chr(97 + k // 40) + chr(97 + k % 26) for k in range(1000)]
+    distinct = set(words)
+    text = " ".join(f"{w} {w.capitalize()} {w.upper()}, {w}." for w in words)
+    whole, cache = Tokenizer.from_file(vocabulary()), packing.ChunkIds(vocabulary())
+    cache.bare, cache.whole = bare, full = Counted(cache.bare), Counted(cache.whole)
+    assert packing.token_bytes(text.encode(), cache, None) == packing.ChunkIds.pack(whole.encode(text, add_special_tokens=False).ids)
+    assert len(distinct) > 500 and bare.calls + full.calls <= 20 and len(cache) == len(distinct)
+
+
+def test_ids_of_single_letters_and_odd_texts(spark):
+    """Every letter that is lower-cased before the library sees it, what lies beside them, and pieces cut anywhere."""
+    from tokenizers import Tokenizer
+
+    whole, cache = Tokenizer.from_file(vocabulary()), packing.ChunkIds(vocabulary())
+    chars = [chr(c) for c in range(0x21, 0x400)]
+    texts = [" ".join(f"{c} a{c} {c}B, A{c}! x{c}\u0331" for c in chars), "", " \x0b\n ", "H\u0331 I\u0307 e\u0301!", "a<|endoftext|>b <|ENDOFTEXT|>", "don't I'LL 's", "x\u00a0y\u2003Z\x1fq\x85", "ΣΑΣ. ẞß İi ǅ", "日本, 語!? 1234 3.5%", "-- ,.;! a-b (c)", "w" * 700 + "É" * 90 + "; end"]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for text, ids in zip(texts, want):
+        assert packing.token_bytes(text.encode(), cache, None) == packing.ChunkIds.pack(ids), text[:40]
+    for size in (1, 3, 7):
+        docs = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
+        out = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packing.pieces(docs, vocabulary(), size).collect())
+        full = [(k, [*ids, packing.END_ID]) for k, ids in [*enumerate(want), (99, [])]]
+        assert out == [(k, j, at, len(ids[at : at + size]), zlib.crc32(packing.ChunkIds.pack(ids[at : at + size]))) for k, ids in full for j, at in enumerate(range(0, len(ids), size))]
+
+
+@pytest.mark.parametrize("most", [1, 5, 6, 100])
+def test_runs_of_texts_hold_all_texts_in_order(most):
+    import pyarrow as pa
+
+    texts = ["", "aaa", "bb", "", "cccccccc", "d", "é", ""]
+    runs = list(packing.runs(pa.array(texts, pa.large_string()), most))
+    assert [t for r in runs for t in r.to_pylist()] == texts
+    assert all(len(r) == 1 or sum(len(t.encode()) for t in r.to_pylist()) <= most for r in runs)
