@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 #: About 200 bytes each, in each of an executor's workers.
-CACHE = 250_000
+CACHE = 100_000
 
 
 class WordHashes(dict):

@@ -5,7 +5,7 @@ free space that some open bin has, so the fullest bin that still takes a piece i
 the piece's length. If a new bin is needed and all are open, the fullest closes first.
 
 A task of the first pass reads texts, tokenizes them (Arrow splits a batch and finds its distinct words; ids of words are kept
-per worker, in bounded memory, and new ones are made many in one call) and emits one narrow row per piece. Those rows, not the texts, are dealt evenly to the packing tasks; the count of these
+for the task, in bounded memory, and new ones are made many in one call) and emits one narrow row per piece. Those rows, not the texts, are dealt evenly to the packing tasks; the count of these
 follows from the count of pieces, so a task's work and its share of half-full last bins stay bounded.
 
 Cases: a null text is empty and gives the end id alone; an empty table gives no rows; a repeated row is packed
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -31,12 +32,12 @@ END_ID = 1
 TAIL = ".,!?;:#*$%&|<>-)("
 #: Letters that NFC leaves alone and that any library puts in lower case one by one, and alike.
 LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "İ")
-#: Entries of one generation of a worker's cache; two generations. An executor has as many workers as cores, and they keep their caches.
-CACHE = 150_000
+#: Entries of one generation of a task's cache; two generations. An executor has as many workers as cores.
+CACHE = 80_000
 #: New words that one call of the library encodes.
 AT_ONCE = 250
 #: Bytes of texts whose words are in memory at a time (one text, if it is longer).
-RUN = 8 << 20
+RUN = 1 << 20
 #: The normaliser and the splits under which white space parts a text and letters stand by themselves, in lower case.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLITS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
@@ -150,12 +151,29 @@ class ChunkIds(dict):
         return memoryview(flat or b""), np.frombuffer(ends, np.int64)[firsts + ids.offset].tolist()
 
 
-@lru_cache(maxsize=2)
+    def forget(self) -> None:
+        """Drops all entries; the vocabulary stays."""
+        self.clear()
+        self.old.clear()
+        self.tails = {"": b""}
+
+
+@lru_cache(maxsize=1)
 def chunk_ids(path: str) -> ChunkIds:
-    """One cache per worker process; it outlives a task."""
+    """One vocabulary per worker process; it outlives a task."""
     return ChunkIds(path)
 
 
+@contextmanager
+def task_ids(path: str) -> Iterator[ChunkIds]:
+    """A cache for one task; a worker that goes on to another operator holds the vocabulary alone."""
+    cache = chunk_ids(path)
+    try:
+        yield cache
+    finally:
+        cache.forget()
+
+
 def token_bytes(text: bytes, cache: ChunkIds, end_id: int | None = END_ID) -> bytes:
     """A text's ids as little-endian unsigned 32-bit integers, with the end id behind."""
     ids, _ = cache.of_texts(pa.array([text.decode()], pa.large_string()))
@@ -175,21 +193,22 @@ def pieces(docs: DataFrame, path: str, size: int = 4096, id_col: str = "doc_id",
     """One row per piece of at most ``size`` ids: doc_id, piece, start, length, ids_crc32."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end = chunk_ids(path), END_ID.to_bytes(4, "little")
-        for batch in batches:
-            rows: list[tuple] = []
-            doc = iter(batch.column(0).to_pylist())
-            for texts in runs(batch.column(1).fill_null(b"").cast(pa.large_string())):
-                ids, starts = cache.of_texts(texts)
-                for a, b in zip(starts, starts[1:]):
-                    n, i = (b - a) // 4 + 1, next(doc)
-                    for k, at in enumerate(range(0, n, size)):
-                        crc, length = zlib.crc32(ids[a + 4 * at : min(b, a + 4 * (at + size))]), min(size, n - at)
-                        rows.append((i, k, at, length, zlib.crc32(end, crc) if at + length == n else crc))
-                del ids
-                pa.default_memory_pool().release_unused()  # else the pool keeps about 100 MB in each worker
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        end = END_ID.to_bytes(4, "little")
+        with task_ids(path) as cache:
+            for batch in batches:
+                rows: list[tuple] = []
+                doc = iter(batch.column(0).to_pylist())
+                for texts in runs(batch.column(1).fill_null(b"").cast(pa.large_string())):
+                    ids, starts = cache.of_texts(texts)
+                    for a, b in zip(starts, starts[1:]):
+                        n, i = (b - a) // 4 + 1, next(doc)
+                        for k, at in enumerate(range(0, n, size)):
+                            crc, length = zlib.crc32(ids[a + 4 * at : min(b, a + 4 * (at + size))]), min(size, n - at)
+                            rows.append((i, k, at, length, zlib.crc32(end, crc) if at + length == n else crc))
+                    del ids
+                    pa.default_memory_pool().release_unused()  # else the pool keeps about 100 MB in each worker
+                cols = list(zip(*rows)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary")).mapInArrow(cut, PIECE_SCHEMA)

@@ -25,6 +25,8 @@ from ._common import small_batches
 
 #: Most strings that stand for one part of a regex; beyond that, the part only forces what its prefixes and suffixes do.
 EXACT = 24
+#: Bytes of the texts of a shard (one text, if it is longer); its index takes some ten times as much in a worker.
+SHARD = 1_000_000
 
 # A trigram query: None (no restriction), a trigram as bytes, or ("and" | "or", parts).
 
@@ -152,27 +154,33 @@ def _trigrams(query: object) -> set[bytes]:
 
 
 class Scanner:
-    """Rules with their compiled regexes and queries, and the lookup table of the trigrams that the queries name."""
+    """Rules with their compiled regexes and queries, and the trigrams that the queries name.
+
+    A trigram is looked up by its last two bytes first, as a table of all trigrams would take 32 MB in each worker.
+    """
 
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = [(r, re.compile(r.pattern, r.flags), r.query) for r in rules]
         self.grams = sorted(set().union(*[_trigrams(q) for _, _, q in self.rules]))
-        self.number = np.zeros(1 << 24, np.uint16)
-        for k, g in enumerate(self.grams, 1):
-            self.number[int.from_bytes(g, "big")] = k
+        self.codes = np.array([int.from_bytes(g, "big") for g in self.grams], np.uint32)
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[self.codes & 0xFFFF] = True
         self.fold = np.arange(256, dtype=np.uint8)
         self.fold[65:91] += 32
 
     def index(self, texts: list[bytes]) -> dict[bytes, np.ndarray]:
         """Postings: numbers of the shard's documents that hold a trigram."""
         size = np.array([len(t) + 1 for t in texts])
-        data = self.fold[np.frombuffer(b"\0".join(texts) + b"\0\0\0", np.uint8)].astype(np.uint32)
-        found = self.number[(data[:-2] << 16) | (data[1:-1] << 8) | data[2:]]
-        at = np.flatnonzero(found)
-        doc = np.searchsorted(np.cumsum(size), at, side="right")
-        both = np.unique(found[at].astype(np.int64) << 32 | doc)
+        data = self.fold[np.frombuffer(b"\0".join(texts) + b"\0\0\0", np.uint8)].astype(np.uint16)
+        ends = (data[1:-1] << 8) | data[2:]
+        at = np.flatnonzero(self.ends[ends])
+        code = data[at].astype(np.uint32) << 16 | ends[at]
+        found = np.searchsorted(self.codes, code)
+        named = np.flatnonzero(np.append(self.codes, 0)[found] == code) if self.grams else found[:0]
+        doc = np.searchsorted(np.cumsum(size), at[named], side="right")
+        both = np.unique(found[named].astype(np.int64) << 32 | doc)
         grams, docs = both >> 32, both & 0xFFFFFFFF
-        cut = np.searchsorted(grams, np.arange(1, len(self.grams) + 2))
+        cut = np.searchsorted(grams, np.arange(len(self.grams) + 1))
         return {g: docs[cut[k] : cut[k + 1]] for k, g in enumerate(self.grams)}
 
     def candidates(self, query: object, postings: dict[bytes, np.ndarray], n: int) -> np.ndarray:
@@ -190,9 +198,9 @@ class Scanner:
         """Per text: (start, rule number, end), by start and then rule."""
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         step = 0
-        while step < len(texts):  # shards of about 4 MB
+        while step < len(texts):
             last, total = step, 0
-            while last < len(texts) and (last == step or total < 4_000_000):
+            while last < len(texts) and (last == step or total < SHARD):
                 total += len(texts[last])
                 last += 1
             shard = texts[step:last]

@@ -434,3 +434,42 @@ def test_runs_of_texts_hold_all_texts_in_order(most):
     runs = list(packing.runs(pa.array(texts, pa.large_string()), most))
     assert [t for r in runs for t in r.to_pylist()] == texts
     assert all(len(r) == 1 or sum(len(t.encode()) for t in r.to_pylist()) <= most for r in runs)
+
+
+def test_a_worker_keeps_no_words_of_packing_when_the_task_is_over(spark):
+    """Workers are used again by other operators; only the vocabulary stays with them."""
+    import pyarrow as pa
+
+    path = vocabulary()
+
+    def entries(batches):
+        for _ in batches:
+            pass
+        cache = packing.chunk_ids(path)
+        yield pa.RecordBatch.from_arrays([pa.array([len(cache) + len(cache.old)])], names=["n"])
+
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('word', translate(id, '0123456789', 'abcdefghij')) as text")
+    assert packing.pieces(docs, path).count() == 2000
+    assert {r.n for r in spark.range(100).repartition(8).mapInArrow(entries, "n long").collect()} == {0}
+
+
+def test_a_shard_of_secrets_takes_little_memory():
+    """The trigrams' table and the index over 12 MB of texts; postings and spans are those of plain search."""
+    import random
+    import tracemalloc
+
+    from millrace.llm import secrets
+
+    rules, draw = secrets.BASE + secrets.MORE, random.Random(5)
+    parts = ["Token: abcdef12", "AKIA" + "Q7" * 10, "passWORD='hunter22'", "eyJabc", "xoxb-1234567890ab", "secre", "tokens", "é", "\x00key", "0123456789abcdef" * 2]
+    texts = [" ".join(draw.choice(parts) if draw.random() < 0.3 else "lorem ipsum" for _ in range(k % 9)).encode() for k in range(300)]
+    postings = (s := secrets.Scanner(rules)).index(texts)
+    assert set(postings) == set(s.grams) and all(docs.tolist() == [k for k, t in enumerate(texts) if g in t.lower()] for g, docs in postings.items())
+    large = [t * (40_000 // max(1, len(t))) for t in texts]
+    tracemalloc.start()
+    found = secrets.Scanner(rules).scan(large)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, large)) > 8_000_000 and peak < 32 << 20
+    plain = [sorted((m.start(), k, m.end()) for k, (r, regex, _) in enumerate(s.rules) for m in regex.finditer(t.decode()) if r.test(m)) for t in large[:40]]
+    assert found[:40] == plain
